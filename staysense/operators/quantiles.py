@@ -3,124 +3,146 @@
 ``F.percentile`` / ``F.median`` keep every distinct value of the column in the
 final aggregation buffer of a single task, which does not survive a 100 TB
 column.  ``exact_quantiles`` gets the same numbers (linear interpolation
-between the order statistics at ``floor/ceil((n-1)p)``) in bounded memory:
-
-1. one pass: ``count`` and a ``percentile_approx`` sketch at ``p ± margin``;
-   the sketch's rank guarantee brackets each wanted order statistic in
-   ``[lo_p, hi_p]``;
-2. one pass: rows below ``lo_p`` are counted, rows inside the bracket are
-   histogrammed into ``bins`` equal-width buckets per quantile (partial
-   aggregation; output <= quantiles x bins rows);
-3. a tiny running sum over the histogram picks the bucket holding each wanted
-   rank;
-4. rows of those buckets only are grouped by value (a hot value collapses to
+between the order statistics at ``floor/ceil((n-1)p)``) in bounded memory, for
+several columns at once:
+
+1. one pass: per column ``count`` and a ``percentile_approx`` sketch at
+   ``p ± margin``; the sketch's rank guarantee brackets each wanted order
+   statistic in ``[lo, hi]``;
+2. one pass: rows below ``lo`` are counted and rows inside the bracket are
+   histogrammed into ``bins`` equal-width buckets per (column, quantile)
+   (partial aggregation; output <= columns x quantiles x bins rows);
+3. a tiny running sum over the histogram picks the bucket holding each rank;
+4. only rows of those buckets are grouped by value (a hot value collapses to
    one row map-side) and a running count per bucket yields the exact value.
 
-Every intermediate is either a partially-aggregated shuffle or a frame whose
-size is bounded by parameters (quantiles x bins), so it is broadcast safely.
-A broken bracket (impossible if the sketch keeps its guarantee) raises instead
-of returning a wrong value.
+Every intermediate is a partially-aggregated shuffle or a frame bounded by
+parameters (columns x quantiles x bins), so broadcasting it is safe.  A broken
+bracket (impossible while the sketch keeps its guarantee) raises instead of
+returning a wrong value.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _ACCURACY = 10_000
 _BINS = 4_096
 
 
-def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], *,
-                    accuracy: int = _ACCURACY, bins: int = _BINS, out: str = "q") -> DataFrame:
-    """One-row DataFrame with ``out`` = array of exact linear-interpolated quantiles
-    (null when the column has no non-null value).  Nulls are ignored like pandas."""
+def lower_bound_index(sorted_values: list[Column] | Column, n: int, x: Column, strict: bool = True) -> Column:
+    """Codegen-friendly binary search: number of ``v`` with ``v < x`` (``strict``) or
+    ``v <= x`` among ``n`` ascending values (a literal list or an array column).
+    Builds a CASE tree of depth log2(n) instead of an interpreted lambda."""
+    def at(i):
+        return sorted_values[i] if isinstance(sorted_values, list) else sorted_values[i]
+
+    def go(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        below = at(mid) < x if strict else at(mid) <= x
+        return F.when(below, go(mid + 1, hi)).otherwise(go(lo, mid))
+    return go(0, n)
+
+
+def exact_quantiles_long(df: DataFrame, columns: Sequence[str], probs: Sequence[float], *,
+                         accuracy: int = _ACCURACY, bins: int = _BINS) -> DataFrame:
+    """Long result ``(_c, _k, _q)``: column index, quantile index, exact value."""
     probs = [float(p) for p in probs]
-    k = len(probs)
+    k, m = len(probs), len(columns)
     margin = 3.0 / accuracy
-    x = F.col(column).cast("double")
-    base = df.select(x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    cells = F.array(*[F.struct(F.lit(i).alias("_c"), F.col(c).cast("double").alias("_x"))
+                      for i, c in enumerate(columns)])
+    base = (df.select(F.explode(cells).alias("_e")).select("_e._c", "_e._x")
+              .where(F.col("_x").isNotNull() & ~F.isnan("_x")))
 
     lows = [max(0.0, p - margin) for p in probs]
     highs = [min(1.0, p + margin) for p in probs]
-    stats = base.agg(
-        F.count("_x").alias("_n"),
-        F.percentile_approx("_x", F.array(*[F.lit(v) for v in lows + highs]), accuracy).alias("_b"),
-    )
-    # targets: per quantile, the two 0-based ranks around (n-1)p and the fraction
-    tgt = stats.select("_n", F.posexplode(F.array(*[F.lit(p) for p in probs])).alias("_k", "_p"), "_b")
+    stats = base.groupBy("_c").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.percentile_approx("_x", F.array(*[F.lit(v) for v in lows + highs]), accuracy).alias("_b"))
+    tgt = stats.select("_c", "_n", F.posexplode(F.array(*[F.lit(p) for p in probs])).alias("_k", "_p"), "_b")
     h = (F.col("_n") - 1).cast("double") * F.col("_p")
-    tgt = tgt.select(
-        "_k", "_n",
-        F.col("_b")[F.col("_k")].alias("_lo"), F.col("_b")[F.col("_k") + k].alias("_hi"),
-        F.floor(h).alias("_r0"), F.ceil(h).alias("_r1"), (h - F.floor(h)).alias("_frac"),
-    ).where(F.col("_n") > 0)
-    tgt_b = F.broadcast(tgt)                                   # k rows
-
-    # pass 2: below counts + in-bracket histogram, one scan, partial aggregation
+    tgt = tgt.select("_c", "_k",
+                     F.col("_b")[F.col("_k")].alias("_lo"), F.col("_b")[F.col("_k") + k].alias("_hi"),
+                     F.floor(h).alias("_r0"), F.ceil(h).alias("_r1"), (h - F.floor(h)).alias("_frac"))
+    tgt_b = F.broadcast(tgt)                                     # <= columns x quantiles rows
+
     width = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
-    binned = (base.join(tgt_b, F.col("_x") <= F.col("_hi"))     # k-way expand, k is a parameter
-                  .withColumn("_bin", F.when(F.col("_x") < F.col("_lo"), F.lit(-1)).otherwise(
-                      F.when(width > 0, F.least(F.floor((F.col("_x") - F.col("_lo")) / width),
-                                                F.lit(bins - 1))).otherwise(F.lit(0)))))
-    hist = binned.groupBy("_k", "_bin").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy("_k").orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = hist.withColumn("_cum", F.sum("_c").over(w)).withColumn("_before", F.col("_cum") - F.col("_c"))
-    # which bucket holds rank r: before <= r < cum   (bucket -1 = below the bracket)
-    ranks = tgt.select("_k", F.explode(F.array(
+    tgt_j = tgt_b.withColumnRenamed("_c", "_tc")
+    binned = (base.join(tgt_j, (F.col("_c") == F.col("_tc")) & (F.col("_x") <= F.col("_hi")))
+                  .select("_c", "_k", "_x",
+                          F.when(F.col("_x") < F.col("_lo"), F.lit(-1)).otherwise(
+                              F.when(width > 0, F.least(F.floor((F.col("_x") - F.col("_lo")) / width),
+                                                        F.lit(bins - 1))).otherwise(F.lit(0))).alias("_bin")))
+    hist = binned.groupBy("_c", "_k", "_bin").agg(F.count(F.lit(1)).alias("_cnt"))
+    w = Window.partitionBy("_c", "_k").orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hist = hist.withColumn("_cum", F.sum("_cnt").over(w)).withColumn("_before", F.col("_cum") - F.col("_cnt"))
+    ranks = tgt.select("_c", "_k", F.explode(F.array(
         F.struct(F.lit(0).alias("_which"), F.col("_r0").alias("_r")),
-        F.struct(F.lit(1).alias("_which"), F.col("_r1").alias("_r")))).alias("_t")).select("_k", "_t.*")
-    where = (F.broadcast(ranks).join(hist, "_k")
+        F.struct(F.lit(1).alias("_which"), F.col("_r1").alias("_r")))).alias("_t")).select("_c", "_k", "_t.*")
+    where = (F.broadcast(ranks).join(hist, ["_c", "_k"])
              .where((F.col("_before") <= F.col("_r")) & (F.col("_r") < F.col("_cum")))
-             .select("_k", "_which", "_r", "_bin", "_before"))
-    where_b = F.broadcast(where)                               # <= 2k rows
-
-    # pass 3: distinct values inside the chosen buckets, exact running count
-    picked_bins = where.select("_k", "_bin").distinct()
-    vals = (binned.join(F.broadcast(picked_bins), ["_k", "_bin"])
-                  .groupBy("_k", "_bin", "_x").agg(F.count(F.lit(1)).alias("_vc")))
-    wv = Window.partitionBy("_k", "_bin").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+             .select("_c", "_k", "_which", "_r", "_bin", "_before"))
+
+    picked = F.broadcast(where.select("_c", "_k", "_bin").distinct())   # <= 2 x columns x quantiles
+    vals = (binned.join(picked, ["_c", "_k", "_bin"])
+                  .groupBy("_c", "_k", "_bin", "_x").agg(F.count(F.lit(1)).alias("_vc")))
+    wv = Window.partitionBy("_c", "_k", "_bin").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     vals = vals.withColumn("_vcum", F.sum("_vc").over(wv))
-    hit = (vals.join(where_b, ["_k", "_bin"])
+    hit = (vals.join(F.broadcast(where), ["_c", "_k", "_bin"])
                .where((F.col("_before") + F.col("_vcum") - F.col("_vc") <= F.col("_r"))
                       & (F.col("_r") < F.col("_before") + F.col("_vcum")))
-               .groupBy("_k").agg(F.min(F.when(F.col("_which") == 0, F.col("_x"))).alias("_v0"),
-                                  F.min(F.when(F.col("_which") == 1, F.col("_x"))).alias("_v1"),
-                                  F.min(F.col("_bin")).alias("_minbin")))
-    res = tgt.join(hit, "_k", "left").select(
-        "_k",
+               .groupBy("_c", "_k").agg(F.min(F.when(F.col("_which") == 0, F.col("_x"))).alias("_v0"),
+                                        F.min(F.when(F.col("_which") == 1, F.col("_x"))).alias("_v1"),
+                                        F.min(F.col("_bin")).alias("_minbin")))
+    return tgt.join(hit, ["_c", "_k"], "left").select(
+        "_c", "_k",
         F.when(F.col("_v0").isNull() | F.col("_v1").isNull() | (F.col("_minbin") < 0),
                F.raise_error(F.lit("quantile bracket missed its rank"))).otherwise(
             F.col("_v0") + (F.col("_v1") - F.col("_v0")) * F.col("_frac")).alias("_q"))
-    # re-assemble one row in quantile order; empty input -> array of nulls
-    agg = res.agg(F.map_from_entries(F.collect_list(F.struct("_k", "_q"))).alias("_m"))
-    return agg.select(F.array(*[F.col("_m")[F.lit(i)] for i in range(k)]).alias(out))
 
 
 def exact_quantile_row(df: DataFrame, specs: dict[str, Sequence[float]], **kw) -> DataFrame:
-    """One row with one array column per input column: ``{col: probs}`` -> ``col`` = quantiles."""
-    row = None
-    for c, probs in specs.items():
-        q = exact_quantiles(df, c, probs, out=c, **kw)
-        row = q if row is None else row.crossJoin(q)             # 1 x 1 rows
-    return row
+    """One row, one array column per input column (``{col: probs}``), all columns in the
+    same passes.  Columns without values give nulls."""
+    cols = list(specs)
+    probs = sorted({float(p) for ps in specs.values() for p in ps})
+    long = exact_quantiles_long(df, cols, probs, **kw)
+    m = long.agg(F.map_from_entries(F.collect_list(F.struct(F.struct("_c", "_k"), F.col("_q")))).alias("_m"))
+    out = []
+    for i, c in enumerate(cols):
+        idx = [probs.index(float(p)) for p in specs[c]]
+        out.append(F.array(*[F.col("_m")[F.struct(F.lit(i).alias("_c"), F.lit(j).alias("_k"))] for j in idx]).alias(c))
+    return m.select(*out)
+
+
+def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], *, out: str = "q", **kw) -> DataFrame:
+    """One row with ``out`` = array of exact quantiles of ``column``."""
+    return exact_quantile_row(df, {column: probs}, **kw).withColumnRenamed(column, out)
 
 
 def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row: most frequent non-null value per column, ties -> smallest (pandas ``mode()[0]``).
 
-    Scale-safe: values are counted with a partially-aggregated ``groupBy`` (a hot
-    value collapses map-side; distinct values are spread over shuffle partitions)
-    instead of one hash map per column in a single task.  Comparison happens on
-    the original type (strings, booleans, timestamps all order naturally).
+    All columns in one pass: rows are unpivoted to (column, value-as-text), counted
+    with a partially-aggregated ``groupBy`` (a hot value collapses map-side,
+    distinct values spread over shuffle partitions), and the best value per
+    column is picked by comparing on the original type.
     """
-    out = None
-    for c in columns:
-        g = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
-        # max count, then smallest value among the tied: min over (-count, value)
-        best = g.agg(F.min(F.struct((-F.col("_n")).alias("_neg"), F.col(c).alias("_v"))).alias("_s"))
-        best = best.select(F.col("_s._v").alias(c))
-        out = best if out is None else out.crossJoin(best)      # 1 x 1 rows
-    return out
+    columns = list(columns)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    cells = F.array(*[F.struct(F.lit(i).alias("_c"), F.col(c).cast("string").alias("_v"))
+                      for i, c in enumerate(columns)])
+    g = (df.select(F.explode(cells).alias("_e")).select("_e.*").where(F.col("_v").isNotNull())
+           .groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n")))
+    aggs = []
+    for i, c in enumerate(columns):
+        v = F.col("_v").cast(types[c])
+        aggs.append(F.min(F.when(F.col("_c") == i, F.struct((-F.col("_n")).alias("_neg"), v.alias("_val"))))
+                    ["_val"].alias(c))
+    return g.agg(*aggs)

@@ -38,19 +38,16 @@ def fit_outlier_bounds(df: DataFrame, columns: Sequence[str] | None = None, meth
         raise ValueError(f"Método '{method}' no soportado. Use 'iqr' o 'quantile'.")
     cols = present(df, columns) if columns is not None else numeric_columns(df)
     probs = [0.25, 0.75] if method == "iqr" else [quantile_low, quantile_high]
+    q = exact_quantile_row(df, {c: probs for c in cols})            # all columns, same passes
     rows = []
     for c in cols:
-        q = exact_quantile_row(df, {c: probs})
         a, b = F.col(c)[0], F.col(c)[1]
         if method == "iqr":
             lo, hi = a - F.lit(factor) * (b - a), b + F.lit(factor) * (b - a)
         else:
             lo, hi = a, b
-        rows.append(q.select(F.lit(c).alias("column"), lo.alias("lower"), hi.alias("upper")))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+        rows.append(F.struct(F.lit(c).alias("column"), lo.alias("lower"), hi.alias("upper")))
+    return q.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
 
 
 def _bounds_row(bounds: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -62,10 +59,11 @@ def _bounds_row(bounds: DataFrame, cols: Sequence[str]) -> DataFrame:
     return bounds.agg(*aggs)
 
 
-def cap_outliers(df: DataFrame, bounds: DataFrame) -> DataFrame:
+def cap_outliers(df: DataFrame, bounds: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """I1/I2 transform: clip each column to its bounds; nulls stay null (np.clip keeps NaN)."""
-    cols = [r["column"] for r in bounds.select("column").distinct().collect()]   # <= #columns rows
-    cols = present(df, cols)
+    if columns is None:   # names only: <= one row per column
+        columns = [r["column"] for r in bounds.select("column").distinct().collect()]
+    cols = present(df, columns)
     row = _bounds_row(bounds, cols)
     out = _attach(df, row)
     for c in cols:
@@ -77,12 +75,14 @@ def handle_outliers(df: DataFrame, columns: Sequence[str], method: str = "iqr",
                     quantile_low: float = K.QUANTILE_LOW, quantile_high: float = K.QUANTILE_HIGH) -> DataFrame:
     """Fit on ``df`` and cap it (the training-script behaviour)."""
     b = fit_outlier_bounds(df, columns, method, factor, quantile_low, quantile_high)
-    return cap_outliers(df, b)
+    return cap_outliers(df, b, present(df, columns))
 
 
-def outlier_counts(df: DataFrame, bounds: DataFrame) -> DataFrame:
+def outlier_counts(df: DataFrame, bounds: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Per column, how many values fall outside the bounds (one pass, all columns)."""
-    cols = present(df, [r["column"] for r in bounds.select("column").collect()])
+    if columns is None:
+        columns = [r["column"] for r in bounds.select("column").collect()]
+    cols = present(df, columns)
     row = _bounds_row(bounds, cols)
     x = _attach(df, row)
     counts = x.agg(*[F.count_if((F.col(c) < F.col(f"{c}__lo")) | (F.col(c) > F.col(f"{c}__hi"))).alias(c)

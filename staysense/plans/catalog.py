@@ -142,7 +142,7 @@ def q_outlier_counts(spark, sf):
     """I3 (+ the bounds themselves)."""
     df = merged(spark, sf)
     b = S.fit_outlier_bounds(df, _CAP_COLS, "iqr")
-    return S.outlier_counts(df, b).join(b, "column").select(
+    return S.outlier_counts(df, b, _CAP_COLS).join(b, "column").select(
         "column", F.round("lower", 6).alias("lower"), F.round("upper", 6).alias("upper"), "outliers")
 
 
