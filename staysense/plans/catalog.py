@@ -323,4 +323,135 @@ def q_predictions_export(spark, sf):
     return predictions_frame(decided(spark, sf))
 
 
+# ------------------------------------------------------------ neighbours / balance
+def _embeddings(spark, sf, binary: bool = False):
+    e = FX.table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"),
+                                                  F.col("embedding").cast("array<double>").alias("vec"), "label")
+    return e.withColumn("label", (F.col("label") == 0).cast("int")) if binary else e
+
+
+def q_nearest_neighbors(spark, sf):
+    """Shared exact kNN (k = 5) used by I4 / B1 / B3."""
+    from staysense.operators.neighbors import knn
+    e = _embeddings(spark, sf)
+    return knn(e, e, k=K.KNN_NEIGHBORS).select("q_id", "n_id", F.round("dist", 9).alias("dist"), "rank")
+
+
+def q_smote_points(spark, sf):
+    """B1: synthetic rows for the minority class (class 0 vs the rest), ratio 0.8, k = 5."""
+    from staysense.operators.balance import smote
+    syn = smote(_embeddings(spark, sf, binary=True), "label", "vec", "id", K.SMOTE_RATIO, K.KNN_NEIGHBORS, K.SEED)
+    return syn.select("id", "label", "parent_id", "neighbor_id", "gap", "sample_no",
+                      F.col("vec")[0].alias("vec_first"), F.element_at("vec", -1).alias("vec_last"))
+
+
+def q_tomek_links(spark, sf):
+    """Mutual nearest neighbours with different labels."""
+    from staysense.operators.balance import tomek_links
+    return tomek_links(_embeddings(spark, sf), "label", "vec", "id")
+
+
+def q_smote_tomek_balance(spark, sf):
+    """B2: class sizes after SMOTE (1:1) + Tomek cleaning."""
+    from staysense.operators.balance import smote_tomek
+    return smote_tomek(_embeddings(spark, sf, binary=True), "label", "vec", "id").groupBy("label") \
+        .agg(F.count(F.lit(1)).alias("rows"))
+
+
+def q_variance_filter(spark, sf):
+    """M12."""
+    from staysense.operators.selection import variance_filter
+    return variance_filter(FX.table(spark, sf, "embeddings"), "embedding")
+
+
+def q_anova_f_topk(spark, sf):
+    """Top-22 dimensions by ANOVA F against the 10 labels."""
+    from staysense.operators.selection import anova_top_k
+    return anova_top_k(FX.table(spark, sf, "embeddings"), "embedding", "label", K.ANOVA_TOP_K)
+
+
+# ------------------------------------------------------------------------ models
+def _model_frame(spark, sf):
+    from staysense.plans.train import model_frame
+    return model_frame(FX.bookings(spark, sf), FX.hotels(spark, sf))
+
+
+REGISTERED_TREES = 50      # registered check runs; library default is 300 (boosted_trees)
+
+
+def q_train_logistic(spark, sf):
+    """M3, K1, V2, V4-V8 (E3 flow with the documented best C = 0.1, L2)."""
+    from staysense.operators import model as MD
+    from staysense.plans.train import holdout_evaluation
+    df = _model_frame(spark, sf)
+    n = df.count()
+    return holdout_evaluation(df, MD.logistic(C=0.1, penalty="l2", n_rows=n))
+
+
+def q_train_boosted(spark, sf):
+    """M1, B4 (positive weight 1.5), K1, V2, V4-V8."""
+    from staysense.operators import model as MD
+    from staysense.operators.balance import class_weight
+    from staysense.plans.train import holdout_evaluation
+    df = class_weight(_model_frame(spark, sf), "label", K.POSITIVE_CLASS_WEIGHT)
+    return holdout_evaluation(df, MD.boosted_trees(weight="weight", max_iter=REGISTERED_TREES))
+
+
+def q_cv_threshold(spark, sf):
+    """Out-of-fold scores over the 7 hotel-group folds, global and per-fold
+    F1 thresholds (logistic pipeline as the template)."""
+    from staysense.functions.columns import present
+    from staysense.operators import model as MD
+    df = SP.stratified_group_folds(_model_frame(spark, sf), "label", "hotel_id", K.GROUP_FOLDS, K.SEED)
+    n = df.count()
+    pipe = MD.classification_pipeline(MD.logistic(C=0.1, n_rows=n), present(df, MD.NUMERIC), present(df, MD.CATEGORICAL))
+    _, glob, per = MD.cross_validated_threshold(df, pipe, "fold", "label", "booking_id", 1.0)
+    return per.unionByName(glob.select(F.lit(None).cast("int").alias("fold"), "threshold", "fbeta"))
+
+
+def _search(spark, sf, random_pick: bool):
+    from staysense.functions.columns import present
+    from staysense.operators import model as MD
+    df = SP.stratified_folds(_model_frame(spark, sf), "label", "booking_id", 3, K.SEED).cache()
+    n = df.count()
+    lr = MD.logistic(n_rows=n, max_iter=100)
+    pipe = MD.classification_pipeline(lr, present(df, MD.NUMERIC), present(df, MD.CATEGORICAL))
+    grid = MD.logistic_grid(n)
+    cv = (MD.random_search(pipe, lr, grid, n_iter=5, fold_col="fold") if random_pick
+          else MD.grid_search(pipe, lr, grid, fold_col="fold"))
+    fitted = cv.fit(df)
+    rows = [(float(pm[lr.getParam("regParam")]), float(pm[lr.getParam("elasticNetParam")]), float(m))
+            for pm, m in zip(fitted.getEstimatorParamMaps(), fitted.avgMetrics)]
+    df.unpersist()
+    return spark.createDataFrame(rows, "reg_param double, elastic_net double, mean_f1 double")
+
+
+def q_grid_search(spark, sf):
+    """M7: C x penalty grid, 3 stratified folds, F1 of the positive class."""
+    return _search(spark, sf, False)
+
+
+def q_random_search(spark, sf):
+    """M6: seeded random subset of the same space."""
+    return _search(spark, sf, True)
+
+
+def q_feature_importance(spark, sf):
+    """Fit, save the package, reload it (fallback threshold when the
+    table is absent) and count splits per named feature from the saved trees."""
+    from staysense.functions.columns import present
+    from staysense.operators import model as MD
+    from staysense.session import ensure_checkpoint_dir
+    df = _model_frame(spark, sf)
+    pipe = MD.classification_pipeline(MD.boosted_trees(max_iter=REGISTERED_TREES), present(df, MD.NUMERIC),
+                                      present(df, MD.CATEGORICAL))
+    model = pipe.fit(df)
+    base = ensure_checkpoint_dir(spark).rstrip("/") + "/model_package"
+    MD.save_model_package(model, K.DEFAULT_FALLBACK_THRESHOLD, base)
+    loaded, _thr = MD.load_model_package(base)
+    names = MD.feature_names(loaded.transform(df.limit(1)))
+    return MD.split_count_importance(f"{base}/pipeline/stages/{len(loaded.stages) - 1}_" +
+                                     loaded.stages[-1].uid, names, top=20)
+
+
 QUERIES = {name[2:]: fn for name, fn in dict(globals()).items() if name.startswith("q_") and callable(fn)}

@@ -567,4 +567,58 @@ SELECT cohort, bookings, predicted_cancellations,
 SELECT booking_id, predicted_to_cancel AS prediction,
        CAST(CAST(round(CAST(cancellation_probability AS DECIMAL(20,6)), 4) AS DECIMAL(20,4)) AS VARCHAR) AS probability,
        coalesce(gift, '') AS gift FROM decided"""
+    q.update(_neighbour_sql())
+    return q
+
+
+def _neighbour_sql() -> dict[str, str]:
+    q = {}
+    emb = "SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS vec, label FROM embeddings"
+    dist = "sqrt(list_sum(list_transform(list_zip(a.vec, b.vec), lambda z: (z[1] - z[2]) * (z[1] - z[2]))))"
+    q["nearest_neighbors"] = f"""WITH e AS ({emb}),
+p AS (SELECT a.id AS q_id, b.id AS n_id, {dist} AS dist FROM e a JOIN e b ON a.id <> b.id),
+r AS (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY dist, n_id) AS rank FROM p)
+SELECT q_id, n_id, round(dist, 9) AS dist, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= {K.KNN_NEIGHBORS}"""
+    q["tomek_links"] = f"""WITH e AS ({emb}),
+p AS (SELECT a.id AS q_id, b.id AS n_id, {dist} AS dist FROM e a JOIN e b ON a.id <> b.id),
+nn AS (SELECT q_id, n_id FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY dist, n_id) AS rk FROM p) WHERE rk = 1)
+SELECT x.q_id AS a_id, x.n_id AS b_id, ea.label AS a_label, eb.label AS b_label
+FROM nn x JOIN nn y ON x.q_id = y.n_id AND x.n_id = y.q_id
+JOIN e ea ON ea.id = x.q_id JOIN e eb ON eb.id = x.n_id
+WHERE x.q_id < x.n_id AND ea.label <> eb.label"""
+    seed = K.SEED
+    key = "CAST(m.id AS VARCHAR) || '|' || CAST(s.sample_no AS VARCHAR)"
+    q["smote_points"] = f"""WITH e AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS vec,
+                  CAST(label = 0 AS INTEGER) AS label FROM embeddings),
+cnt AS (SELECT label, count(*) AS n FROM e GROUP BY label),
+mino AS (SELECT label, n FROM cnt ORDER BY n, label LIMIT 1),
+maj AS (SELECT max(n) AS n FROM cnt WHERE label <> (SELECT label FROM mino)),
+par AS (SELECT CAST(floor({D(K.SMOTE_RATIO)} * CAST((SELECT n FROM maj) AS DOUBLE) - CAST((SELECT n FROM mino) AS DOUBLE)) AS BIGINT) AS n_new,
+               (SELECT n FROM mino) AS n_min),
+m AS (SELECT e.* FROM e WHERE label = (SELECT label FROM mino)),
+pp AS (SELECT a.id AS q_id, b.id AS n_id, {dist} AS dist FROM m a JOIN m b ON a.id <> b.id),
+nn AS (SELECT q_id, n_id, row_number() OVER (PARTITION BY q_id ORDER BY dist, n_id) AS rk FROM pp),
+nn5 AS (SELECT * FROM nn WHERE rk <= {K.KNN_NEIGHBORS}),
+ranked AS (SELECT id, row_number() OVER (ORDER BY {H('id', seed)}, id) - 1 AS i FROM m),
+s AS (SELECT r.id, r.i + x.rr * par.n_min AS sample_no
+      FROM ranked r, par, unnest(range(CAST(par.n_new // par.n_min + CASE WHEN r.i < par.n_new % par.n_min THEN 1 ELSE 0 END AS BIGINT))) AS x(rr)),
+pick AS (SELECT m.id AS parent_id, s.sample_no, m.vec AS pv,
+                {H(key, seed + 1)} % (SELECT count(*) FROM nn5 WHERE q_id = m.id) + 1 AS j,
+                CAST({H(key, seed + 2)} AS DOUBLE) / CAST(1152921504606846976 AS DOUBLE) AS gap
+         FROM s JOIN m ON s.id = m.id),
+joined AS (SELECT pick.*, nn5.n_id AS neighbor_id, b.vec AS nv FROM pick
+           JOIN nn5 ON nn5.q_id = pick.parent_id AND nn5.rk = pick.j JOIN m b ON b.id = nn5.n_id)
+SELECT -(sample_no + 1) AS id, (SELECT label FROM mino) AS label, parent_id, neighbor_id, gap, sample_no,
+       pv[1] + gap * (nv[1] - pv[1]) AS vec_first, pv[len(pv)] + gap * (nv[len(nv)] - pv[len(pv)]) AS vec_last
+FROM joined"""
+    q["variance_filter"] = f"""WITH l AS (SELECT CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS dim,
+                  CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings)
+SELECT dim, round(var_pop(x), 8) AS variance, var_pop(x) >= {D(K.VARIANCE_THRESHOLD)} AS kept FROM l GROUP BY dim"""
+    q["anova_f_topk"] = f"""WITH l AS (SELECT label, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS dim,
+                  CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings),
+g AS (SELECT dim, label, count(*) AS n, sum(x) AS s, sum(x * x) AS ss FROM l GROUP BY dim, label),
+d AS (SELECT dim, sum(n) AS N, count(*) AS k, sum(s) AS S, sum(ss) AS SS, sum(s * s / n) AS br FROM g GROUP BY dim),
+f AS (SELECT dim, ((br - S * S / N) / (k - 1)) / ((SS - br) / (N - k)) AS f FROM d),
+r AS (SELECT dim, f, row_number() OVER (ORDER BY f DESC NULLS LAST, dim) AS rank FROM f)
+SELECT dim, round(f, 6) AS f_score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= {K.ANOVA_TOP_K}"""
     return q
