@@ -8,18 +8,17 @@ several columns at once:
 
 1. one pass: per column ``count`` and a ``percentile_approx`` sketch at
    ``p ± margin``; the sketch's rank guarantee brackets each wanted order
-   statistic in ``[lo, hi]``;
-2. one pass: rows below ``lo`` are counted and rows inside the bracket are
-   histogrammed into ``bins`` equal-width buckets per (column, quantile)
-   (partial aggregation; output <= columns x quantiles x bins rows);
+   statistic in ``[lo, hi]`` (for large inputs);
+2. one pass: rows are histogrammed into ``bins`` equal-width buckets of the
+   bracket plus one bucket below and one above it, per (column, quantile)
+   (partial aggregation; output <= columns x quantiles x (bins + 2) rows);
 3. a tiny running sum over the histogram picks the bucket holding each rank;
 4. only rows of those buckets are grouped by value (a hot value collapses to
    one row map-side) and a running count per bucket yields the exact value.
 
 Every intermediate is a partially-aggregated shuffle or a frame bounded by
-parameters (columns x quantiles x bins), so broadcasting it is safe.  A broken
-bracket (impossible while the sketch keeps its guarantee) raises instead of
-returning a wrong value.
+parameters (columns x quantiles x bins), so broadcasting it is safe.  The
+answer is exact even when the bracket misses (then an outer bucket is ranked).
 """
 
 from __future__ import annotations
@@ -74,11 +73,15 @@ def exact_quantiles_long(df: DataFrame, columns: Sequence[str], probs: Sequence[
 
     width = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
     tgt_j = tgt_b.withColumnRenamed("_c", "_tc")
-    binned = (base.join(tgt_j, (F.col("_c") == F.col("_tc")) & (F.col("_x") <= F.col("_hi")))
+    # bucket -1 = below the bracket, ``bins`` = above it; for large inputs the wanted ranks
+    # always land inside, for tiny inputs (bracket narrower than a rank) an outer bucket is
+    # simply picked and ranked exactly like any other.
+    binned = (base.join(tgt_j, F.col("_c") == F.col("_tc"))
                   .select("_c", "_k", "_x",
-                          F.when(F.col("_x") < F.col("_lo"), F.lit(-1)).otherwise(
-                              F.when(width > 0, F.least(F.floor((F.col("_x") - F.col("_lo")) / width),
-                                                        F.lit(bins - 1))).otherwise(F.lit(0))).alias("_bin")))
+                          F.when(F.col("_x") < F.col("_lo"), F.lit(-1))
+                           .when(F.col("_x") > F.col("_hi"), F.lit(bins))
+                           .when(width > 0, F.least(F.floor((F.col("_x") - F.col("_lo")) / width), F.lit(bins - 1)))
+                           .otherwise(F.lit(0)).alias("_bin")))
     hist = binned.groupBy("_c", "_k", "_bin").agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.partitionBy("_c", "_k").orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     hist = hist.withColumn("_cum", F.sum("_cnt").over(w)).withColumn("_before", F.col("_cum") - F.col("_cnt"))
@@ -98,11 +101,10 @@ def exact_quantiles_long(df: DataFrame, columns: Sequence[str], probs: Sequence[
                .where((F.col("_before") + F.col("_vcum") - F.col("_vc") <= F.col("_r"))
                       & (F.col("_r") < F.col("_before") + F.col("_vcum")))
                .groupBy("_c", "_k").agg(F.min(F.when(F.col("_which") == 0, F.col("_x"))).alias("_v0"),
-                                        F.min(F.when(F.col("_which") == 1, F.col("_x"))).alias("_v1"),
-                                        F.min(F.col("_bin")).alias("_minbin")))
+                                        F.min(F.when(F.col("_which") == 1, F.col("_x"))).alias("_v1")))
     return tgt.join(hit, ["_c", "_k"], "left").select(
         "_c", "_k",
-        F.when(F.col("_v0").isNull() | F.col("_v1").isNull() | (F.col("_minbin") < 0),
+        F.when(F.col("_v0").isNull() | F.col("_v1").isNull(),
                F.raise_error(F.lit("quantile bracket missed its rank"))).otherwise(
             F.col("_v0") + (F.col("_v1") - F.col("_v0")) * F.col("_frac")).alias("_q"))
 

@@ -159,17 +159,28 @@ GIFT_FIXED_FILL_EXCLUDE = ["stay_nights", "total_guests", "rate", "board", "requ
                            "arrival_date", "booking_date", "lead_time", "hotel_id"]
 
 
-def impute_for_gifting(df: DataFrame, as_of, key_cols: Sequence[str] = ("booking_id",),
-                       nights: int = K.DEFAULT_NIGHTS, guests: int = K.DEFAULT_GUESTS,
-                       rate: float = K.DEFAULT_RATE, board: str = K.DEFAULT_BOARD,
-                       arrival_days: int = K.ARRIVAL_FALLBACK_DAYS) -> DataFrame:
-    """Fixed defaults for the decision inputs, then mean (numeric) / mode (text,
-    boolean, timestamp) for every other column with gaps; arrival falls back to
-    ``as_of`` + 30 days.  ``as_of`` is a parameter so reruns are reproducible.
-
-    One aggregate computes every mean; modes use the scale-safe grouped count;
-    the one-row result is broadcast.  Casting nights/guests to int truncates.
-    """
+def fit_gift_imputation(df: DataFrame, key_cols: Sequence[str] = ("booking_id",)) -> DataFrame:
+    """I11 fit: one-row frame of means (numeric) and modes (text, boolean, timestamp)
+    for every column outside the fixed-default list."""
+    skip = set(GIFT_FIXED_FILL_EXCLUDE) | set(key_cols)
+    num, cat = [], []
+    for f in df.schema.fields:
+        if f.name in skip:
+            continue
+        if isinstance(f.dataType, NumericType):
+            num.append(f.name)
+        elif isinstance(f.dataType, (StringType, BooleanType, TimestampType, TimestampNTZType, DateType)):
+            cat.append(f.name)
+    return fit_imputer(df, num, cat, "mean") if (num or cat) else None
+
+
+def apply_gift_imputation(df: DataFrame, fills: DataFrame | None, as_of,
+                          nights: int = K.DEFAULT_NIGHTS, guests: int = K.DEFAULT_GUESTS,
+                          rate: float = K.DEFAULT_RATE, board: str = K.DEFAULT_BOARD,
+                          arrival_days: int = K.ARRIVAL_FALLBACK_DAYS) -> DataFrame:
+    """I11 transform: fixed defaults for the decision inputs (nights/guests truncated to
+    int), fitted fills for the rest, arrival falls back to ``as_of`` + 30 days.
+    Works on a stream too (``fills`` is a static one-row frame)."""
     out = df
     if "stay_nights" in df.columns:
         out = out.withColumn("stay_nights", F.coalesce(F.col("stay_nights"), F.lit(float(nights))).cast("int"))
@@ -181,20 +192,14 @@ def impute_for_gifting(df: DataFrame, as_of, key_cols: Sequence[str] = ("booking
         out = out.withColumn("board", F.coalesce(F.col("board"), F.lit(board)))
     if "required_car_parking_spaces" in df.columns:
         out = out.fillna(0, subset=["required_car_parking_spaces"])
-    skip = set(GIFT_FIXED_FILL_EXCLUDE) | set(key_cols)
-    num, cat = [], []
-    for f in df.schema.fields:
-        if f.name in skip:
-            continue
-        if isinstance(f.dataType, NumericType):
-            num.append(f.name)
-        elif isinstance(f.dataType, (StringType, BooleanType, TimestampType, TimestampNTZType, DateType)):
-            cat.append(f.name)
-    if num or cat:
-        out = apply_imputer(out, fit_imputer(df, num, cat, "mean"))
+    if fills is not None:
+        out = apply_imputer(out, fills)
     fallback = F.lit(as_of).cast("timestamp_ntz") + F.make_dt_interval(F.lit(arrival_days))
     if "arrival_date" in df.columns:
-        out = out.withColumn("arrival_date", F.coalesce(F.col("arrival_date"), fallback))
-    else:
-        out = out.withColumn("arrival_date", fallback)
-    return out
+        return out.withColumn("arrival_date", F.coalesce(F.col("arrival_date"), fallback))
+    return out.withColumn("arrival_date", fallback)
+
+
+def impute_for_gifting(df: DataFrame, as_of, key_cols: Sequence[str] = ("booking_id",), **defaults) -> DataFrame:
+    """I11 on one batch: fit on ``df`` itself, then apply (``as_of`` replaces "now")."""
+    return apply_gift_imputation(df, fit_gift_imputation(df, key_cols), as_of, **defaults)
