@@ -32,20 +32,23 @@ _ACCURACY = 10_000
 _BINS = 4_096
 
 
-def lower_bound_index(sorted_values: list[Column] | Column, n: int, x: Column, strict: bool = True) -> Column:
+def lower_bound_index(sorted_values: list[float] | str, n: int, x: str, strict: bool = True) -> Column:
     """Codegen-friendly binary search: number of ``v`` with ``v < x`` (``strict``) or
-    ``v <= x`` among ``n`` ascending values (a literal list or an array column).
-    Builds a CASE tree of depth log2(n) instead of an interpreted lambda."""
-    def at(i):
-        return sorted_values[i] if isinstance(sorted_values, list) else sorted_values[i]
-
-    def go(lo: int, hi: int) -> Column:
+    ``v <= x`` among ``n`` ascending values — a literal list, or the name of an array
+    column.  Emitted as one SQL ``CASE`` tree of depth log2(n) (a single parse on the
+    JVM, no per-node Python round trips), instead of an interpreted lambda."""
+    def at(i: int) -> str:
+        if isinstance(sorted_values, str):
+            return f"`{sorted_values}`[{i}]"
+        return f"CAST({float(sorted_values[i])!r} AS DOUBLE)"
+    op = "<" if strict else "<="
+
+    def go(lo: int, hi: int) -> str:
         if lo == hi:
-            return F.lit(lo)
+            return str(lo)
         mid = (lo + hi) // 2
-        below = at(mid) < x if strict else at(mid) <= x
-        return F.when(below, go(mid + 1, hi)).otherwise(go(lo, mid))
-    return go(0, n)
+        return f"CASE WHEN {at(mid)} {op} `{x}` THEN {go(mid + 1, hi)} ELSE {go(lo, mid)} END"
+    return F.expr(go(0, n))
 
 
 def exact_quantiles_long(df: DataFrame, columns: Sequence[str], probs: Sequence[float], *,
