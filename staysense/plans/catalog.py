@@ -409,6 +409,36 @@ def q_cv_threshold(spark, sf):
     return per.unionByName(glob.select(F.lit(None).cast("int").alias("fold"), "threshold", "fbeta"))
 
 
+def q_early_stopping(spark, sf):
+    """M2: boosted trees with a validation split (the K1 test rows) and tolerance-based
+    early stopping; trees kept and validation metrics."""
+    from staysense.functions.columns import present
+    from staysense.operators import model as MD
+    df = SP.stratified_split(_model_frame(spark, sf), "label", "booking_id", K.TEST_FRACTION, K.SEED)
+    model, trees = MD.early_stopped_boosting(df.withColumnRenamed("is_test", "is_valid"), present(df, MD.NUMERIC),
+                                             present(df, MD.CATEGORICAL), "is_valid", max_iter=REGISTERED_TREES)
+    valid = MD.positive_probability(model.transform(df.where(F.col("is_test") == 1)))
+    return M.roc_auc(valid, "label", "score").select(F.lit(trees).alias("trees_kept"), "roc_auc")
+
+
+def q_stacked_scores(spark, sf):
+    """O3: random-forest and boosted-tree out-of-fold scores (3 stratified folds) stacked
+    with a logistic meta-model; AUC of each column."""
+    from pyspark.ml.classification import RandomForestClassifier
+    from staysense.functions.columns import present
+    from staysense.operators import model as MD
+    df = SP.stratified_folds(_model_frame(spark, sf), "label", "booking_id", 3, K.SEED)
+    bases = {"rf": RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=REGISTERED_TREES,
+                                          seed=K.SEED),
+             "gbt": MD.boosted_trees(max_iter=REGISTERED_TREES)}
+    st = MD.stacked_scores(df, bases, present(df, MD.NUMERIC), present(df, MD.CATEGORICAL), "fold")
+    out = None
+    for c in ["score_rf", "score_gbt", "score"]:
+        a = M.roc_auc(st, "label", c).select(F.lit(c).alias("model"), "roc_auc")
+        out = a if out is None else out.unionByName(a)
+    return out
+
+
 def _search(spark, sf, random_pick: bool):
     from staysense.functions.columns import present
     from staysense.operators import model as MD

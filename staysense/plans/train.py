@@ -10,6 +10,7 @@ from staysense.operators import metrics as MET
 from staysense.operators import model as MD
 from staysense.operators import prepare as P
 from staysense.operators import split as SP
+from staysense.session import cut_lineage
 
 
 def model_frame(bookings: DataFrame, hotels: DataFrame, policy: str = "b") -> DataFrame:
@@ -25,11 +26,11 @@ def holdout_evaluation(df: DataFrame, estimator, test_fraction: float = K.TEST_F
     """Stratified split, fit preprocessing + model on train, grid-optimal threshold
     on test, metrics row (accuracy, precision, recall, F1, ROC AUC, PR AUC)."""
     from staysense.functions.columns import present
-    s = SP.stratified_split(df, "label", "booking_id", test_fraction, seed)
+    s = cut_lineage(SP.stratified_split(df, "label", "booking_id", test_fraction, seed))
     train, test = s.where(F.col("is_test") == 0), s.where(F.col("is_test") == 1)
     pipe = MD.classification_pipeline(estimator, present(df, MD.NUMERIC), present(df, MD.CATEGORICAL))
     model = pipe.fit(train)
-    scored = MD.positive_probability(model.transform(test)).select("label", "score").cache()
+    scored = cut_lineage(MD.positive_probability(model.transform(test)).select("label", "score"))
     best = MET.threshold_grid_search(scored, "label", "score").first()
     thr = best["best_threshold"]
     cm = MET.confusion_and_rates(scored, thr, "label", "score")
