@@ -358,6 +358,17 @@ def q_smote_tomek_balance(spark, sf):
         .agg(F.count(F.lit(1)).alias("rows"))
 
 
+KNN_IMPUTE_COLUMNS = ["rate", "stay_nights", "total_guests", "lead_time"]
+
+
+def q_knn_impute(spark, sf):
+    """I4: 5-NN imputation with the NaN-aware distance over the numeric booking inputs."""
+    from staysense.operators.impute_knn import knn_impute
+    df = inference(spark, sf).select("booking_id", *KNN_IMPUTE_COLUMNS)
+    out = knn_impute(df, KNN_IMPUTE_COLUMNS, "booking_id", K.KNN_NEIGHBORS, K.SEED)
+    return out.select("booking_id", *[F.round(c, 8).alias(c) for c in KNN_IMPUTE_COLUMNS])
+
+
 def q_variance_filter(spark, sf):
     """M12."""
     from staysense.operators.selection import variance_filter

@@ -611,6 +611,30 @@ joined AS (SELECT pick.*, nn5.n_id AS neighbor_id, b.vec AS nv FROM pick
 SELECT -(sample_no + 1) AS id, (SELECT label FROM mino) AS label, parent_id, neighbor_id, gap, sample_no,
        pv[1] + gap * (nv[1] - pv[1]) AS vec_first, pv[len(pv)] + gap * (nv[len(nv)] - pv[len(pv)]) AS vec_last
 FROM joined"""
+    cols = ["rate", "stay_nights", "total_guests", "lead_time"]
+    n = len(cols)
+    vlist = "[" + ", ".join(f"CAST({c} AS DOUBLE)" for c in cols) + "]"
+    any_null = " OR ".join(f"{c} IS NULL" for c in cols)
+    terms = [f"CASE WHEN qv[{i + 1}] IS NOT NULL AND nv[{i + 1}] IS NOT NULL THEN (qv[{i + 1}] - nv[{i + 1}]) * (qv[{i + 1}] - nv[{i + 1}]) ELSE {D(0.0)} END" for i in range(n)]
+    sq = terms[0]
+    for t in terms[1:]:
+        sq = f"({sq}) + ({t})"
+    mcount = " + ".join(f"CASE WHEN qv[{i + 1}] IS NOT NULL AND nv[{i + 1}] IS NOT NULL THEN 1 ELSE 0 END" for i in range(n))
+    fills, sel = [], []
+    for i, c in enumerate(cols):
+        fills.append(f"""f{i} AS (SELECT q_id, avg(nv[{i + 1}]) AS f FROM (
+    SELECT q_id, nv, row_number() OVER (PARTITION BY q_id ORDER BY d2, n_id) AS rk FROM d
+    WHERE qv[{i + 1}] IS NULL AND nv[{i + 1}] IS NOT NULL) WHERE rk <= {K.KNN_NEIGHBORS} GROUP BY q_id)""")
+        sel.append(f"round(coalesce(x.v[{i + 1}], f{i}.f, (SELECT CAST(sum(CAST(v[{i + 1}] AS DECIMAL(38,12))) AS DOUBLE) / CAST(count(v[{i + 1}]) AS DOUBLE) FROM x)), 8) AS {c}")
+    joins = " ".join(f"LEFT JOIN f{i} ON f{i}.q_id = x.id" for i in range(n))
+    q["knn_impute"] = f"""{BASE},
+{INFERENCE},
+x AS (SELECT booking_id AS id, {vlist} AS v, ({any_null}) AS recv FROM inf2),
+p AS (SELECT a.id AS q_id, b.id AS n_id, a.v AS qv, b.v AS nv FROM x a JOIN x b ON a.id <> b.id WHERE a.recv),
+d AS (SELECT q_id, n_id, qv, nv, (CAST({n} AS DOUBLE) / CAST(({mcount}) AS DOUBLE)) * ({sq}) AS d2
+      FROM p WHERE ({mcount}) > 0),
+{",".join(fills)}
+SELECT x.id AS booking_id, {", ".join(sel)} FROM x {joins}"""
     q["variance_filter"] = f"""WITH l AS (SELECT CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS dim,
                   CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings)
 SELECT dim, round(var_pop(x), 8) AS variance, var_pop(x) >= {D(K.VARIANCE_THRESHOLD)} AS kept FROM l GROUP BY dim"""
