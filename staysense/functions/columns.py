@@ -80,9 +80,14 @@ def sum_exact(c: Column, scale: int = 6) -> Column:
     return F.sum(F.round(c, scale).cast(f"decimal(18,{scale})")).cast("double")
 
 
-def mean_exact(c: str | Column, scale: int = 12) -> Column:
+def mean_exact_sql(name: str, scale: int = 12) -> str:
     """Mean as exact DECIMAL sum / count: the same double on every partitioning (and in
     the SQL oracle), unlike a floating-point running sum."""
+    return (f"try_divide(CAST(sum(CAST(`{name}` AS DECIMAL(38,{scale}))) AS DOUBLE), "
+            f"CAST(count(`{name}`) AS DOUBLE))")
+
+
+def mean_exact(c: str | Column, scale: int = 12) -> Column:
     x = col_or(c)
     return F.try_divide(F.sum(x.cast(f"decimal(38,{scale})")).cast("double"), F.count(x).cast("double"))
 

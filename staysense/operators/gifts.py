@@ -1,9 +1,10 @@
 """Retention-gift optimiser (G1-G8) as pure Column expressions.
 
-The reference evaluates it row by row in Python; here each quantity is a
-Column, the best gift is a left-to-right fold of ``when`` expressions (strictly
-better than the current best, earlier gift wins ties), and the whole thing is
-one projection inside whole-stage codegen: no UDF, no shuffle.
+The reference evaluates it row by row in Python; here each quantity is a SQL
+expression (built as text, parsed once on the JVM), the best gift is a
+``greatest`` plus a first-match ``CASE`` (strictly better than doing nothing,
+earlier gift wins ties), and the whole thing is a few flat projections inside
+whole-stage codegen: no UDF, no shuffle.
 
 ``hotel_type_match``: ``'as_coded'`` reproduces the shipped behaviour, where
 the hotel type is lower-cased before being compared with a capitalised name so
@@ -18,7 +19,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staysense.functions import constants as K
-from staysense.functions.columns import weekday_mon0
 
 GIFTS = ["A", "B", "C", "D"]
 
@@ -31,85 +31,104 @@ class GiftParams:
     as_of: str = "2000-01-01 00:00:00"          # replaces "now" for a missing arrival date
 
 
-def _is_type(name: str, p: GiftParams) -> Column:
+def _d(x: float) -> str:
+    """A DOUBLE literal in SQL text."""
+    return f"{float(x)!r}D"
+
+
+def _is_type_sql(name: str, p: GiftParams) -> str | None:
+    """Hotel-type test; ``None`` when it is constant-false (the as-coded case)."""
     if p.hotel_type_match == "as_coded":
-        return F.lit(False)
+        return None
     if p.hotel_type_match == "intended":
-        return F.coalesce(F.lower(F.col("hotel_type")).contains(name.lower()), F.lit(False))
+        return f"coalesce(contains(lower(hotel_type), '{name.lower()}'), false)"
     raise ValueError(p.hotel_type_match)
 
 
-def replacement_rate(p: GiftParams = GiftParams()) -> Column:
+def _pick(test: str | None, yes: float, no: float) -> str:
+    return _d(no) if test is None else f"CASE WHEN {test} THEN {_d(yes)} ELSE {_d(no)} END"
+
+
+# Every quantity below is built as SQL text and parsed once on the JVM: one driver
+# round trip per column instead of one per Column operator.
+def replacement_rate_sql(p: GiftParams = GiftParams()) -> str:
     """G1: chance a cancelled room is re-sold."""
-    arrival = F.coalesce(F.col("arrival_date"),
-                         F.lit(p.as_of).cast("timestamp_ntz") + F.make_dt_interval(F.lit(K.ARRIVAL_FALLBACK_DAYS)))
-    nights = F.col("stay_nights")
+    arrival = (f"coalesce(arrival_date, CAST('{p.as_of}' AS TIMESTAMP_NTZ) "
+               f"+ make_dt_interval({K.ARRIVAL_FALLBACK_DAYS}))")
     lo, hi = K.REPLACEMENT_SHORT_STAY
-    short_weekend = weekday_mon0(arrival).isin(*K.REPLACEMENT_WEEKEND_DAYS) & (nights >= lo) & (nights <= hi)
-    time_factor = F.when(F.coalesce(short_weekend, F.lit(False)), F.lit(K.TIME_FACTOR_SHORT_WEEKEND)) \
-                   .otherwise(F.lit(K.TIME_FACTOR_OTHER))
-    hotel_factor = F.when(_is_type("City Hotel", p), F.lit(K.HOTEL_FACTOR_CITY)).otherwise(F.lit(K.HOTEL_FACTOR_OTHER))
-    review_factor = F.least(F.lit(1.0), F.lit(K.REVIEW_FACTOR_SCALE) * F.col("avg_review"))   # least skips null -> 1.0
-    return time_factor * hotel_factor * review_factor
+    days = ", ".join(str(d) for d in K.REPLACEMENT_WEEKEND_DAYS)
+    short_weekend = f"weekday({arrival}) IN ({days}) AND stay_nights >= {lo} AND stay_nights <= {hi}"
+    time_factor = (f"CASE WHEN coalesce({short_weekend}, false) THEN {_d(K.TIME_FACTOR_SHORT_WEEKEND)} "
+                   f"ELSE {_d(K.TIME_FACTOR_OTHER)} END")
+    hotel_factor = _pick(_is_type_sql("City Hotel", p), K.HOTEL_FACTOR_CITY, K.HOTEL_FACTOR_OTHER)
+    review_factor = f"least(1.0D, {_d(K.REVIEW_FACTOR_SCALE)} * avg_review)"    # least skips null -> 1.0
+    return f"(({time_factor}) * {hotel_factor}) * {review_factor}"
 
 
-def eligible(g: str) -> Column:
+def eligible_sql(g: str) -> str:
     """G2."""
-    if g == "A":
-        return ~F.coalesce(F.col("board").isin(*K.MEAL_BOARDS), F.lit(False)) & F.coalesce(F.col("restaurant"), F.lit(False))
-    if g == "B":
-        return F.coalesce(F.col("total_rooms") > 80, F.lit(False))
-    if g == "C":
-        return F.coalesce(F.col("parking"), F.lit(False))
-    if g == "D":
-        return F.coalesce(F.col("pool_and_spa"), F.lit(False))
-    return F.lit(False)
+    boards = ", ".join(f"'{b}'" for b in K.MEAL_BOARDS)
+    return {"A": f"(NOT coalesce(board IN ({boards}), false) AND coalesce(restaurant, false))",
+            "B": "coalesce(total_rooms > 80, false)",
+            "C": "coalesce(parking, false)",
+            "D": "coalesce(pool_and_spa, false)"}.get(g, "false")
 
 
-def success_probability(g: str, p: GiftParams = GiftParams()) -> Column:
+def success_probability_sql(g: str, p: GiftParams = GiftParams()) -> str:
     """G3."""
     if g == "A":
-        return F.least(F.lit(1.0), F.sqrt(F.col("total_guests") * F.col("stay_nights")) / F.lit(K.SUCCESS_A_DIVISOR))
+        return f"least(1.0D, sqrt(total_guests * stay_nights) / {_d(K.SUCCESS_A_DIVISOR)})"
     if g == "B":
-        return F.when(_is_type("City Hotel", p), F.lit(K.SUCCESS_B_CITY)).otherwise(F.lit(K.SUCCESS_B_OTHER))
+        return _pick(_is_type_sql("City Hotel", p), K.SUCCESS_B_CITY, K.SUCCESS_B_OTHER)
     if g == "C":
-        return F.lit(K.SUCCESS_C)
+        return _d(K.SUCCESS_C)
     if g == "D":
-        return F.when(_is_type("Resort Hotel", p), F.lit(K.SUCCESS_D_RESORT)).otherwise(F.lit(K.SUCCESS_D_OTHER))
-    return F.lit(0.0)
+        return _pick(_is_type_sql("Resort Hotel", p), K.SUCCESS_D_RESORT, K.SUCCESS_D_OTHER)
+    return "0.0D"
 
 
-def gift_cost(g: str, p: GiftParams = GiftParams()) -> Column:
+def gift_cost_sql(g: str, p: GiftParams = GiftParams()) -> str:
     """G4 (campaign cost per offer included)."""
     c = p.unit_costs
-    nights, guests, rate = F.col("stay_nights"), F.col("total_guests"), F.col("rate")
-    if g == "A":
-        base = F.lit(c["A"]) * guests * nights
-    elif g == "B":
-        base = F.lit(c["B"]) * rate
-    elif g == "C":
-        base = F.lit(c["C"]) * nights
-    elif g == "D":
-        base = F.lit(c["D"]) * guests
-    else:
-        base = F.lit(0.0)
-    return base + F.lit(p.campaign_cost)
-
-
-def _ev_parts(prob: Column, p: GiftParams):
-    rate = F.col("rate")
-    replaced = rate * replacement_rate(p)
-    ev_none = (F.lit(1.0) - prob) * rate + prob * replaced          # G5
-    return rate, replaced, ev_none
-
-
-def gift_ev(g: str, prob: Column, p: GiftParams = GiftParams()) -> Column:
+    base = {"A": f"{_d(c['A'])} * total_guests * stay_nights" if "A" in c else None,
+            "B": f"{_d(c['B'])} * rate" if "B" in c else None,
+            "C": f"{_d(c['C'])} * stay_nights" if "C" in c else None,
+            "D": f"{_d(c['D'])} * total_guests" if "D" in c else None}.get(g) or "0.0D"
+    return f"({base}) + {_d(p.campaign_cost)}"
+
+
+def ev_none_sql(prob: str, p: GiftParams = GiftParams()) -> str:
+    """Expected value without any action."""
+    return f"((1.0D - {prob}) * rate) + ({prob} * (rate * ({replacement_rate_sql(p)})))"
+
+
+def gift_ev_sql(g: str, prob: str, p: GiftParams = GiftParams()) -> str:
     """Expected value when gift ``g`` is offered."""
-    rate, replaced, _ = _ev_parts(prob, p)
-    s = success_probability(g, p)
-    keep = (F.lit(1.0) - prob) + prob * s
-    still_cancel = prob * (F.lit(1.0) - s)
-    return keep * rate + still_cancel * replaced - gift_cost(g, p)
+    s = success_probability_sql(g, p)
+    keep = f"((1.0D - {prob}) + ({prob} * ({s})))"
+    still_cancel = f"({prob} * (1.0D - ({s})))"
+    replaced = f"(rate * ({replacement_rate_sql(p)}))"
+    return f"(({keep} * rate) + ({still_cancel} * {replaced})) - ({gift_cost_sql(g, p)})"
+
+
+def replacement_rate(p: GiftParams = GiftParams()) -> Column:
+    return F.expr(replacement_rate_sql(p))
+
+
+def eligible(g: str) -> Column:
+    return F.expr(eligible_sql(g))
+
+
+def success_probability(g: str, p: GiftParams = GiftParams()) -> Column:
+    return F.expr(success_probability_sql(g, p))
+
+
+def gift_cost(g: str, p: GiftParams = GiftParams()) -> Column:
+    return F.expr(gift_cost_sql(g, p))
+
+
+def gift_ev(g: str, prob_col: str = "cancellation_probability", p: GiftParams = GiftParams()) -> Column:
+    return F.expr(gift_ev_sql(g, f"`{prob_col}`", p))
 
 
 def decide_gifts(df: DataFrame, threshold: float | Column, prob_col: str = "cancellation_probability",
@@ -117,30 +136,27 @@ def decide_gifts(df: DataFrame, threshold: float | Column, prob_col: str = "canc
     """Adds ``gift`` (null = none), ``cost_of_selected_gift``,
     ``final_ev_with_gift_decision`` and ``ev_no_intervention``.
 
-    Each gift's EV/cost is a named column and the running best is a struct column
-    updated once per gift, so the expression tree stays linear in the number of
-    gifts (a nested ``when`` would re-embed the previous best and grow
-    exponentially past the 64 KB codegen limit)."""
-    prob = F.col(prob_col)
+    The reference walks the gifts in order and switches only to a *strictly* better
+    one.  The same choice without a fold: ``_m`` = best eligible EV (``greatest``
+    skips the nulls of ineligible gifts); the gift is the first one, in order, whose
+    EV equals ``_m`` and beats doing nothing.  Two flat projections, no struct chain."""
+    prob = f"`{prob_col}`"
     thr = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
-    _, _, ev_none = _ev_parts(prob, params)
-    out = df.withColumn("ev_no_intervention", ev_none)
-    out = out.select("*", *[c for g in GIFTS for c in (
-        F.when(eligible(g), gift_ev(g, prob, params)).alias(f"_ev_{g}"),
-        gift_cost(g, params).alias(f"_cost_{g}"))])
-    out = out.withColumn("_best", F.struct(F.lit(None).cast("string").alias("g"),
-                                           F.col("ev_no_intervention").alias("ev"), F.lit(0.0).alias("cost")))
-    for g in GIFTS:
-        better = F.coalesce(F.col(f"_ev_{g}") > F.col("_best.ev"), F.lit(False))
-        out = out.withColumn("_best", F.when(better, F.struct(F.lit(g).alias("g"), F.col(f"_ev_{g}").alias("ev"),
-                                                               F.col(f"_cost_{g}").alias("cost")))
-                             .otherwise(F.col("_best")))
-    risky = prob >= thr
+    evs = [f"CASE WHEN {eligible_sql(g)} THEN {gift_ev_sql(g, prob, params)} END AS `_ev_{g}`" for g in GIFTS]
+    costs = [f"{gift_cost_sql(g, params)} AS `_cost_{g}`" for g in GIFTS]
+    out = df.select("*", F.expr(ev_none_sql(prob, params)).alias("ev_no_intervention"), thr.alias("_thr"),
+                    *[F.expr(e) for e in evs + costs])
+    best = "greatest(" + ", ".join(f"`_ev_{g}`" for g in GIFTS) + ")"
+    pick = " ".join(f"WHEN `_ev_{g}` > ev_no_intervention AND `_ev_{g}` = `_m` THEN '{g}'" for g in GIFTS)
+    out = out.select("*", F.expr(best).alias("_m")).select("*", F.expr(f"CASE {pick} END").alias("_g"))
+    cost_of = "CASE `_g` " + " ".join(f"WHEN '{g}' THEN `_cost_{g}`" for g in GIFTS) + " ELSE 0.0D END"
+    risky = f"{prob} >= `_thr`"
     return out.select(
-        *df.columns, "ev_no_intervention",
-        F.when(risky, F.col("_best.g")).alias("gift"),
-        F.when(risky, F.col("_best.cost")).otherwise(F.lit(0.0)).alias("cost_of_selected_gift"),
-        F.when(risky, F.col("_best.ev")).otherwise(F.col("ev_no_intervention")).alias("final_ev_with_gift_decision"),
+        *[F.col(f"`{c}`") for c in df.columns], "ev_no_intervention",
+        F.expr(f"CASE WHEN {risky} THEN `_g` END").alias("gift"),
+        F.expr(f"CASE WHEN {risky} THEN {cost_of} ELSE 0.0D END").alias("cost_of_selected_gift"),
+        F.expr(f"CASE WHEN {risky} AND `_g` IS NOT NULL THEN `_m` ELSE ev_no_intervention END")
+         .alias("final_ev_with_gift_decision"),
     )
 
 
@@ -148,17 +164,16 @@ def gift_candidates(df: DataFrame, key: str = "booking_id", prob_col: str = "can
                     params: GiftParams = GiftParams()) -> DataFrame:
     """Long audit table, one row per (booking, eligible gift) with its EV and whether
     it beats doing nothing.  ``explode`` is a generator inside the same stage."""
-    prob = F.col(prob_col)
-    _, _, ev_none = _ev_parts(prob, params)
-    opts = F.array(*[F.struct(F.lit(g).alias("gift"), eligible(g).alias("eligible"),
-                              success_probability(g, params).alias("success_probability"),
-                              gift_cost(g, params).alias("gift_cost"),
-                              gift_ev(g, prob, params).alias("expected_value")) for g in GIFTS])
-    out = df.select(F.col(key), ev_none.alias("ev_no_intervention"), F.explode(opts).alias("o"))
-    return (out.where(F.col("o.eligible"))
-               .select(key, "o.gift", "o.success_probability", "o.gift_cost", "o.expected_value",
-                       "ev_no_intervention",
-                       (F.col("o.expected_value") > F.col("ev_no_intervention")).alias("beats_no_gift")))
+    prob = f"`{prob_col}`"
+    opts = ", ".join(
+        f"named_struct('gift', '{g}', 'eligible', {eligible_sql(g)}, "
+        f"'success_probability', {success_probability_sql(g, params)}, 'gift_cost', {gift_cost_sql(g, params)}, "
+        f"'expected_value', {gift_ev_sql(g, prob, params)})" for g in GIFTS)
+    out = df.select(F.col(key), F.expr(ev_none_sql(prob, params)).alias("ev_no_intervention"),
+                    F.expr(f"explode(array({opts}))").alias("o"))
+    return (out.where("o.eligible")
+               .selectExpr(key, "o.gift", "o.success_probability", "o.gift_cost", "o.expected_value",
+                           "ev_no_intervention", "o.expected_value > ev_no_intervention AS beats_no_gift"))
 
 
 def score_with_threshold(df: DataFrame, threshold: float | Column, prob_col: str = "cancellation_probability",

@@ -141,13 +141,10 @@ def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     columns = list(columns)
     types = {f.name: f.dataType for f in df.schema.fields}
-    cells = F.array(*[F.struct(F.lit(i).alias("_c"), F.col(c).cast("string").alias("_v"))
-                      for i, c in enumerate(columns)])
-    g = (df.select(F.explode(cells).alias("_e")).select("_e.*").where(F.col("_v").isNotNull())
+    cells = "array(" + ", ".join(f"named_struct('_c', {i}, '_v', CAST(`{c}` AS STRING))"
+                                 for i, c in enumerate(columns)) + ")"
+    g = (df.select(F.expr(f"inline({cells})")).where("_v IS NOT NULL")
            .groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n")))
-    aggs = []
-    for i, c in enumerate(columns):
-        v = F.col("_v").cast(types[c])
-        aggs.append(F.min(F.when(F.col("_c") == i, F.struct((-F.col("_n")).alias("_neg"), v.alias("_val"))))
-                    ["_val"].alias(c))
-    return g.agg(*aggs)
+    return g.agg(*[F.expr(f"min(CASE WHEN _c = {i} THEN named_struct('_neg', -_n, '_val', "
+                          f"CAST(_v AS {types[c].simpleString()})) END)._val").alias(c)
+                   for i, c in enumerate(columns)])

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
 from staysense.functions import constants as K
-from staysense.functions.columns import clip, mean_exact, present
+from staysense.functions.columns import clip, mean_exact_sql, present
 from staysense.operators.quantiles import exact_quantile_row, modes
 
 
@@ -99,7 +99,7 @@ def fit_imputer(df: DataFrame, numeric: Sequence[str] = (), categorical: Sequenc
     parts = []
     if numeric:
         if strategy == "mean":
-            parts.append(df.agg(*[mean_exact(c).alias(c) for c in numeric]))
+            parts.append(df.agg(*[F.expr(mean_exact_sql(c)).alias(c) for c in numeric]))
         elif strategy == "median":
             q = exact_quantile_row(df, {c: [0.5] for c in numeric})
             parts.append(q.select(*[F.col(c)[0].alias(c) for c in numeric]))
@@ -114,12 +114,12 @@ def fit_imputer(df: DataFrame, numeric: Sequence[str] = (), categorical: Sequenc
 
 
 def apply_imputer(df: DataFrame, fills: DataFrame, suffix: str = "__fill") -> DataFrame:
-    cols = fills.columns
-    renamed = fills.select(*[F.col(c).alias(c + suffix) for c in cols])
+    """``coalesce(column, fitted value)`` for every column of ``fills``, in one projection."""
+    cols = set(fills.columns)
+    renamed = fills.selectExpr(*[f"`{c}` AS `{c}{suffix}`" for c in fills.columns])
     out = _attach(df, renamed)
-    for c in cols:
-        out = out.withColumn(c, F.coalesce(F.col(c), F.col(c + suffix)))
-    return out.drop(*[c + suffix for c in cols])
+    return out.select(*[F.expr(f"coalesce(`{c}`, `{c}{suffix}`)").alias(c) if c in cols else F.col(f"`{c}`")
+                        for c in df.columns])
 
 
 def impute_constant(df: DataFrame, values: dict) -> DataFrame:
@@ -181,23 +181,18 @@ def apply_gift_imputation(df: DataFrame, fills: DataFrame | None, as_of,
     """I11 transform: fixed defaults for the decision inputs (nights/guests truncated to
     int), fitted fills for the rest, arrival falls back to ``as_of`` + 30 days.
     Works on a stream too (``fills`` is a static one-row frame)."""
-    out = df
-    if "stay_nights" in df.columns:
-        out = out.withColumn("stay_nights", F.coalesce(F.col("stay_nights"), F.lit(float(nights))).cast("int"))
-    if "total_guests" in df.columns:
-        out = out.withColumn("total_guests", F.coalesce(F.col("total_guests"), F.lit(float(guests))).cast("int"))
-    if "rate" in df.columns:
-        out = out.withColumn("rate", F.coalesce(F.col("rate").cast("double"), F.lit(rate)))
-    if "board" in df.columns:
-        out = out.withColumn("board", F.coalesce(F.col("board"), F.lit(board)))
-    if "required_car_parking_spaces" in df.columns:
-        out = out.fillna(0, subset=["required_car_parking_spaces"])
-    if fills is not None:
-        out = apply_imputer(out, fills)
-    fallback = F.lit(as_of).cast("timestamp_ntz") + F.make_dt_interval(F.lit(arrival_days))
-    if "arrival_date" in df.columns:
-        return out.withColumn("arrival_date", F.coalesce(F.col("arrival_date"), fallback))
-    return out.withColumn("arrival_date", fallback)
+    fixed = {"stay_nights": f"CAST(coalesce(stay_nights, {float(nights)!r}D) AS INT)",
+             "total_guests": f"CAST(coalesce(total_guests, {float(guests)!r}D) AS INT)",
+             "rate": f"coalesce(CAST(rate AS DOUBLE), {float(rate)!r}D)",
+             "board": f"coalesce(board, '{board}')"}
+    types = {f.name: f.dataType for f in df.schema.fields}
+    if isinstance(types.get("required_car_parking_spaces"), NumericType):     # fillna(0) semantics
+        fixed["required_car_parking_spaces"] = "coalesce(required_car_parking_spaces, 0)"
+    fallback = f"CAST('{as_of}' AS TIMESTAMP_NTZ) + make_dt_interval({int(arrival_days)})"
+    fixed["arrival_date"] = f"coalesce(arrival_date, {fallback})" if "arrival_date" in types else fallback
+    out = df.select(*[F.expr(fixed[c]).alias(c) if c in fixed else F.col(f"`{c}`") for c in df.columns],
+                    *([] if "arrival_date" in types else [F.expr(fallback).alias("arrival_date")]))
+    return apply_imputer(out, fills) if fills is not None else out
 
 
 def impute_for_gifting(df: DataFrame, as_of, key_cols: Sequence[str] = ("booking_id",), **defaults) -> DataFrame:

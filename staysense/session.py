@@ -12,6 +12,8 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+JIT_OPTIONS = "-XX:-DontCompileHugeMethods"
+
 
 def build_session(master: str | None = None, app: str = "staysense",
                   shuffle_partitions: int | None = None,
@@ -27,6 +29,10 @@ def build_session(master: str | None = None, app: str = "staysense",
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
          .config("spark.driver.memory", "16g")
+         # a fused stage (scan -> joins -> imputation -> gift decision -> partial agg) generates one
+         # processNext() beyond HotSpot's 8000-byte JIT limit; without this flag it runs interpreted
+         .config("spark.driver.extraJavaOptions", JIT_OPTIONS)
+         .config("spark.executor.extraJavaOptions", JIT_OPTIONS)
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)

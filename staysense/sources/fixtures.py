@@ -23,22 +23,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _code(c):
-    return F.try_element_at(F.array(*[F.lit(x) for x in COUNTRY_CODES]), c + F.lit(1))
+_CODES_SQL = "array(" + ", ".join(f"'{c}'" for c in COUNTRY_CODES) + ")"
 
 
+def _code(key: str) -> str:
+    return f"try_element_at({_CODES_SQL}, {key} + 1)"
+
+
+# Each column is one SQL expression string: a single JVM call per column when the
+# plan is built (Column-operator chains cost one driver round trip per operator).
 def hotels(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier").where(F.col("s_suppkey") < HOTEL_COUNT)
-    k = F.col("s_suppkey")
-    return s.select(
-        F.concat(F.lit("h"), k.cast("string")).alias("hotel_id"),
-        F.when(k % 2 == 0, "City Hotel").otherwise("Resort Hotel").alias("hotel_type"),
-        _code(F.col("s_nationkey")).alias("country"),
-        (k % 3 == 0).alias("parking"),
-        (F.lit(39) + k * 10).cast("int").alias("total_rooms"),
-        (k % 4 != 0).alias("restaurant"),
-        (k % 5 != 0).alias("pool_and_spa"),
-        ((F.lit(340) + k * 14).cast("double") / F.lit(100.0)).alias("avg_review"),
+    return s.selectExpr(
+        "concat('h', CAST(s_suppkey AS STRING)) AS hotel_id",
+        "CASE WHEN s_suppkey % 2 = 0 THEN 'City Hotel' ELSE 'Resort Hotel' END AS hotel_type",
+        f"{_code('s_nationkey')} AS country",
+        "s_suppkey % 3 = 0 AS parking",
+        "CAST(39 + s_suppkey * 10 AS INT) AS total_rooms",
+        "s_suppkey % 4 != 0 AS restaurant",
+        "s_suppkey % 5 != 0 AS pool_and_spa",
+        "CAST(340 + s_suppkey * 14 AS DOUBLE) / 100.0D AS avg_review",
     )
 
 
@@ -50,26 +54,25 @@ def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     b = o.join(c, o.o_custkey == c.c_custkey)
     # bigint arithmetic: identical to the int fixture while keys fit in int, no overflow beyond
-    k = F.col("o_orderkey")
-    arr = F.col("o_orderdate") + F.make_dt_interval(((k * 7) % 200).cast("int"))
-    null_if = lambda m, v: F.when(k % m == 0, F.lit(None)).otherwise(v)
-    return b.select(
-        k.alias("booking_id"),
-        F.concat(F.lit("h"), (F.col("o_custkey") % HOTEL_KEY_SPACE).cast("string")).alias("hotel_id"),
-        F.when(k % 97 == 0, F.lit(None).cast("string"))
-         .when(F.col("o_orderstatus") == "F", "Check-Out")
-         .when(F.col("o_orderstatus") == "P", "Canceled")
-         .when(k % 3 == 0, "Booked")
-         .when(k % 3 == 1, "No-Show").otherwise("Check-Out").alias("reservation_status"),
-        F.col("o_orderdate").alias("booking_date"),
-        arr.alias("arrival_date"),
-        (arr + F.make_dt_interval((F.lit(5) - (k * 13) % 60).cast("int"))).alias("reservation_status_date"),
-        null_if(53, F.col("o_totalprice") / F.lit(100.0)).alias("rate"),
-        null_if(59, (k % 16).cast("double")).alias("stay_nights"),
-        null_if(61, (F.lit(1) + k % 5).cast("double")).alias("total_guests"),
-        null_if(2, (k % 3).cast("double")).alias("required_car_parking_spaces"),
-        null_if(7, (k % 4).cast("double")).alias("special_requests"),
-        F.when(k % 6 == 0, "BB").when(k % 6 == 1, "HB").when(k % 6 == 2, "FB")
-         .when(k % 6 == 3, F.lit(None).cast("string")).otherwise("SC").alias("board"),
-        null_if(31, _code(F.col("c_nationkey"))).alias("country"),
+    arrival = "o_orderdate + make_dt_interval(CAST((o_orderkey * 7) % 200 AS INT))"
+
+    def null_if(m: int, v: str) -> str:
+        return f"CASE WHEN o_orderkey % {m} = 0 THEN NULL ELSE {v} END"
+    return b.selectExpr(
+        "o_orderkey AS booking_id",
+        f"concat('h', CAST(o_custkey % {HOTEL_KEY_SPACE} AS STRING)) AS hotel_id",
+        "CASE WHEN o_orderkey % 97 = 0 THEN CAST(NULL AS STRING) WHEN o_orderstatus = 'F' THEN 'Check-Out' "
+        "WHEN o_orderstatus = 'P' THEN 'Canceled' WHEN o_orderkey % 3 = 0 THEN 'Booked' "
+        "WHEN o_orderkey % 3 = 1 THEN 'No-Show' ELSE 'Check-Out' END AS reservation_status",
+        "o_orderdate AS booking_date",
+        f"{arrival} AS arrival_date",
+        f"{arrival} + make_dt_interval(CAST(5 - (o_orderkey * 13) % 60 AS INT)) AS reservation_status_date",
+        f"{null_if(53, 'o_totalprice / 100.0D')} AS rate",
+        f"{null_if(59, 'CAST(o_orderkey % 16 AS DOUBLE)')} AS stay_nights",
+        f"{null_if(61, 'CAST(1 + o_orderkey % 5 AS DOUBLE)')} AS total_guests",
+        f"{null_if(2, 'CAST(o_orderkey % 3 AS DOUBLE)')} AS required_car_parking_spaces",
+        f"{null_if(7, 'CAST(o_orderkey % 4 AS DOUBLE)')} AS special_requests",
+        "CASE WHEN o_orderkey % 6 = 0 THEN 'BB' WHEN o_orderkey % 6 = 1 THEN 'HB' WHEN o_orderkey % 6 = 2 THEN 'FB' "
+        "WHEN o_orderkey % 6 = 3 THEN CAST(NULL AS STRING) ELSE 'SC' END AS board",
+        f"{null_if(31, _code('c_nationkey'))} AS country",
     )
