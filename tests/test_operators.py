@@ -157,3 +157,32 @@ def test_missing_columns_are_tolerated(spark):
     df = spark.createDataFrame([(1, "FRA")], "booking_id long, country_x string")
     out = P.guest_flags(P.map_continent(df, "country_y", "continent_hotel")).first()
     assert out.is_foreign == 0 and out.num_assets == 0 and out.continent_hotel == K.UNKNOWN_CONTINENT
+
+
+@pytest.mark.parametrize("exclude_self", [True, False])
+def test_knn_hot_vector_matches_brute_force(spark, exclude_self):
+    """A third of the rows share one vector (a hot key); the rest sit on a coarse grid
+    (more duplicates).  Exact top-k with ties by id must equal brute force."""
+    import numpy as np
+    from staysense.operators.neighbors import knn, knn_grouped
+    rng = np.random.default_rng(7)
+    n, k = 240, 5
+    vecs = [[0.0, 0.0] if i % 3 == 0 else [float(rng.integers(0, 6)), float(rng.integers(0, 6))] for i in range(n)]
+    df = spark.createDataFrame([(i, v, i % 2) for i, v in enumerate(vecs)], "id long, vec array<double>, g int")
+    x = np.array(vecs)
+    expect = set()
+    for i in range(n):
+        d = np.sqrt(((x - x[i]) ** 2).sum(axis=1))
+        order = sorted((d[j], j) for j in range(n) if not (exclude_self and j == i))[:k]
+        expect |= {(i, j, r + 1, round(float(dist), 9)) for r, (dist, j) in enumerate(order)}
+    got = {(r.q_id, r.n_id, r.rank, round(r.dist, 9))
+           for r in knn(df, df, k=k, exclude_self=exclude_self, n_cells=4).collect()}
+    assert got == expect
+    expect_g = set()
+    for i in range(n):
+        same = [j for j in range(n) if j % 2 == i % 2 and not (exclude_self and j == i)]
+        d = {j: float(np.sqrt(((x[j] - x[i]) ** 2).sum())) for j in same}
+        expect_g |= {(i, j, r + 1) for r, j in enumerate(sorted(same, key=lambda j: (d[j], j))[:k])}
+    got_g = {(r.q_id, r.n_id, r.rank)
+             for r in knn_grouped(df, df, k, group="g", exclude_self=exclude_self, rows_per_cell=20).collect()}
+    assert got_g == expect_g
