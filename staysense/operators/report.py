@@ -8,7 +8,7 @@ cluster partitioned the data.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from staysense.functions import constants as K
@@ -51,8 +51,8 @@ def gift_distribution(decided: DataFrame, prob_col: str = "cancellation_probabil
         F.count(F.lit(1)).alias("bookings"),
         sum_exact(F.col(prob_col)).alias("_psum"),
         sum_exact(F.col("cost_of_selected_gift")).alias("_csum"))
-    total = decided.agg(F.count(F.lit(1)).alias("_total"))
-    return per.crossJoin(F.broadcast(total)).select(          # one-row total
+    # the total is a window over the <= 5 grouped rows, not a second pass over the bookings
+    return per.select("*", F.sum("bookings").over(Window.partitionBy()).alias("_total")).select(
         "gift",
         F.coalesce(F.try_element_at(names, F.col("gift")),
                    F.when(F.col("gift").isNull(), F.lit(K.NO_GIFT_NAME)).otherwise(F.lit("Null"))).alias("gift_name"),
@@ -96,11 +96,13 @@ def probability_segments(decided: DataFrame, threshold: float, prob_col: str = "
         band = F.when(cond, F.lit(i)) if band is None else band.when(cond, F.lit(i))
     bounds = F.array(*[F.struct(F.lit(float(lo)).alias("lo"), F.lit(float(hi)).alias("hi"))
                        for lo, hi in segment_bounds(threshold)])
-    any_pred = decided.agg(F.max(F.col(pred_col)).alias("_any"))
-    seg = (decided.select(band.alias("segment"), F.col("gift").isNotNull().cast("int").alias("_g"))
-                  .where(F.col("segment").isNotNull())
-                  .groupBy("segment").agg(F.count(F.lit(1)).alias("bookings"), F.sum("_g").cast("bigint").alias("gifts")))
-    return (seg.crossJoin(F.broadcast(any_pred)).where(F.col("_any") == 1)
+    # one pass: the out-of-band rows form the null group, which still feeds "anything
+    # predicted?" (a window over the <= 6 grouped rows) and is dropped afterwards
+    seg = (decided.select(band.alias("segment"), F.col("gift").isNotNull().cast("int").alias("_g"), F.col(pred_col))
+                  .groupBy("segment").agg(F.count(F.lit(1)).alias("bookings"), F.sum("_g").cast("bigint").alias("gifts"),
+                                          F.max(pred_col).alias("_anyp")))
+    return (seg.select("*", F.max("_anyp").over(Window.partitionBy()).alias("_any"))
+               .where(F.col("segment").isNotNull() & (F.col("_any") == 1))
                .select("segment", bounds[F.col("segment")]["lo"].alias("prob_low"),
                        bounds[F.col("segment")]["hi"].alias("prob_high"), "bookings", "gifts",
                        _pct(F.col("gifts"), F.col("bookings")).alias("gift_pct")))

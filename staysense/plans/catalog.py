@@ -6,7 +6,7 @@ grows with the tables; nothing is sampled, capped or filtered by id.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from staysense.functions import constants as K
@@ -74,16 +74,21 @@ def q_filter_closed_bookings(spark, sf):
 
 
 def q_late_cancellation_target(spark, sf):
-    """Class balance of the three target policies."""
-    parts = []
-    for pol in ("a", "b", "c"):
-        df = closed(spark, sf, pol)
-        parts.append(df.select(F.lit(pol).alias("policy"), "target"))
-    u = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    g = u.groupBy("policy", "target").agg(F.count(F.lit(1)).alias("bookings"))
-    tot = u.groupBy("policy").agg(F.count(F.lit(1)).alias("_t"))
-    return g.join(tot, "policy").select("policy", "target", "bookings",
-                                        F.round(F.col("bookings") * 100.0 / F.col("_t"), 4).alias("share_pct"))
+    """Class balance of the three target policies.
+
+    One scan: every row emits one (policy, kept?, target) entry per policy (policy a
+    drops unknown status, b and c keep it; relabelling No-Show does not change a
+    Canceled test), one partially aggregated groupBy, and the per-policy total is a
+    window over the <= 6 aggregated rows."""
+    df = P.add_day_diffs(P.parse_dates(merged(spark, sf)))
+    s = F.col("reservation_status")
+    keep_known, keep_all = F.coalesce(s != "Booked", F.lit(False)), ~s.eqNullSafe("Booked")
+    opts = F.array(*[F.struct(F.lit(pol).alias("policy"), keep.alias("_keep"), P.late_cancel_flag(pol).alias("target"))
+                     for pol, keep in (("a", keep_known), ("b", keep_all), ("c", keep_all))])
+    g = (df.select(F.inline(opts)).where(F.col("_keep"))
+           .groupBy("policy", "target").agg(F.count(F.lit(1)).alias("bookings")))
+    total = F.sum("bookings").over(Window.partitionBy("policy"))
+    return g.select("policy", "target", "bookings", F.round(F.col("bookings") * 100.0 / total, 4).alias("share_pct"))
 
 
 def q_calendar_features(spark, sf):
