@@ -7,6 +7,8 @@ into the Parquet scans; nothing here collects or samples.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,8 +21,15 @@ HOTEL_COUNT = 10          # s_suppkey < 10 -> hotels h0..h9
 HOTEL_KEY_SPACE = 12      # bookings reference h0..h11 (h10, h11 unmatched on purpose)
 
 
+@functools.lru_cache(maxsize=128)
+def _read(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The driver table as a DataFrame.  Reading lists files and parses Parquet footers
+    on the driver, so the (immutable) DataFrame is reused per session and path."""
+    return _read(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 _CODES_SQL = "array(" + ", ".join(f"'{c}'" for c in COUNTRY_CODES) + ")"
