@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from staysense.llm import line_quality, source_mix
+from staysense.llm import doc_winnow, line_quality, line_runs, secret_scan, source_mix
 from staysense.llm.common import table
 
 
@@ -18,5 +19,21 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.taken(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_lines, op3_source_mix)}
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text after line dedup, and the numbers (from 0) of the lines that went."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = line_runs.drop_repeats(docs, removed_col="removed")
+    return out.select("doc_id", "text", F.size("removed").cast("long").alias("n_removed"),
+                      F.concat_ws(",", F.transform("removed", lambda x: x.cast("string"))).alias("removed_lines"))
+
+
+def op10_doc_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return doc_winnow.digest(doc_winnow.compare_edited(table(spark, sf_dir, "documents")))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_lines, op3_source_mix, op4_secret_scan, op8_line_dedup, op10_doc_fingerprints)}
 ORACLE_SQL: dict[str, str] = {}
