@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staysense.llm import doc_winnow, line_quality, line_runs, secret_scan, source_mix
+from staysense.llm import doc_winnow, line_quality, line_runs, secret_scan, source_mix, url_templates
 from staysense.llm.common import table
 
 
@@ -15,6 +15,23 @@ def op1_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "kept", "removed_words")
 
 
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"),
+             ("block", "net/fr/")]
+
+
+def op2_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels beside the rules: a url names its document by number, and ``labels`` has that document's."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    number = F.regexp_extract(url_templates.host_path(F.col("url"))[1], r"/([0-9]{1,18})(?:\.[a-z]+)?/?$", 1)
+    named = pages.select(F.col("page_id").alias("id"), number.alias("number")).where("number <> ''").select(
+        "id", F.col("number").cast("long").alias("doc_id"))
+    labels = table(spark, sf_dir, "labels").select(
+        F.col("doc_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
+    out = url_templates.judge(pages, URL_RULES, named.join(labels, "doc_id").select("id", "bad"))
+    return out.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict", "template", "labelled",
+                      F.round("bad_share", 9).alias("bad_share"))
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.taken(table(spark, sf_dir, "documents"))
 
@@ -35,5 +52,5 @@ def op10_doc_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doc_winnow.digest(doc_winnow.compare_edited(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_lines, op3_source_mix, op4_secret_scan, op8_line_dedup, op10_doc_fingerprints)}
+QUERIES = {f.__name__: f for f in (op1_quality_lines, op2_url_templates, op3_source_mix, op4_secret_scan, op8_line_dedup, op10_doc_fingerprints)}
 ORACLE_SQL: dict[str, str] = {}
