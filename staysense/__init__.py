@@ -1,15 +1,11 @@
-"""staysense: booking-cancellation analytics expressed as Spark DataFrame jobs.
-
-Every public operator takes and returns a ``pyspark.sql.DataFrame`` (or builds a
-``Column``), so whole flows compose with ``df.transform`` and stay inside
-Catalyst / whole-stage codegen.  Sub-packages:
-
-* ``sources``   readers, writers and the fixture views over the driver tables
-* ``functions`` Column-level helpers (dates, null-safe arithmetic, hashing, fixed values)
-* ``operators`` labelling, features, statistics, splits, balancing, models, metrics,
-                gift decisions and reports
-* ``plans``     end-to-end flows (train, score) and the registered query catalogue
-* ``streaming`` Structured Streaming variant of the scoring flow
+"""Booking-cancellation analytics on Spark.
+
+Functions of this package that run on executors are pickled by value, so the
+package itself need not be installed there.
 """
 
-__version__ = "0.1.0"
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
