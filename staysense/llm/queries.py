@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staysense.llm import doc_winnow, line_quality, line_runs, secret_scan, simhash_mih, source_mix, url_templates
+from staysense.llm import doc_winnow, line_quality, line_runs, ngram_bloom, secret_scan, simhash_mih, source_mix, url_templates
 from staysense.llm.common import table
 
 
@@ -40,6 +40,10 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
+def op5_ngram_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_bloom.score(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_mih.group(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -57,5 +61,5 @@ def op10_doc_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doc_winnow.digest(doc_winnow.compare_edited(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_lines, op2_url_templates, op3_source_mix, op4_secret_scan, op6_simhash, op8_line_dedup, op10_doc_fingerprints)}
+QUERIES = {f.__name__: f for f in (op1_quality_lines, op2_url_templates, op3_source_mix, op4_secret_scan, op5_ngram_bloom, op6_simhash, op8_line_dedup, op10_doc_fingerprints)}
 ORACLE_SQL: dict[str, str] = {}
