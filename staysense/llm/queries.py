@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staysense.llm import doc_winnow, line_quality, line_runs, ngram_bloom, secret_scan, simhash_mih, source_mix, url_templates
+from staysense.llm import bpe_tree, doc_winnow, line_quality, line_runs, ngram_bloom, secret_scan, simhash_mih, source_mix, url_templates
 from staysense.llm.common import table
 
 
@@ -57,9 +57,14 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.concat_ws(",", F.transform("removed", lambda x: x.cast("string"))).alias("removed_lines"))
 
 
+def op9_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return bpe_tree.encode_decode(docs, bpe_tree.read_spec(), full=False).drop("ids", "decoded")
+
+
 def op10_doc_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doc_winnow.digest(doc_winnow.compare_edited(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_lines, op2_url_templates, op3_source_mix, op4_secret_scan, op5_ngram_bloom, op6_simhash, op8_line_dedup, op10_doc_fingerprints)}
+QUERIES = {f.__name__: f for f in (op1_quality_lines, op2_url_templates, op3_source_mix, op4_secret_scan, op5_ngram_bloom, op6_simhash, op8_line_dedup, op9_bpe_tree, op10_doc_fingerprints)}
 ORACLE_SQL: dict[str, str] = {}
