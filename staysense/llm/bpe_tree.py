@@ -162,17 +162,19 @@ def _digests(ids: bytes, text: bytes) -> tuple:
 _OUT = "n_tokens bigint, ids_sha256 string, decoded_sha256 string, ids binary, decoded string"
 
 
-def _batch(rest: list, names: list[str], rows: list[tuple], full: bool) -> pa.RecordBatch:
-    cols = list(zip(*rows)) if rows else [()] * 5
-    kinds = [pa.int64(), pa.string(), pa.string(), pa.binary(), pa.string()]
-    values = [pa.array(c if full or i < 3 else [None] * len(rows), k) if i < 4 else
-              pa.array([x.decode() for x in c] if full else [None] * len(rows), k) for i, (c, k) in enumerate(zip(cols, kinds))]
+def _batch(rest: list, names: list[str], rows: list[tuple], keep: tuple[str, ...]) -> pa.RecordBatch:
+    n, ids_sha, text_sha, ids, texts = zip(*rows) if rows else [()] * 5
+    none = [None] * len(rows)
+    values = [pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string()),
+              pa.array(ids if "ids" in keep else none, pa.binary()),
+              pa.array([x.decode() for x in texts] if "decoded" in keep else none, pa.string())]
     return pa.RecordBatch.from_arrays([*rest, *values], names=[*names, "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"])
 
 
-def encode_decode(df: DataFrame, spec: str, id_col: str = "doc_id", text_col: str = "text", full: bool = True,
+def encode_decode(df: DataFrame, spec: str, id_col: str = "doc_id", text_col: str = "text",
+                  keep: tuple[str, ...] = ("ids", "decoded"),
                   leaf: int = LEAF, spread: int = SPREAD) -> DataFrame:
-    """doc_id, n_tokens, SHA-256 of ids and of the decoded text, and with ``full`` both themselves.
+    """doc_id, n_tokens, SHA-256 of ids and of the decoded text, and those of both that ``keep`` names.
 
     ``spec``: the tokenizer's JSON.  Ids are little-endian unsigned 32-bit integers.
     """
@@ -188,16 +190,16 @@ def encode_decode(df: DataFrame, spec: str, id_col: str = "doc_id", text_col: st
             for at in range(0, batch.num_rows, 256):        # few results at a time
                 some = texts.slice(at, 256)
                 rows = [_digests(*words.encode(t.as_py().split())) for t in some]   # bytes: ASCII blanks only
-                yield _batch([batch.column(0).slice(at, 256)], ["doc_id"], rows, full)
+                yield _batch([batch.column(0).slice(at, 256)], ["doc_id"], rows, keep)
 
     out = docs.where(~unsplit).mapInArrow(whole, f"doc_id {kind}, {_OUT}")
     long = docs.where(unsplit).withColumn("key", row_key(F.col("doc_id"), F.col("text")))
-    if long.isEmpty():
-        return out
-    return out.unionByName(_spread(long, shared, kind, full, leaf, spread))
+    if not long.isEmpty():
+        out = out.unionByName(_spread(long, shared, kind, keep, leaf, spread))
+    return out.drop(*({"ids", "decoded"} - set(keep)))
 
 
-def _spread(long: DataFrame, shared, kind: str, full: bool, leaf: int, spread: int) -> DataFrame:
+def _spread(long: DataFrame, shared, kind: str, keep: tuple[str, ...], leaf: int, spread: int) -> DataFrame:
     """The same for texts with long unsplit stretches: halves are rows, joins are rounds over rows."""
     rows_of = pa.schema([("key", pa.int64()), ("piece", pa.int32()), ("half", pa.int64()), ("halves", pa.int64()),
                          ("body", pa.string()), ("done", pa.bool_())])
@@ -253,7 +255,7 @@ def _spread(long: DataFrame, shared, kind: str, full: bool, leaf: int, spread: i
         words = Words(shared.value, leaf)
         tokens = [t for r in sorted(rows.to_pylist(), key=lambda r: r["piece"]) for t in r["body"].split(" ") if t]
         ids = b"".join(words.id_of(t).to_bytes(4, "little") for t in tokens)
-        batch = _batch([pa.array([key[0].as_py()], pa.int64())], ["key"], [_digests(ids, " ".join(tokens).encode())], full)
+        batch = _batch([pa.array([key[0].as_py()], pa.int64())], ["key"], [_digests(ids, " ".join(tokens).encode())], keep)
         return pa.Table.from_batches([batch])
 
     joined.__annotations__ = {"rows": pa.Table, "return": pa.Table}

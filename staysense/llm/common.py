@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from staysense.session import ensure_checkpoint_dir
+
 WORD_GAP = r"[\x20\x09-\x0D]+"      # what separates words; everything else is part of a word
 
 
@@ -27,5 +31,8 @@ def row_key(*cols: Column) -> Column:
     return F.xxhash64(*[F.coalesce(c.cast("string"), F.lit("\x00null")) for c in cols])
 
 
-def partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet under the session's shared checkpoint folder, and read again."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -119,5 +119,5 @@ def keep_documents(df: DataFrame, rules: LineRules = LineRules(), id_col: str =
                    host_col: str = "source", text_col: str = "text") -> DataFrame:
     """The input rows that pass, all columns as they came."""
     key = row_key(F.col(id_col), F.col(host_col).cast("string"), F.coalesce(F.col(text_col), F.lit("")))
-    kept = judge(df, rules, id_col, host_col, text_col).where("kept").select(F.col("key").alias("__k")).distinct()
-    return df.withColumn("__key", key).join(kept, F.col("__key") == F.col("__k"), "left_semi").drop("__key")
+    gone = judge(df, rules, id_col, host_col, text_col).where("NOT kept").select(F.col("key").alias("__gone")).distinct()
+    return df.withColumn("__key", key).join(gone, F.col("__key") == F.col("__gone"), "left_anti").drop("__key")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staysense.llm import bpe_tree, doc_winnow, line_quality, line_runs, ngram_bloom, secret_scan, simhash_mih, source_mix, url_templates
+from staysense.llm import (bpe_tree, byte_gru, doc_winnow, line_quality, line_runs, ngram_bloom, secret_scan, simhash_mih,
+                           source_mix, url_templates)
 from staysense.llm.common import table
 
 
@@ -49,6 +50,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_byte_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_gru.identify(table(spark, sf_dir, "documents"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text after line dedup, and the numbers (from 0) of the lines that went."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -59,12 +64,12 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return bpe_tree.encode_decode(docs, bpe_tree.read_spec(), full=False).drop("ids", "decoded")
+    return bpe_tree.encode_decode(docs, bpe_tree.read_spec(), keep=())
 
 
 def op10_doc_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doc_winnow.digest(doc_winnow.compare_edited(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_lines, op2_url_templates, op3_source_mix, op4_secret_scan, op5_ngram_bloom, op6_simhash, op8_line_dedup, op9_bpe_tree, op10_doc_fingerprints)}
+QUERIES = {f.__name__: f for f in (op1_quality_lines, op2_url_templates, op3_source_mix, op4_secret_scan, op5_ngram_bloom, op6_simhash, op7_byte_gru, op8_line_dedup, op9_bpe_tree, op10_doc_fingerprints)}
 ORACLE_SQL: dict[str, str] = {}
