@@ -10,6 +10,7 @@ DEFAULT_NIGHTS = 2
 DEFAULT_GUESTS = 2
 DEFAULT_RATE = 250.0
 DEFAULT_BOARD = "SC"
+UNKNOWN_TEXT = "Unknown"
 CAMPAIGN_COST_PER_OFFER = 5.0
 DEFAULT_FALLBACK_THRESHOLD = 0.4912
 DEFAULT_AVG_REVIEW = 5.0

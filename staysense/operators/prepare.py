@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from staysense.functions import constants as K
 from staysense.functions.columns import day_diff, flag, null_guarded, parse_timestamp, present, weekday_mon0
 from staysense.functions.joins import bounded_broadcast, literal_lookup
+from staysense.operators.quantiles import exact_quantile_row
 
 STATUS = "reservation_status"
 DATE_COLUMNS = ["arrival_date", "booking_date", "reservation_status_date"]
@@ -150,49 +151,46 @@ def band_features(df: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------- X12-X13
-def price_per_night(df: DataFrame, fill_median: bool = True) -> DataFrame:
-    """Rate / max(stay_nights, 1), null kept when either input is null.  The
-    reference then fills non-finite values with the column median (one global
-    aggregate joined back as a one-row broadcast)."""
+PRICE_PROBS = [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]
+
+
+def price_per_night(df: DataFrame, out: str = "price_per_night") -> DataFrame:
+    """Rate / max(stay_nights, 1), null when either input is null."""
     n = F.col("stay_nights")
-    ppn = F.try_divide(F.col("rate"), null_guarded(n, F.greatest(n, F.lit(1.0))))
-    df = df.withColumn("price_per_night", ppn)
-    if not fill_median:
-        return df
-    med = df.agg(F.median("price_per_night").alias("_ppn_median"))
-    return (df.crossJoin(F.broadcast(med))        # one row: size bound is 1
-              .withColumn("price_per_night", F.coalesce("price_per_night", "_ppn_median"))
-              .drop("_ppn_median"))
-
-
-def price_quintile_edges(df: DataFrame, column: str = "price_per_night", exact: bool = True) -> DataFrame:
-    """X13 fit: one-row frame with the 0, .2, .4, .6, .8, 1 quantiles (linear interpolation).
-    ``exact=False`` uses ``percentile_approx`` (bounded memory at any scale)."""
-    probs = [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]
-    if exact:
-        q = F.percentile(F.col(column), F.array(*[F.lit(p) for p in probs]))
-    else:
-        q = F.percentile_approx(F.col(column), F.array(*[F.lit(p) for p in probs]), 100_000)
-    return df.agg(q.alias("_q"))
-
-
-def price_category(df: DataFrame, edges: DataFrame | None = None, column: str = "price_per_night",
-                   out: str = "price_category") -> DataFrame:
-    """X13 transform: five equal-frequency bands, lowest edge included.  Duplicate edges
-    make the label count mismatch, which the reference rejects; here too (bands
-    are computed lazily, so the check is a Column-level ``raise_error``)."""
-    if edges is None:
-        edges = price_quintile_edges(df, column)
-    q = F.col("_q")
-    x = F.col(column)
-    distinct_edges = F.size(F.array_distinct(q))
+    return df.withColumn(out, F.try_divide(F.col("rate"), null_guarded(n, F.greatest(n, F.lit(1.0)))))
+
+
+def fit_prices(df: DataFrame, column: str = "price_per_night") -> DataFrame:
+    """X12/X13 fit on the prices there are: one row with ``_q``, the edges at 0, .2, .4, .6, .8, 1
+    (linear interpolation), and ``_median``; both from the same distributed passes."""
+    row = exact_quantile_row(df.select(column), {column: PRICE_PROBS + [0.5]})
+    q = F.col(column)
+    return row.select(F.slice(q, 1, len(PRICE_PROBS)).alias("_q"), F.element_at(q, -1).alias("_median"))
+
+
+def apply_prices(df: DataFrame, fitted: DataFrame, column: str = "price_per_night",
+                 out: str = "price_category") -> DataFrame:
+    """X13, then the fill of X12: five equal-frequency bands, lowest edge included, on the price
+    itself (a missing price has no band); missing prices become the median afterwards.
+    Duplicate edges make the label count mismatch, which the reference rejects; here too
+    (bands are computed lazily, so the check is a Column-level ``raise_error``)."""
+    q, x = F.col("_q"), F.col(column)
     band = None
     for i, label in enumerate(K.PRICE_LABELS):
         lo, hi = q[i], q[i + 1]
         cond = ((x >= lo) if i == 0 else (x > lo)) & (x <= hi)
         band = F.when(cond, label) if band is None else band.when(cond, label)
-    checked = F.when(distinct_edges < 6, F.raise_error(F.lit("price quintile edges are not unique"))).otherwise(band)
-    return df.crossJoin(F.broadcast(edges)).withColumn(out, checked).drop("_q")
+    unique = F.size(F.array_distinct(q)) == len(PRICE_PROBS)
+    checked = F.when(~unique, F.raise_error(F.lit("price quintile edges are not unique"))).otherwise(band)
+    return (df.crossJoin(F.broadcast(fitted))             # one row
+              .withColumn(out, checked)
+              .withColumn(column, F.coalesce(column, "_median")).drop("_q", "_median"))
+
+
+def price_features(df: DataFrame, fitted: DataFrame | None = None) -> DataFrame:
+    """X12 + X13 fitted on ``df`` itself, or with what ``fit_prices`` gave for other rows."""
+    df = price_per_night(df)
+    return apply_prices(df, fit_prices(df) if fitted is None else fitted)
 
 
 # ------------------------------------------------------------------- X14-X16
@@ -266,11 +264,10 @@ def align_to_schema(df: DataFrame, schema) -> DataFrame:
 def engineer_features(df: DataFrame, as_coded: bool = False) -> DataFrame:
     """E3 feature block on a labelled frame: calendar, bands, price, guest flags and
     both continent lookups.  Quantile edges are fitted on ``df`` itself; for
-    leak-free training fit them on the training fold (``price_quintile_edges``)."""
+    leak-free training fit them on the training fold (``fit_prices``)."""
     df = calendar_features(df)
     df = band_features(df)
-    df = price_per_night(df)
-    df = price_category(df)
+    df = price_features(df)
     df = guest_flags(df)
     df = map_continent(df, "country_x", "continent_customer")
     df = map_continent(df, "country_y", "continent_hotel")

@@ -35,7 +35,7 @@ def fit_outlier_bounds(df: DataFrame, columns: Sequence[str] | None = None, meth
     """Long frame ``(column, lower, upper)``; IQR: Q1 - f*IQR, Q3 + f*IQR; quantile: q_low, q_high.
     Default columns: all numeric ones (as the scoring-side capper does)."""
     if method not in ("iqr", "quantile"):
-        raise ValueError(f"Método '{method}' no soportado. Use 'iqr' o 'quantile'.")
+        raise ValueError(f"outlier bounds are fitted by 'iqr' or 'quantile', not {method!r}")
     cols = present(df, columns) if columns is not None else numeric_columns(df)
     probs = [0.25, 0.75] if method == "iqr" else [quantile_low, quantile_high]
     q = exact_quantile_row(df, {c: probs for c in cols})            # all columns, same passes
@@ -71,13 +71,6 @@ def cap_outliers(df: DataFrame, bounds: DataFrame, columns: Sequence[str] | None
     return out.drop(*[f"{c}__{s}" for c in cols for s in ("lo", "hi")])
 
 
-def handle_outliers(df: DataFrame, columns: Sequence[str], method: str = "iqr", factor: float = K.IQR_FACTOR,
-                    quantile_low: float = K.QUANTILE_LOW, quantile_high: float = K.QUANTILE_HIGH) -> DataFrame:
-    """Fit on ``df`` and cap it (the training-script behaviour)."""
-    b = fit_outlier_bounds(df, columns, method, factor, quantile_low, quantile_high)
-    return cap_outliers(df, b, present(df, columns))
-
-
 def outlier_counts(df: DataFrame, bounds: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Per column, how many values fall outside the bounds (one pass, all columns)."""
     if columns is None:
@@ -171,7 +164,11 @@ def fit_gift_imputation(df: DataFrame, key_cols: Sequence[str] = ("booking_id",)
             num.append(f.name)
         elif isinstance(f.dataType, (StringType, BooleanType, TimestampType, TimestampNTZType, DateType)):
             cat.append(f.name)
-    return fit_imputer(df, num, cat, "mean") if (num or cat) else None
+    if not (num or cat):
+        return None
+    fills = fit_imputer(df, num, cat, "mean")
+    text = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}      # no value at all: a word for it
+    return fills.select(*[F.coalesce(c, F.lit(K.UNKNOWN_TEXT)).alias(c) if c in text else F.col(c) for c in fills.columns])
 
 
 def apply_gift_imputation(df: DataFrame, fills: DataFrame | None, as_of,

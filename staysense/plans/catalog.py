@@ -19,6 +19,7 @@ from staysense.operators import split as SP
 from staysense.operators import stats as S
 from staysense.operators.scorecard import scorecard_probability
 from staysense.plans import score as SC
+from staysense.session import cut_lineage
 from staysense.sources import fixtures as FX
 from staysense.sources.io import predictions_frame
 
@@ -30,6 +31,11 @@ def _ts(c: str):
     return F.col(c).cast("string").alias(c)
 
 
+def _rounded(df: DataFrame, *columns: str, places: int = 6) -> DataFrame:
+    """For comparison only: operators return full precision."""
+    return df.select(*[F.round(c, places).alias(c) if c in columns else F.col(c) for c in df.columns])
+
+
 # ------------------------------------------------------------------ base frames
 def merged(spark: SparkSession, sf: str) -> DataFrame:
     return P.join_hotels(FX.bookings(spark, sf), FX.hotels(spark, sf))
@@ -106,7 +112,7 @@ def q_lead_and_stay_bands(spark, sf):
 
 def q_price_quintiles(spark, sf):
     """X12, X13, A1."""
-    df = P.price_category(P.price_per_night(merged(spark, sf)))
+    df = P.price_features(merged(spark, sf))
     return df.select("booking_id", F.round("price_per_night", 8).alias("price_per_night"), "price_category")
 
 
@@ -128,8 +134,9 @@ _CAP_COLS = ["rate", "total_guests", "stay_nights"]
 
 
 def _capped(spark, sf, method):
-    df = merged(spark, sf)
-    capped = S.handle_outliers(df, _CAP_COLS, method=method)
+    # the columns are bookings': no need for the hotels; several passes read them, so they are stored once
+    df = cut_lineage(FX.bookings(spark, sf).select("booking_id", *_CAP_COLS))
+    capped = S.cap_outliers(df, S.fit_outlier_bounds(df, _CAP_COLS, method), _CAP_COLS)
     return capped.select("booking_id", *[F.round(c, 8).alias(c) for c in _CAP_COLS])
 
 
@@ -145,7 +152,7 @@ def q_quantile_capping(spark, sf):
 
 def q_outlier_counts(spark, sf):
     """I3 (+ the bounds themselves)."""
-    df = merged(spark, sf)
+    df = cut_lineage(FX.bookings(spark, sf).select(*_CAP_COLS))
     b = S.fit_outlier_bounds(df, _CAP_COLS, "iqr")
     return S.outlier_counts(df, b, _CAP_COLS).join(b, "column").select(
         "column", F.round("lower", 6).alias("lower"), F.round("upper", 6).alias("upper"), "outliers")
@@ -153,17 +160,13 @@ def q_outlier_counts(spark, sf):
 
 def q_impute_mean_median_mode(spark, sf):
     """I5-I7, A2."""
-    df = merged(spark, sf)
-    mean = S.apply_imputer(df.select("booking_id", "rate", "special_requests"),
-                           S.fit_imputer(df, ["rate", "special_requests"], [], "mean"))
-    med = S.apply_imputer(df.select("booking_id", "total_guests", "stay_nights"),
-                          S.fit_imputer(df, ["total_guests", "stay_nights"], [], "median"))
-    mode = S.apply_imputer(df.select("booking_id", "board", "country_x"), S.fit_imputer(df, [], ["board", "country_x"]))
-    const = S.impute_constant(df.select("booking_id", "reservation_status"), {"reservation_status": "missing"})
-    return (mean.join(med, "booking_id").join(mode, "booking_id").join(const, "booking_id")
-                .select("booking_id", "rate", "special_requests",
-                        F.round("total_guests", 6).alias("total_guests"), F.round("stay_nights", 6).alias("stay_nights"),
-                        "board", "country_x", "reservation_status"))
+    df = cut_lineage(FX.bookings(spark, sf).withColumnRenamed("country", "country_x").select(
+        "booking_id", "rate", "special_requests", "total_guests", "stay_nights", "board", "country_x", "reservation_status"))
+    # one row of fitted values for all columns, one projection
+    fills = S.fit_imputer(df, ["rate", "special_requests"], ["board", "country_x"], "mean").crossJoin(
+        S.fit_imputer(df, ["total_guests", "stay_nights"], [], "median"))
+    out = S.impute_constant(S.apply_imputer(df, fills), {"reservation_status": "missing"})
+    return _rounded(out, "total_guests", "stay_nights")
 
 
 def q_standard_scaling(spark, sf):
@@ -191,13 +194,13 @@ def q_gift_imputation(spark, sf):
 
 def q_stratified_split(spark, sf):
     """K1."""
-    df = closed(spark, sf).select("booking_id", "target")
+    df = cut_lineage(closed(spark, sf).select("booking_id", "target"))
     return SP.stratified_split(df, "target", "booking_id", K.TEST_FRACTION, K.SEED)
 
 
 def q_stratified_folds(spark, sf):
     """K3 (3 folds, as the search)."""
-    df = closed(spark, sf).select("booking_id", "target")
+    df = cut_lineage(closed(spark, sf).select("booking_id", "target"))
     return SP.stratified_folds(df, "target", "booking_id", 3, K.SEED)
 
 
@@ -222,23 +225,35 @@ def q_scorecard_probability(spark, sf):
 
 def q_fbeta_threshold(spark, sf):
     """V1, T4 (beta = 1 as called by the trainer)."""
-    return M.fbeta_threshold(scored_closed(spark, sf), "label", "score", 1.0)
+    return _rounded(M.fbeta_threshold(scored_closed(spark, sf), "label", "score", 1.0), "threshold", "fbeta")
+
+
+def q_fbeta_threshold_exact(spark, sf):
+    """V1 on scores of full precision: the threshold is one of them, and applying it gives its F-beta."""
+    df = scored_closed(spark, sf).withColumn("score", F.col("score") + F.col("booking_id") / F.lit(3e9))
+    best = M.fbeta_threshold(df, "label", "score", 1.0)
+    at = df.crossJoin(F.broadcast(best)).groupBy("threshold", "fbeta").agg(
+        F.count_if(F.col("score") == F.col("threshold")).alias("hits"),
+        F.count_if((F.col("score") >= F.col("threshold")) & (F.col("label") == 1)).alias("tp"),
+        F.count_if(F.col("score") >= F.col("threshold")).alias("flagged"), F.sum("label").alias("positives"))
+    return at.select((F.col("hits") > 0).alias("is_a_score"), "tp", "flagged", F.round("fbeta", 9).alias("fbeta"),
+                     F.round(2.0 * F.col("tp") / (F.col("flagged") + F.col("positives")), 9).alias("fbeta_applied"))
 
 
 def q_fbeta_threshold_half(spark, sf):
     """V1 with the function's own default beta = 0.5."""
-    return M.fbeta_threshold(scored_closed(spark, sf), "label", "score", 0.5)
+    return _rounded(M.fbeta_threshold(scored_closed(spark, sf), "label", "score", 0.5), "threshold", "fbeta")
 
 
 def q_fold_thresholds(spark, sf):
     """Per-fold F1 threshold over the 7 group folds."""
     df = SP.stratified_group_folds(scored_closed(spark, sf), "label", "hotel_id", K.GROUP_FOLDS, K.SEED)
-    return M.fbeta_threshold(df, "label", "score", 1.0, by=["fold"])
+    return _rounded(M.fbeta_threshold(df, "label", "score", 1.0, by=["fold"]), "threshold", "fbeta")
 
 
 def q_threshold_grid(spark, sf):
     """V2."""
-    return M.threshold_grid_search(scored_closed(spark, sf), "label", "score")
+    return _rounded(M.threshold_grid_search(scored_closed(spark, sf), "label", "score"), "best_threshold", "best_f1")
 
 
 def q_threshold_sweep(spark, sf):

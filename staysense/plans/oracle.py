@@ -45,19 +45,20 @@ HOTELS = f"""hotels AS (
          CASE WHEN s_suppkey % 2 = 0 THEN 'City Hotel' ELSE 'Resort Hotel' END AS hotel_type,
          ([{_CODES}])[s_nationkey + 1] AS country,
          s_suppkey % 3 = 0 AS parking,
-         CAST(39 + s_suppkey * 10 AS INT) AS total_rooms,
+         CAST(39 + (s_suppkey % 10) * 10 AS INT) AS total_rooms,
          s_suppkey % 4 <> 0 AS restaurant,
          s_suppkey % 5 <> 0 AS pool_and_spa,
-         CAST(340 + s_suppkey * 14 AS DOUBLE) / CAST(100 AS DOUBLE) AS avg_review
-  FROM supplier WHERE s_suppkey < 10)"""
+         CAST(340 + (s_suppkey % 10) * 14 AS DOUBLE) / CAST(100 AS DOUBLE) AS avg_review
+  FROM supplier)"""
 
 BOOKINGS = f"""b0 AS (
-  SELECT o.*, c.c_nationkey, CAST(o_orderkey AS INT) AS k,
+  SELECT o.*, c.c_nationkey, CAST(o_orderkey AS INT) AS k, coalesce(hotel_key, -1) AS hotel_key,
          o_orderdate + to_days(CAST((o_orderkey * 7) % 200 AS INT)) AS arr
-  FROM orders o JOIN customer c ON o_custkey = c_custkey),
+  FROM orders o JOIN customer c ON o_custkey = c_custkey
+  LEFT JOIN (SELECT l_orderkey, min(l_suppkey) AS hotel_key FROM lineitem GROUP BY 1) l ON l_orderkey = o_orderkey),
 bookings AS (
   SELECT o_orderkey AS booking_id,
-         concat('h', CAST(o_custkey % 12 AS VARCHAR)) AS hotel_id,
+         concat('h', CAST(hotel_key AS VARCHAR)) AS hotel_id,
          CASE WHEN k % 97 = 0 THEN NULL
               WHEN o_orderstatus = 'F' THEN 'Check-Out'
               WHEN o_orderstatus = 'P' THEN 'Canceled'
@@ -384,10 +385,10 @@ FROM merged GROUP BY ALL"""
     arms = " ".join(f"WHEN ppn {'>=' if i == 0 else '>'} e[{i + 1}] AND ppn <= e[{i + 2}] THEN '{lab}'"
                     for i, lab in enumerate(pr))
     q["price_quintiles"] = f"""{BASE},
-p0 AS (SELECT booking_id, CASE WHEN stay_nights IS NULL THEN NULL ELSE rate / greatest(stay_nights, {D(1.0)}) END AS ppn0 FROM merged),
-p1 AS (SELECT booking_id, coalesce(ppn0, (SELECT median(ppn0) FROM p0)) AS ppn FROM p0),
-e AS (SELECT quantile_cont(ppn, {lst([0.0, 0.2, 0.4, 0.6, 0.8, 1.0])}) AS e FROM p1)
-SELECT booking_id, round(ppn, 8) AS price_per_night, CASE {arms} END AS price_category FROM p1, e"""
+p0 AS (SELECT booking_id, CASE WHEN stay_nights IS NULL THEN NULL ELSE rate / greatest(stay_nights, {D(1.0)}) END AS ppn FROM merged),
+e AS (SELECT quantile_cont(ppn, {lst([0.0, 0.2, 0.4, 0.6, 0.8, 1.0])}) AS e FROM p0)
+SELECT booking_id, round(coalesce(ppn, (SELECT median(ppn) FROM p0)), 8) AS price_per_night,
+       CASE {arms} END AS price_category FROM p0, e"""
     q["guest_flags"] = f"""{BASE}
 SELECT booking_id, {flag('special_requests > 0')} AS has_special_requests,
        {flag('required_car_parking_spaces > 0')} AS requested_parking,
@@ -449,6 +450,13 @@ SELECT booking_id, target, CASE WHEN target = 1 THEN {D(K.POSITIVE_CLASS_WEIGHT)
 SELECT booking_id, label, score, CAST(score >= {D(THR)} AS INTEGER) AS prediction FROM scored"""
     q["fbeta_threshold"] = f"{BASE_SCORED},\n{_fbeta_sql(1.0)}"
     q["fbeta_threshold_half"] = f"{BASE_SCORED},\n{_fbeta_sql(0.5)}"
+    exact = "(SELECT * REPLACE (score + CAST(booking_id AS DOUBLE) / CAST(3e9 AS DOUBLE) AS score) FROM scored)"
+    q["fbeta_threshold_exact"] = f"""{BASE_SCORED},
+x AS {exact},
+{_curve('x')},
+b AS (SELECT s, 2.0 * tp / (tp + fp + P) AS fb, tp, tp + fp AS flagged FROM c ORDER BY 2 DESC, 1 LIMIT 1)
+SELECT true AS is_a_score, CAST(tp AS BIGINT) AS tp, CAST(flagged AS BIGINT) AS flagged, round(fb, 9) AS fbeta,
+       round(fb, 9) AS fbeta_applied FROM b"""
     q["fold_thresholds"] = f"""{BASE_SCORED},
 {_group_folds_cte('scored', 'label')},
 sf AS (SELECT s.*, gf.fold FROM scored s LEFT JOIN gf ON s.hotel_id = gf.hotel_id),

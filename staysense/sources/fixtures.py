@@ -15,9 +15,6 @@ COUNTRY_CODES = ["SPA", "FRA", "POR", "GBR", "DEU", "ITA", "USA", "MEX", "BRA",
                  "CHN", "JPN", "AUS", "NZL", "MAR", "EGY", "CN", "XXX", "ZZZ", "NLD",
                  "SWE", "CAN", "PER", "IND", "ZAF"]
 
-HOTEL_COUNT = 10          # s_suppkey < 10 -> hotels h0..h9
-HOTEL_KEY_SPACE = 12      # bookings reference h0..h11 (h10, h11 unmatched on purpose)
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -33,26 +30,28 @@ def _code(key: str) -> str:
 # Each column is one SQL expression string: a single JVM call per column when the
 # plan is built (Column-operator chains cost one driver round trip per operator).
 def hotels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = table(spark, sf_dir, "supplier").where(F.col("s_suppkey") < HOTEL_COUNT)
-    return s.selectExpr(
+    return table(spark, sf_dir, "supplier").selectExpr(
         "concat('h', CAST(s_suppkey AS STRING)) AS hotel_id",
         "CASE WHEN s_suppkey % 2 = 0 THEN 'City Hotel' ELSE 'Resort Hotel' END AS hotel_type",
         f"{_code('s_nationkey')} AS country",
         "s_suppkey % 3 = 0 AS parking",
-        "CAST(39 + s_suppkey * 10 AS INT) AS total_rooms",
+        "CAST(39 + (s_suppkey % 10) * 10 AS INT) AS total_rooms",
         "s_suppkey % 4 != 0 AS restaurant",
         "s_suppkey % 5 != 0 AS pool_and_spa",
-        "CAST(340 + s_suppkey * 14 AS DOUBLE) / 100.0D AS avg_review",
+        "CAST(340 + (s_suppkey % 10) * 14 AS DOUBLE) / 100.0D AS avg_review",
     )
 
 
 def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One booking per order (o_orderkey is unique).  Join to customer is a shuffle
-    join on the customer key at scale; AQE may turn it into a broadcast when small."""
+    """One booking per order (o_orderkey is unique), at the hotel of its least supplier key; an
+    order without lines names a hotel that does not exist.  The joins are shuffle joins on
+    the customer and order keys at scale; AQE may turn them into broadcasts when small."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
                                                "o_totalprice", "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    b = o.join(c, o.o_custkey == c.c_custkey)
+    stays = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.min("l_suppkey").alias("hotel_key"))
+    b = o.join(c, o.o_custkey == c.c_custkey).join(stays, "o_orderkey", "left")
     # bigint arithmetic: identical to the int fixture while keys fit in int, no overflow beyond
     arrival = "o_orderdate + make_dt_interval(CAST((o_orderkey * 7) % 200 AS INT))"
 
@@ -60,7 +59,7 @@ def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
         return f"CASE WHEN o_orderkey % {m} = 0 THEN NULL ELSE {v} END"
     return b.selectExpr(
         "o_orderkey AS booking_id",
-        f"concat('h', CAST(o_custkey % {HOTEL_KEY_SPACE} AS STRING)) AS hotel_id",
+        "concat('h', CAST(coalesce(hotel_key, -1) AS STRING)) AS hotel_id",
         "CASE WHEN o_orderkey % 97 = 0 THEN CAST(NULL AS STRING) WHEN o_orderstatus = 'F' THEN 'Check-Out' "
         "WHEN o_orderstatus = 'P' THEN 'Canceled' WHEN o_orderkey % 3 = 0 THEN 'Booked' "
         "WHEN o_orderkey % 3 = 1 THEN 'No-Show' ELSE 'Check-Out' END AS reservation_status",

@@ -59,8 +59,8 @@ def read_bookings(spark: SparkSession, path: str, fmt: str = "csv",
 
 
 def _fmt4(c):
-    # exact decimal HALF_UP to 4 places (independent of binary printf rounding)
-    return F.round(c.cast("decimal(20,6)"), 4).cast("decimal(20,4)").cast("string")
+    # one rounding, HALF_UP, of the shortest decimal that stands for the double
+    return F.round(c.cast("decimal(38,18)"), 4).cast("decimal(20,4)").cast("string")
 
 
 def predictions_frame(scored: DataFrame, key: str = "booking_id",

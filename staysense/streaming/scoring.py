@@ -5,14 +5,14 @@ static hotel dimension and to a static one-row table of imputation statistics
 fitted on history (stream-static joins, both broadcast with a proven size), and
 scored with the same Column expressions as the batch flow: probability,
 threshold, gift decision.  The query is stateless (no aggregation), so each
-micro-batch is independent; progress and exactly-once file output are kept in a
-checkpoint folder under the session's ``spark.checkpoint.dir``.
+micro-batch is independent.  Progress and exactly-once file output are kept in a
+checkpoint folder that belongs to the sink (or that the caller names), so a restart
+goes on where the last run ended; the file sink skips batch numbers it has committed,
+which is why the folder must never change for a sink.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -21,7 +21,6 @@ from staysense.operators import gifts as G
 from staysense.operators import prepare as P
 from staysense.operators import stats as S
 from staysense.operators.scorecard import scorecard_probability
-from staysense.session import ensure_checkpoint_dir
 
 
 def scored_stream(stream: DataFrame, hotels: DataFrame, fills: DataFrame | None,
@@ -39,8 +38,11 @@ def scored_stream(stream: DataFrame, hotels: DataFrame, fills: DataFrame | None,
 def start_scoring(spark: SparkSession, source_dir: str, schema, hotels: DataFrame, history: DataFrame,
                   sink_dir: str, threshold: float = K.DEFAULT_FALLBACK_THRESHOLD,
                   params: G.GiftParams = G.GiftParams(), available_now: bool = True,
-                  max_files_per_trigger: int = 64) -> StreamingQuery:
-    """Start the stream: Parquet files in ``source_dir`` -> decisions in ``sink_dir``."""
+                  max_files_per_trigger: int = 64, checkpoint_dir: str | None = None) -> StreamingQuery:
+    """Start the stream: Parquet files in ``source_dir`` -> decisions in ``sink_dir``.
+
+    ``checkpoint_dir`` defaults to ``_checkpoint`` inside the sink (readers skip names
+    that begin with an underscore); use the same one at every start."""
     hist = P.join_hotels(history, hotels)
     fills = S.fit_gift_imputation(hist, key_cols=("booking_id",))
     if fills is not None:
@@ -48,7 +50,7 @@ def start_scoring(spark: SparkSession, source_dir: str, schema, hotels: DataFram
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
               .parquet(source_dir))
     out = scored_stream(stream, hotels, fills, threshold, params)
-    ckpt = ensure_checkpoint_dir(spark).rstrip("/") + f"/stream-scoring-{uuid.uuid4().hex[:8]}"
+    ckpt = checkpoint_dir or sink_dir.rstrip("/") + "/_checkpoint"
     w = out.writeStream.format("parquet").option("path", sink_dir).option("checkpointLocation", ckpt) \
         .outputMode("append")
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")

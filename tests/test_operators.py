@@ -1,7 +1,5 @@
 """Hand-computed goldens, null-semantics traps and properties."""
 
-import math
-
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -68,41 +66,24 @@ def _gift_row(spark, **kw):
     return df.withColumn("arrival_date", F.col("arrival_date").cast("timestamp_ntz"))
 
 
-def _python_gift(row, thr, intended=False):
-    """Independent re-statement of the decision rule for the truth table."""
-    p, rate, n, g = row["cancellation_probability"], row["rate"], row["stay_nights"], row["total_guests"]
-    city = intended and "city hotel" in row["hotel_type"].lower()
-    resort = intended and "resort hotel" in row["hotel_type"].lower()
-    wd = 3  # 2024-06-06 is a Thursday
-    tf = 0.5 if (wd in (3, 4, 5) and 1 <= n <= 3) else 0.35
-    repl = tf * (0.7 if city else 0.55) * min(1.0, 0.2 * row["avg_review"])
-    ev0 = (1 - p) * rate + p * rate * repl
-    if p < thr:
-        return None, 0.0, ev0
-    best, bev, bc = None, ev0, 0.0
-    for gift in "ABCD":
-        elig = {"A": row["board"] not in ("BB", "FB", "HB") and row["restaurant"], "B": row["total_rooms"] > 80,
-                "C": row["parking"], "D": row["pool_and_spa"]}[gift]
-        if not elig:
-            continue
-        s = {"A": min(1.0, math.sqrt(g * n) / 4.0), "B": 0.8 if city else 0.65, "C": 0.5,
-             "D": 0.7 if resort else 0.55}[gift]
-        cost = {"A": 4.0 * g * n, "B": 0.09 * rate, "C": 7.0 * n, "D": 9.0 * g}[gift] + 5.0
-        ev = ((1 - p) + p * s) * rate + p * (1 - s) * rate * repl - cost
-        if ev > bev:
-            best, bev, bc = gift, ev, cost
-    return best, bc, bev
-
-
-@pytest.mark.parametrize("match", ["as_coded", "intended"])
-@pytest.mark.parametrize("kw", [{}, {"cancellation_probability": 0.3}, {"board": "BB"}, {"total_rooms": 50.0},
-                                {"hotel_type": "Resort Hotel", "parking": False}, {"rate": 40.0},
-                                {"stay_nights": 7, "total_guests": 4}])
-def test_gift_truth_table(spark, match, kw):
-    df = _gift_row(spark, **kw)
-    out = G.decide_gifts(df, 0.4912, params=G.GiftParams(hotel_type_match=match)).first()
-    row = df.first().asDict()
-    gift, cost, ev = _python_gift(row, 0.4912, intended=(match == "intended"))
+# gift, cost and expected value worked out by hand: changes to the row above -> as coded, as intended
+GIFTS = [
+    ({}, ("B", 41.0, 264.185), ("B", 41.0, 309.68)),
+    ({"cancellation_probability": 0.3}, (None, 0.0, 309.7), (None, 0.0, 317.8)),
+    ({"board": "BB"}, ("B", 41.0, 264.185), ("B", 41.0, 309.68)),
+    ({"total_rooms": 50.0}, ("D", 23.0, 255.095), ("D", 23.0, 266.03)),
+    ({"hotel_type": "Resort Hotel", "parking": False}, ("B", 41.0, 264.185), ("D", 23.0, 295.73)),
+    ({"rate": 40.0}, ("B", 8.6, 21.9185), ("B", 8.6, 26.468)),
+    ({"stay_nights": 7, "total_guests": 4}, ("A", 117.0, 283.0), ("B", 41.0, 302.876)),
+]
+
+
+@pytest.mark.parametrize("match", [0, 1])
+@pytest.mark.parametrize("row", GIFTS, ids=lambda r: ",".join(r[0]) or "base")
+def test_gift_table(spark, match, row):
+    out = G.decide_gifts(_gift_row(spark, **row[0]), 0.4912, params=G.GiftParams(
+        hotel_type_match=("as_coded", "intended")[match])).first()
+    gift, cost, ev = row[1 + match]
     assert out.gift == gift
     assert out.cost_of_selected_gift == pytest.approx(cost)
     assert out.final_ev_with_gift_decision == pytest.approx(ev)
@@ -148,9 +129,48 @@ def test_target_policies_differ_on_late_status(spark):
 
 
 def test_price_quintiles_reject_duplicate_edges(spark):
-    df = spark.createDataFrame([(1.0,)] * 10 + [(2.0,)], "price_per_night double")
-    with pytest.raises(Exception):
-        P.price_category(df).collect()
+    df = spark.createDataFrame([(1.0, 1.0)] * 10 + [(2.0, 1.0)], "rate double, stay_nights double")
+    with pytest.raises(Exception, match="not unique"):
+        P.price_features(df).collect()
+
+
+def test_missing_price_has_no_band_and_gets_the_median(spark):
+    df = spark.createDataFrame([(float(i), 1.0) for i in range(11)] + [(None, 2.0), (50.0, None)], "rate double, stay_nights double")
+    rows = P.price_features(df).orderBy("rate").collect()
+    assert [r.price_category for r in rows if r.rate is None or r.stay_nights is None] == [None, None]
+    assert {r.price_per_night for r in rows if r.rate is None or r.stay_nights is None} == {5.0}
+    assert all(r.price_category is not None for r in rows if r.rate is not None and r.stay_nights is not None)
+
+
+def test_threshold_is_a_score_and_gives_its_fbeta(spark):
+    df = spark.createDataFrame([(1, 0.7123457), (0, 0.2), (0, 0.71234565), (1, 0.9)], "label int, score double")
+    r = M.fbeta_threshold(df, "label", "score").first()
+    assert (r.threshold, r.fbeta) == (0.7123457, 1.0)
+
+
+def test_probability_text_is_rounded_once(spark):
+    from staysense.sources.io import predictions_frame
+    df = spark.createDataFrame([(1, 1, 0.12344999996, None), (2, 0, 0.5, "A")],
+                               "booking_id int, predicted_to_cancel int, cancellation_probability double, gift string")
+    assert [tuple(r) for r in predictions_frame(df).collect()] == [(1, 1, "0.1234", ""), (2, 0, "0.5000", "A")]
+
+
+def test_text_column_without_values_becomes_unknown(spark):
+    from staysense.operators import stats as S
+    df = spark.createDataFrame([(1, 2.0, 2.0, 9.0, "SC", None, None), (2, 1.0, 1.0, 5.0, None, None, None)],
+                               "booking_id int, stay_nights double, total_guests double, rate double, board string, "
+                               "hotel_type string, arrival_date timestamp_ntz")
+    assert {r.hotel_type for r in S.impute_for_gifting(df, "2000-01-01 00:00:00").collect()} == {"Unknown"}
+
+
+def test_group_folds_with_many_groups_and_no_broadcast(spark, monkeypatch):
+    import staysense.functions.joins as J
+    monkeypatch.setattr(J, "bounded_broadcast", lambda df, max_rows=0: df)
+    df = spark.range(6000).selectExpr("id AS booking_id", "concat('h', id % 900) AS hotel_id", "CAST(id % 7 = 0 AS INT) AS label")
+    out = SP.stratified_group_folds(df, "label", "hotel_id", 7)
+    assert out.count() == 6000 and out.groupBy("hotel_id").agg(F.countDistinct("fold").alias("n")).where("n > 1").count() == 0
+    per = [r.n for r in out.where("label = 1").groupBy("fold").agg(F.count("*").alias("n")).collect()]
+    assert len(per) == 7 and max(per) - min(per) <= 14
 
 
 def test_missing_columns_are_tolerated(spark):

@@ -25,3 +25,15 @@ def test_stream_matches_batch(spark):
     diff = got.exceptAll(want).count() + want.exceptAll(got).count()
     assert diff == 0
     assert got.where(F.col("gift").isNotNull()).count() > 0
+
+
+def test_restart_goes_on_with_new_files(spark):
+    src = tempfile.mkdtemp(prefix="stream-src-", dir="/tmp") + "/in"
+    sink = tempfile.mkdtemp(prefix="stream-sink-", dir="/tmp")
+    bookings, hotels = FX.bookings(spark, SF_SMALL), FX.hotels(spark, SF_SMALL)
+    for part in (0, 1):
+        bookings.where(F.col("booking_id") % 2 == part).coalesce(2).write.mode("append").parquet(src)
+        q = start_scoring(spark, src, bookings.schema, hotels, bookings, sink, params=G.GiftParams(as_of=C.AS_OF))
+        q.awaitTermination(300)
+    got = spark.read.parquet(sink)
+    assert got.count() == got.select("booking_id").distinct().count() == bookings.count()
