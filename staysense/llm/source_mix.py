@@ -181,10 +181,11 @@ def mixed_documents(df: DataFrame, plan: MixPlan = MixPlan(), id_col: str = "doc
     _, pieces = mix(df, plan, id_col, source_col, text_col)
     reads = pieces.groupBy("key", "start", "epoch", "size").agg(F.sum("words").alias("n"))
     # identical rows share a key; each of them takes the readings of one of their places
-    reads = reads.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "epoch", "n", "size"))).alias("__reads"))
+    reads = reads.groupBy(F.col("key").alias("__k")).agg(
+        F.sort_array(F.collect_list(F.struct("start", "epoch", "n", "size"))).alias("__reads"))
     docs = df.withColumn("__key", content_key(id_col, source_col, text_col))
     docs = docs.withColumn("__i", F.row_number().over(Window.partitionBy("__key").orderBy(F.lit(1))))
-    docs = docs.join(reads, F.col("__key") == F.col("key"))
+    docs = docs.join(reads, F.col("__key") == F.col("__k"))
     docs = docs.withColumn("__start", F.expr("get(array_distinct(transform(__reads, r -> r.start)), __i - 1)"))
     docs = docs.withColumn("__read", F.explode(F.expr("filter(__reads, r -> r.start = __start)")))
     text = F.coalesce(F.col(text_col), F.lit(""))
