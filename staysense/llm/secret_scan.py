@@ -54,7 +54,7 @@ ALLOWED = (
     r"[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}",   # UUID
     r"(?i)example|dummy|placeholder|changeme|xxxx",                                    # samples in manuals
     r"(?i)abcdefghij|0123456789|qwertyuiop",                                           # alphabets and key rows
-    r"^/?(?:[A-Za-z_-]{2,}/){2,}",                                                     # file paths
+    r"^/?(?:[A-Za-z][A-Za-z0-9_-]{1,15}/){3,}",                                        # file paths
 )
 
 

@@ -90,7 +90,7 @@ def test_url_templates_reject_bad_branches_only(spark):
         bad = r.path.startswith(("/spam", "/junk"))
         assert r.verdict == ("block" if bad else "allow"), r
     names = {r.template for r in out}
-    assert "/junk|spam/{n}.html" in names and "/about|news/{n}.html" in names
+    assert {"/junk|spam/{n}.html", "/news/{n}.html"} <= names       # alike in their shares, and not
     assert any("*" in n for n in names)                 # too many siblings became one
 
 
