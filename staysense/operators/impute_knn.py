@@ -62,13 +62,13 @@ def knn_impute(df: DataFrame, columns: Sequence[str], key: str, k: int = K.KNN_N
         gt = spark.createDataFrame([(g, pr, pd, s) for g, (pr, pd, s) in enumerate(pairs)], "g int, pr int, pd int, s int")
 
         def masked(side: str) -> DataFrame:
-            j = x.join(F.broadcast(gt), F.col("p") == F.col(side))             # <= patterns^2 rows
+            j = x.join(gt, F.col("p") == F.col(side))         # <= patterns^2 rows; the planner broadcasts it by size
             mv = F.array(*[F.when((F.col("s").bitwiseAND(F.lit(1 << i))) != 0, F.col("v")[i])
                            .otherwise(F.lit(0.0)) for i in range(n)])
             return j.select("g", "id", mv.alias("mv"))
 
         nn = knn_grouped(masked("pr"), masked("pd"), k, group="g", vec="mv", id_col="id", exclude_self=True, seed=seed)
-        lists = nn.join(F.broadcast(gt), "g").select(F.col("q_id"), F.col("n_id"), "pd")
+        lists = nn.select("q_id", "n_id")
     out = x.crossJoin(F.broadcast(means))
     if lists is not None:
         a = x.select(F.col("id").alias("q_id"), F.col("v").alias("qv"))

@@ -206,3 +206,28 @@ def test_knn_hot_vector_matches_brute_force(spark, exclude_self):
     got_g = {(r.q_id, r.n_id, r.rank)
              for r in knn_grouped(df, df, k, group="g", exclude_self=exclude_self, rows_per_cell=20).collect()}
     assert got_g == expect_g
+
+
+def test_knn_impute_with_many_missing_patterns(spark):
+    """Six columns, every pattern of missing values: against brute force."""
+    from staysense.operators.impute_knn import knn_impute
+    rng = np.random.default_rng(1)
+    n, c, k = 160, 6, 3
+    v = rng.normal(size=(n, c)).round(3)
+    miss = np.array([[(i >> j) & 1 for j in range(c)] for i in range(n)], bool)
+    miss[60:, :] = rng.random((n - 60, c)) < 0.4
+    v[miss] = np.nan
+    rows = [(i, *[None if np.isnan(x) else float(x) for x in v[i]]) for i in range(n)]
+    df = spark.createDataFrame(rows, "id int, " + ", ".join(f"c{j} double" for j in range(c)))
+    got = {r.id: r for r in knn_impute(df, [f"c{j}" for j in range(c)], "id", k).collect()}
+    for i in range(n):
+        both = ~np.isnan(v) & ~np.isnan(v[i])
+        m = both.sum(axis=1)
+        d = np.where(m > 0, c / np.maximum(m, 1) * (np.where(both, v - v[i], 0) ** 2).sum(axis=1), np.inf)
+        d[i] = np.inf
+        for j in range(c):
+            want = v[i, j]
+            if np.isnan(want):
+                donors = [x for x in sorted(range(n), key=lambda x: (d[x], x)) if np.isfinite(d[x]) and not np.isnan(v[x, j])][:k]
+                want = v[donors, j].mean() if donors else np.nanmean(v[:, j])
+            assert getattr(got[i], f"c{j}") == pytest.approx(want, abs=1e-9), (i, j)
