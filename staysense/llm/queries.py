@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from staysense.llm import (bpe_tree, byte_gru, doc_winnow, line_quality, line_runs, ngram_bloom, secret_scan, simhash_mih,
                            source_mix, url_templates)
 from staysense.llm.common import table
+from staysense.llm.oracle import ORACLE_SQL  # noqa: F401
 
 
 def op1_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,4 +73,3 @@ def op10_doc_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_quality_lines, op2_url_templates, op3_source_mix, op4_secret_scan, op5_ngram_bloom, op6_simhash, op7_byte_gru, op8_line_dedup, op9_bpe_tree, op10_doc_fingerprints)}
-ORACLE_SQL: dict[str, str] = {}
