@@ -49,15 +49,24 @@ def gram_hashes(df: DataFrame, text_col: str, out: str, k: int = GRAM) -> DataFr
 
 
 def winnow(df: DataFrame, grams: str, out: str, w: int = WIN) -> DataFrame:
-    """Column ``out``: the kept (hash, pos), by position, from the array column ``grams``."""
-    df = df.withColumn(f"{out}_w", F.least(F.lit(w), F.size(grams)))
-    # in the reversed window the first of the least values is the rightmost one
-    df = df.withColumn(f"{out}_at", F.expr(
-        f"CASE WHEN {out}_w > 0 THEN array_distinct(transform(sequence(1, size({grams}) - {out}_w + 1), i -> "
-        f"i + {out}_w - CAST(array_position(reverse(slice({grams}, i, {out}_w)), array_min(slice({grams}, i, {out}_w))) AS INT))) "
-        "ELSE CAST(array() AS ARRAY<INT>) END"))
-    df = df.withColumn(out, F.expr(f"transform({out}_at, p -> struct(get({grams}, p - 1) AS hash, p - 1 AS pos))"))
-    return df.drop(f"{out}_w", f"{out}_at")
+    """Column ``out``: the kept (hash, pos), by position, from the array column ``grams``.
+
+    A gram is ranked by the upper 33 bits of its hash and then by its place, the rightmost first,
+    both in one long; the minima of w neighbours come by doubling, each from two of half the width.
+    """
+    low = (1 << 31) - 1
+    df = df.withColumn(f"{out}_m", F.expr(f"transform({grams}, (h, i) -> (h & {~low}L) | ({low}L - i))"))
+    run = 1
+    while run < w:                              # least() passes over the nulls beyond the end
+        step = min(run, w - run)
+        df = df.withColumn(f"{out}_m", F.expr(
+            f"zip_with({out}_m, slice({out}_m, {step + 1}, size({out}_m)), (x, y) -> least(x, y))"))
+        run += step
+    df = df.withColumn(f"{out}_m", F.expr(f"array_distinct(slice({out}_m, 1, greatest(size({out}_m) - {w - 1}, 1)))"))
+    df = df.withColumn(out, F.expr(
+        f"transform({out}_m, m -> struct(get({grams}, CAST({low} - (m & {low}L) AS INT)) AS hash, "
+        f"CAST({low} - (m & {low}L) AS INT) AS pos))"))
+    return df.drop(f"{out}_m")
 
 
 def fingerprint(df: DataFrame, text_col: str, out: str, k: int = GRAM, w: int = WIN) -> DataFrame:
