@@ -131,6 +131,18 @@ def gift_ev(g: str, prob_col: str = "cancellation_probability", p: GiftParams =
     return F.expr(gift_ev_sql(g, f"`{prob_col}`", p))
 
 
+#: What a gift decision assumes of a column that the frame does not have.
+ABSENT = {"stay_nights": f"CAST({K.DEFAULT_NIGHTS} AS INT)", "total_guests": f"CAST({K.DEFAULT_GUESTS} AS INT)",
+          "rate": f"CAST({K.DEFAULT_RATE} AS DOUBLE)", "board": f"'{K.DEFAULT_BOARD}'",
+          "avg_review": f"CAST({K.DEFAULT_AVG_REVIEW} AS DOUBLE)", "hotel_type": "'unknown'", "restaurant": "false",
+          "total_rooms": "0", "parking": "false", "pool_and_spa": "false", "arrival_date": "CAST(NULL AS TIMESTAMP_NTZ)"}
+
+
+def complete(df: DataFrame) -> DataFrame:
+    """the decision inputs that are absent, as their defaults."""
+    return df.selectExpr("*", *[f"{v} AS {c}" for c, v in ABSENT.items() if c not in df.columns])
+
+
 def decide_gifts(df: DataFrame, threshold: float | Column, prob_col: str = "cancellation_probability",
                  params: GiftParams = GiftParams()) -> DataFrame:
     """Adds ``gift`` (null = none), ``cost_of_selected_gift``,
@@ -144,7 +156,7 @@ def decide_gifts(df: DataFrame, threshold: float | Column, prob_col: str = "canc
     thr = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
     evs = [f"CASE WHEN {eligible_sql(g)} THEN {gift_ev_sql(g, prob, params)} END AS `_ev_{g}`" for g in GIFTS]
     costs = [f"{gift_cost_sql(g, params)} AS `_cost_{g}`" for g in GIFTS]
-    out = df.select("*", F.expr(ev_none_sql(prob, params)).alias("ev_no_intervention"), thr.alias("_thr"),
+    out = complete(df).select("*", F.expr(ev_none_sql(prob, params)).alias("ev_no_intervention"), thr.alias("_thr"),
                     *[F.expr(e) for e in evs + costs])
     best = "greatest(" + ", ".join(f"`_ev_{g}`" for g in GIFTS) + ")"
     pick = " ".join(f"WHEN `_ev_{g}` > ev_no_intervention AND `_ev_{g}` = `_m` THEN '{g}'" for g in GIFTS)
@@ -169,7 +181,7 @@ def gift_candidates(df: DataFrame, key: str = "booking_id", prob_col: str = "can
         f"named_struct('gift', '{g}', 'eligible', {eligible_sql(g)}, "
         f"'success_probability', {success_probability_sql(g, params)}, 'gift_cost', {gift_cost_sql(g, params)}, "
         f"'expected_value', {gift_ev_sql(g, prob, params)})" for g in GIFTS)
-    out = df.select(F.col(key), F.expr(ev_none_sql(prob, params)).alias("ev_no_intervention"),
+    out = complete(df).select(F.col(key), F.expr(ev_none_sql(prob, params)).alias("ev_no_intervention"),
                     F.expr(f"explode(array({opts}))").alias("o"))
     return (out.where("o.eligible")
                .selectExpr(key, "o.gift", "o.success_probability", "o.gift_cost", "o.expected_value",

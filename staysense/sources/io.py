@@ -1,14 +1,14 @@
 """Readers and writers with explicit schemas.
 
-* CSV is read with a fixed ``StructType`` (no inference pass over the data);
-  dates stay strings at read time and are parsed by ``operators.prepare``.
+* CSV is read as text by its header and cast to a fixed ``StructType`` (no inference pass
+  over the data); dates stay strings and are parsed by ``operators.prepare``.
 * Writers add the booking key: Spark has no row order, so positional output
   (as in a single-process CSV dump) would not be reproducible.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,22 +40,41 @@ BOOKINGS_SCHEMA = T.StructType([
 ])
 
 
-def _reader(spark: SparkSession, schema: T.StructType, fmt: str):
-    r = spark.read.schema(schema)
-    if fmt == "csv":
-        r = r.option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False)
-    return r
+def _typed(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of ``schema`` that are there, by name and with its types (what cannot be read
+    becomes null); other columns stay as they are, absent ones stay absent."""
+    types = {f.name: f.dataType.simpleString() for f in schema.fields}
+    return raw.select(*[F.expr(f"try_cast(trim(`{c}`) AS {types[c]})").alias(c) if c in types else F.col(f"`{c}`")
+                        for c in raw.columns])
+
+
+def _read(spark: SparkSession, path: str, fmt: str, schema: T.StructType) -> DataFrame:
+    if fmt != "csv":
+        return spark.read.schema(schema).format(fmt).load(path)
+    # all text, columns by the header: no inference pass, any order, any extra columns
+    return _typed(spark.read.option("header", True).option("inferSchema", False).csv(path), schema)
 
 
 def read_hotels(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     """Hotels dimension.  Booleans accept True/False text."""
-    return _reader(spark, HOTELS_SCHEMA, fmt).format(fmt).load(path)
+    return _read(spark, path, fmt, HOTELS_SCHEMA)
 
 
 def read_bookings(spark: SparkSession, path: str, fmt: str = "csv",
-                  schema: T.StructType = BOOKINGS_SCHEMA) -> DataFrame:
-    """Bookings (train or inference batch); the same reader serves both."""
-    return _reader(spark, schema, fmt).format(fmt).load(path)
+                  schema: T.StructType = BOOKINGS_SCHEMA, key: str = "booking_id") -> DataFrame:
+    """Bookings (train or inference batch); the same reader serves both.  A file without
+    the key gets one from the rows' content."""
+    df = _read(spark, path, fmt, schema)
+    return df if key in df.columns else with_key(df, key)
+
+
+def with_key(df: DataFrame, key: str = "booking_id") -> DataFrame:
+    """A 64-bit key of the row's content and, among equal rows, of their number: the same in
+    every run and on any partitioning."""
+    content = F.xxhash64(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\x00null")) for c in df.columns])
+    same = Window.partitionBy("_content").orderBy(F.lit(1))
+    out = df.withColumn("_content", content).withColumn("_n", F.row_number().over(same))
+    return out.select(F.xxhash64("_content", "_n").alias(key), *[F.col(f"`{c}`") for c in df.columns])
 
 
 def _fmt4(c):
@@ -81,6 +100,11 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).csv(path)
 
 
+def write_importance(importance: DataFrame, path: str) -> None:
+    """The feature importance file (``Feature``, ``Importance``)."""
+    write_csv(importance.select(F.col("feature").alias("Feature"), F.col("importance").alias("Importance")), path)
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
                   partition_by: list[str] | None = None) -> None:
     w = df.write.mode(mode)
