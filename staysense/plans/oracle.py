@@ -596,12 +596,14 @@ JOIN e ea ON ea.id = x.q_id JOIN e eb ON eb.id = x.n_id
 WHERE x.q_id < x.n_id AND ea.label <> eb.label"""
     seed = K.SEED
     key = "CAST(m.id AS VARCHAR) || '|' || CAST(s.sample_no AS VARCHAR)"
-    q["smote_points"] = f"""WITH e AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS vec,
+
+    def smote(ratio: float) -> str:
+        return f"""WITH e AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS vec,
                   CAST(label = 0 AS INTEGER) AS label FROM embeddings),
 cnt AS (SELECT label, count(*) AS n FROM e GROUP BY label),
 mino AS (SELECT label, n FROM cnt ORDER BY n, label LIMIT 1),
 maj AS (SELECT max(n) AS n FROM cnt WHERE label <> (SELECT label FROM mino)),
-par AS (SELECT CAST(floor({D(K.SMOTE_RATIO)} * CAST((SELECT n FROM maj) AS DOUBLE) - CAST((SELECT n FROM mino) AS DOUBLE)) AS BIGINT) AS n_new,
+par AS (SELECT CAST(floor({D(ratio)} * CAST((SELECT n FROM maj) AS DOUBLE) - CAST((SELECT n FROM mino) AS DOUBLE)) AS BIGINT) AS n_new,
                (SELECT n FROM mino) AS n_min),
 m AS (SELECT e.* FROM e WHERE label = (SELECT label FROM mino)),
 pp AS (SELECT a.id AS q_id, b.id AS n_id, {dist} AS dist FROM m a JOIN m b ON a.id <> b.id),
@@ -615,10 +617,21 @@ pick AS (SELECT m.id AS parent_id, s.sample_no, m.vec AS pv,
                 CAST({H(key, seed + 2)} AS DOUBLE) / CAST(1152921504606846976 AS DOUBLE) AS gap
          FROM s JOIN m ON s.id = m.id),
 joined AS (SELECT pick.*, nn5.n_id AS neighbor_id, b.vec AS nv FROM pick
-           JOIN nn5 ON nn5.q_id = pick.parent_id AND nn5.rk = pick.j JOIN m b ON b.id = nn5.n_id)
+           JOIN nn5 ON nn5.q_id = pick.parent_id AND nn5.rk = pick.j JOIN m b ON b.id = nn5.n_id)"""
+
+    q["smote_points"] = f"""{smote(K.SMOTE_RATIO)}
 SELECT -(sample_no + 1) AS id, (SELECT label FROM mino) AS label, parent_id, neighbor_id, gap, sample_no,
        pv[1] + gap * (nv[1] - pv[1]) AS vec_first, pv[len(pv)] + gap * (nv[len(nv)] - pv[len(pv)]) AS vec_last
 FROM joined"""
+    q["smote_tomek_balance"] = f"""{smote(1.0)},
+o AS (SELECT id, label, vec FROM e UNION ALL
+      SELECT -(sample_no + 1), (SELECT label FROM mino),
+             list_transform(list_zip(pv, nv), lambda z: z[1] + gap * (z[2] - z[1])) FROM joined),
+op AS (SELECT a.id AS q_id, b.id AS n_id, {dist} AS dist FROM o a JOIN o b ON a.id <> b.id),
+one AS (SELECT q_id, n_id FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY dist, n_id) AS rk FROM op) WHERE rk = 1),
+ends AS (SELECT x.q_id FROM one x JOIN one y ON x.q_id = y.n_id AND x.n_id = y.q_id
+         JOIN o oa ON oa.id = x.q_id JOIN o ob ON ob.id = x.n_id WHERE oa.label <> ob.label)
+SELECT label, count(*) AS rows FROM o WHERE id NOT IN (SELECT q_id FROM ends) GROUP BY label"""
     cols = ["rate", "stay_nights", "total_guests", "lead_time"]
     n = len(cols)
     vlist = "[" + ", ".join(f"CAST({c} AS DOUBLE)" for c in cols) + "]"

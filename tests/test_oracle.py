@@ -6,7 +6,7 @@ import __spark_entry__ as E
 from compare import compare
 from conftest import SF_CHECK
 
-SLOW = {"smote_points", "tomek_links", "nearest_neighbors"}
+SLOW = {"smote_points", "tomek_links", "nearest_neighbors", "smote_tomek_balance"}
 NAMES = sorted(n for n in E.oracle_sql() if n not in SLOW)
 
 
