@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staysense.llm.common import row_key, words
+from staysense.session import cut_lineage
 
 MIN_WORDS = 50
 
@@ -74,8 +75,8 @@ def windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(key, spans): the line spans (first, last) that repeat an earlier place, per document."""
-    found = windows(docs, min_words)
-    where = F.struct("doc_id", "key", "place")
+    found = cut_lineage(windows(docs, min_words))       # read three times below
+    where = F.xxhash64("key", "place")                  # tells places apart; their order is not needed yet
     shared = found.groupBy("low").agg(F.min(where).alias("a"), F.max(where).alias("b")).where("a < b").select(
         F.col("low").alias("shared_low"))
     found = found.join(shared, F.col("low") == F.col("shared_low"), "left_semi")
