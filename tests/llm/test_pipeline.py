@@ -22,7 +22,8 @@ def corpus():
     rows = [(i, "\n".join(prose(30) for _ in range(rnd.randint(1, 5))), "en", f"s{i % 4}") for i in range(80)]
     passage = prose(60)
     rows += [(100 + i, prose(25) + "\n" + passage + "\n" + prose(25), "en", "s1") for i in range(6)]
-    rows += [(200 + i, rows[3][1], "en", "s0") for i in range(9)]                       # exact copies
+    long = next(r[1] for r in rows if r[1].count("\n") > 1)
+    rows += [(200 + i, long, "en", "s0") for i in range(9)]                             # exact copies
     rows += [(300 + i, prose(5), "en", "s2") for i in range(4)]                         # too short
     rows += [(400 + i, (prose(8) + " ") * 9, "en", "s3") for i in range(4)]             # repetitive
     short = prose(25)
