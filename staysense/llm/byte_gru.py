@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 @dataclass(frozen=True)
 class GruPlan:
     hidden: int = 8             # units per direction
-    per_language: int = 256     # training windows per language: the bound of the fitting sample
-    train_bytes: int = 64
-    epochs: int = 40
+    per_language: int = 512     # training windows per language: the bound of the fitting sample
+    train_bytes: int = 80
+    epochs: int = 20
     batch: int = 64
     rate: float = 0.02
     step: int = 112             # bytes of a window that are pooled
@@ -173,6 +173,10 @@ def fit(docs: DataFrame, plan: GruPlan = GruPlan()) -> tuple[ByteGru | None, lis
     if not languages:
         return None, []
     x = np.stack([_bytes(t, plan.train_bytes) for t in sample["piece"]], axis=1)
+    # half of the windows begin, and half end, outside a text, as those of short texts do
+    rng = np.random.default_rng(plan.seed)
+    x[:plan.margin, rng.random(x.shape[1]) < 0.5] = PAD
+    x[-plan.margin:, rng.random(x.shape[1]) < 0.5] = PAD
     net = ByteGru(len(languages), plan)
     net.fit(x, np.searchsorted(languages, sample["lang"]), plan)
     return net, languages
