@@ -407,7 +407,7 @@ def _model_frame(spark, sf):
     return model_frame(FX.bookings(spark, sf), FX.hotels(spark, sf))
 
 
-REGISTERED_TREES = 50      # registered check runs; library default is 300 (boosted_trees)
+STACKED_TREES = 50         # the source names no count for its stacking
 
 
 def q_train_logistic(spark, sf):
@@ -425,7 +425,7 @@ def q_train_boosted(spark, sf):
     from staysense.operators.balance import class_weight
     from staysense.plans.train import holdout_evaluation
     df = class_weight(_model_frame(spark, sf), "label", K.POSITIVE_CLASS_WEIGHT)
-    return holdout_evaluation(df, MD.boosted_trees(weight="weight", max_iter=REGISTERED_TREES))
+    return holdout_evaluation(df, MD.boosted_trees(weight="weight"))
 
 
 def q_cv_threshold(spark, sf):
@@ -447,7 +447,7 @@ def q_early_stopping(spark, sf):
     from staysense.operators import model as MD
     df = SP.stratified_split(_model_frame(spark, sf), "label", "booking_id", K.TEST_FRACTION, K.SEED)
     model, trees = MD.early_stopped_boosting(df.withColumnRenamed("is_test", "is_valid"), present(df, MD.NUMERIC),
-                                             present(df, MD.CATEGORICAL), "is_valid", max_iter=REGISTERED_TREES)
+                                             present(df, MD.CATEGORICAL), "is_valid")
     valid = MD.positive_probability(model.transform(df.where(F.col("is_test") == 1)))
     return M.roc_auc(valid, "label", "score").select(F.lit(trees).alias("trees_kept"), "roc_auc")
 
@@ -459,9 +459,9 @@ def q_stacked_scores(spark, sf):
     from staysense.functions.columns import present
     from staysense.operators import model as MD
     df = SP.stratified_folds(_model_frame(spark, sf), "label", "booking_id", 3, K.SEED)
-    bases = {"rf": RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=REGISTERED_TREES,
+    bases = {"rf": RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=STACKED_TREES,
                                           seed=K.SEED),
-             "gbt": MD.boosted_trees(max_iter=REGISTERED_TREES)}
+             "gbt": MD.boosted_trees(max_iter=STACKED_TREES)}
     st = MD.stacked_scores(df, bases, present(df, MD.NUMERIC), present(df, MD.CATEGORICAL), "fold")
     out = None
     for c in ["score_rf", "score_gbt", "score"]:
@@ -475,10 +475,10 @@ def _search(spark, sf, random_pick: bool):
     from staysense.operators import model as MD
     df = SP.stratified_folds(_model_frame(spark, sf), "label", "booking_id", 3, K.SEED).cache()
     n = df.count()
-    lr = MD.logistic(n_rows=n, max_iter=100)
+    lr = MD.logistic(n_rows=n)
     pipe = MD.classification_pipeline(lr, present(df, MD.NUMERIC), present(df, MD.CATEGORICAL))
     grid = MD.logistic_grid(n)
-    cv = (MD.random_search(pipe, lr, grid, n_iter=5, fold_col="fold") if random_pick
+    cv = (MD.random_search(pipe, lr, grid, fold_col="fold") if random_pick
           else MD.grid_search(pipe, lr, grid, fold_col="fold"))
     fitted = cv.fit(df)
     rows = [(float(pm[lr.getParam("regParam")]), float(pm[lr.getParam("elasticNetParam")]), float(m))
@@ -493,7 +493,7 @@ def q_grid_search(spark, sf):
 
 
 def q_random_search(spark, sf):
-    """M6: seeded random subset of the same space."""
+    """M6: up to 20 seeded draws without replacement; the logistic space has ten combinations."""
     return _search(spark, sf, True)
 
 
@@ -504,7 +504,7 @@ def q_feature_importance(spark, sf):
     from staysense.operators import model as MD
     from staysense.session import ensure_checkpoint_dir
     df = _model_frame(spark, sf)
-    pipe = MD.classification_pipeline(MD.boosted_trees(max_iter=REGISTERED_TREES), present(df, MD.NUMERIC),
+    pipe = MD.classification_pipeline(MD.boosted_trees(), present(df, MD.NUMERIC),
                                       present(df, MD.CATEGORICAL))
     model = pipe.fit(df)
     base = ensure_checkpoint_dir(spark).rstrip("/") + "/model_package"
