@@ -10,9 +10,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from staysense.functions import constants as K
+from staysense.functions.columns import present
 from staysense.operators import gifts as G
+from staysense.operators import model as MD
 from staysense.operators import prepare as P
 from staysense.operators import stats as S
 from staysense.operators.scorecard import scorecard_probability
@@ -31,6 +34,20 @@ def score_bookings(bookings: DataFrame, hotels: DataFrame, threshold: float = K.
     return G.score_with_threshold(df, threshold, prob_col)
 
 
+def package_probability(path: str, prob_col: str = "cancellation_probability") -> tuple[Callable[[DataFrame], DataFrame], float]:
+    """(probability step for ``score_bookings``, threshold) of a saved training package."""
+    model, threshold = MD.load_model_package(path)
+    flags = ["parking", "restaurant", "pool_and_spa"]
+
+    def probability(df: DataFrame) -> DataFrame:
+        have = present(df, flags)
+        kept = df.withColumn("_flags", F.struct(*[F.col(c).alias(c) for c in have])) if have else df
+        scored = MD.positive_probability(model.transform(MD.cast_booleans(kept, have)), prob_col)
+        return scored.select(*[F.col(f"_flags.{c}").alias(c) if c in have else F.col(c) for c in df.columns], prob_col)
+
+    return probability, threshold
+
+
 def decide(scored: DataFrame, threshold: float = K.DEFAULT_FALLBACK_THRESHOLD,
            params: G.GiftParams = G.GiftParams(), prob_col: str = "cancellation_probability") -> DataFrame:
     """I11 imputation then G1-G7."""

@@ -36,3 +36,19 @@ def holdout_evaluation(df: DataFrame, estimator, test_fraction: float = K.TEST_F
     cm = MET.confusion_and_rates(scored, thr, "label", "score")
     auc = MET.roc_auc(scored, "label", "score").crossJoin(MET.pr_auc(scored, "label", "score"))
     return cm.crossJoin(auc).select(F.lit(float(thr)).alias("threshold"), "*")
+
+
+def train_package(bookings: DataFrame, hotels: DataFrame, path: str, estimator=None, folds: int = K.GROUP_FOLDS,
+                  ratio: float = K.SMOTE_RATIO, seed: int = K.SEED) -> tuple[DataFrame, float]:
+    """Group folds by hotel, per fold preprocessing -> SMOTE -> boosted trees (300 by default),
+    one F1 threshold over all out-of-fold scores, refit on every row, model and threshold saved
+    together.  Returns the out-of-fold scores and the threshold."""
+    from staysense.functions.columns import present
+    df = SP.stratified_group_folds(model_frame(bookings, hotels), "label", "hotel_id", folds, seed)
+    df = cut_lineage(df)
+    pipe = MD.BalancedPipeline(estimator or MD.boosted_trees(), present(df, MD.NUMERIC), present(df, MD.CATEGORICAL),
+                               ratio, seed=seed)
+    oof, best, _ = MD.cross_validated_threshold(df, pipe, "fold", "label", "booking_id", 1.0)
+    threshold = best.first()["threshold"]
+    MD.save_model_package(pipe.fit(df), threshold, path)
+    return oof, threshold
