@@ -39,8 +39,9 @@ from staysense.session import cut_lineage
 
 HEAD = 65_536
 START, END = (xxhash.xxh64_intdigest(b" start "), xxhash.xxh64_intdigest(b" end "))   # no word holds a blank
-FLUSH = 1_000_000           # tokens that a task handles at a time
-CACHED_WORDS = 400_000      # hashes that a task remembers
+COUNT_AT_ONCE, SCORE_AT_ONCE = 250_000, 150_000   # tokens that a task handles at a time
+COUNTED = 600_000           # n-grams whose counts a task gathers before it passes them on
+CACHED_WORDS = 100_000      # hashes that a task remembers
 
 
 @dataclass(frozen=True)
@@ -62,7 +63,8 @@ class _Hashes(dict):
         return value
 
 
-def _token_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, np.ndarray, np.ndarray]]:
+def _token_batches(batches: Iterator[pa.RecordBatch],
+                   at_once: int = SCORE_AT_ONCE) -> Iterator[tuple[dict, np.ndarray, np.ndarray]]:
     """(other columns, tokens, first token of each text and the end) for some rows at a time.
 
     A text's tokens are START (a history only), its words, END.
@@ -79,7 +81,7 @@ def _token_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, np
             part[1:-1] = np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
             parts.append(part)
             total += len(part)
-            if total >= FLUSH or i == batch.num_rows - 1:
+            if total >= at_once or i == batch.num_rows - 1:
                 rows = batch.slice(at, i + 1 - at)
                 firsts = np.concatenate(([0], np.cumsum([len(p) for p in parts])))
                 yield {n: rows.column(rows.schema.get_field_index(n)) for n in names}, np.concatenate(parts), firsts
@@ -105,34 +107,52 @@ def _is_word(n: int, firsts: np.ndarray) -> np.ndarray:
     return out[1:]
 
 
-def _count(schema: pa.Schema, emit) -> callable:
-    """Partial counts of the n-grams that ``emit(tokens, firsts)`` gives, per flush."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, tokens, firsts in _token_batches(batches):
-            grams, n = np.unique(emit(tokens, firsts), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(n)], schema=schema)
-    return run
+def _added(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts added up per hash."""
+    found, at = np.unique(h, return_inverse=True)
+    return found, np.bincount(at, n, len(found)).astype(np.int64)
 
 
-_COUNTS = pa.schema([("h", pa.int64()), ("n", pa.int64())])
+def _counted(batches: Iterator[pa.RecordBatch], grams) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Partial counts of the n-grams that ``grams(tokens, firsts)`` gives, gathered up to a bound."""
+    h, n = np.empty(0, np.uint64), np.empty(0, np.int64)
+    for _, tokens, firsts in _token_batches(batches, COUNT_AT_ONCE):
+        new, times = np.unique(grams(tokens, firsts), return_counts=True)
+        h, n = _added(np.concatenate((h, new)), np.concatenate((n, times)))
+        if len(h) >= COUNTED:
+            yield h, n
+            h, n = h[:0], n[:0]
+    yield h, n
 
 
 def word_counts(train: DataFrame) -> DataFrame:
     """(h, n): exact counts of words and ends of the column ``text``."""
-    words = _count(_COUNTS, lambda t, f: t[1:][_is_word(len(t), f)])
-    return train.select("text").mapInArrow(words, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n"))
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for h, n in _counted(batches, lambda t, f: t[1:][_is_word(len(t), f)]):
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["h", "n"])
+
+    return train.select("text").mapInArrow(count, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n"))
 
 
 def build_filter(train: DataFrame, n_tokens: int, model: BloomModel = BloomModel()) -> tuple[DataFrame, int]:
     """(shard, bits, data) of the filter over words, starts and pairs; the number of shards."""
     shards = max(1, -(-n_tokens // model.shard_tokens))
-    grams = _count(_COUNTS, lambda t, f: np.concatenate([t, _pairs(t)[_is_word(len(t), f)]]))
-    counts = train.select("text").mapInArrow(grams, "h bigint, n bigint").withColumn(
-        "shard", F.pmod(F.shiftrightunsigned("h", 1), F.lit(shards)).cast("int"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row per shard: its hashes and their counts, packed."""
+        for h, n in _counted(batches, lambda t, f: np.concatenate([t, _pairs(t)[_is_word(len(t), f)]])):
+            shard = _shard(h, shards)
+            order = np.argsort(shard, kind="stable")
+            names, at = np.unique(shard[order], return_index=True)
+            packed = [[a.tobytes() for a in np.split(x[order], at[1:])] for x in (h, n)] if len(h) else [[], []]
+            yield pa.RecordBatch.from_arrays([pa.array(names.astype(np.int32)), *[pa.array(p, pa.binary()) for p in packed]],
+                                             names=["shard", "h", "n"])
+
+    counts = train.select("text").mapInArrow(count, "shard int, h binary, n binary")
 
     def shard(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        h, at = np.unique(rows.column("h").to_numpy().view(np.uint64), return_inverse=True)
-        n = np.bincount(at, rows.column("n").to_numpy())
+        h, n = (np.frombuffer(b"".join(rows.column(c).to_pylist()), kind) for c, kind in (("h", np.uint64), ("n", np.int64)))
+        h, n = _added(h, n)
         level = 1 + np.floor(np.log(n) / np.log(model.base) + 1e-9).astype(np.int64)
         entries = int(level.sum())
         bits = -(-int(entries * model.probes / np.log(2)) // 64) * 64 + 64
@@ -147,6 +167,10 @@ def build_filter(train: DataFrame, n_tokens: int, model: BloomModel = BloomModel
     return counts.groupBy("shard").applyInArrow(shard, "shard int, bits bigint, data binary"), shards
 
 
+def _shard(h: np.ndarray, shards: int) -> np.ndarray:
+    return ((h >> np.uint64(1)) % np.uint64(shards)).astype(np.int64)
+
+
 def _places(h: np.ndarray, q: int, bits, probes: int) -> np.ndarray:
     """The bits of (n-gram, q): double hashing; one row per probe."""
     a = _mix(h + np.uint64(q * 0xD6E8FEB86659FD93 % 2 ** 64))
@@ -155,21 +179,22 @@ def _places(h: np.ndarray, q: int, bits, probes: int) -> np.ndarray:
 
 
 class _Block:
-    """Some of the shards, as a task reads them."""
+    """Neighbouring shards ``first`` to ``last`` (exclusive) of ``shards``, as a task reads them."""
 
-    def __init__(self, shards: int, rows: list, model: BloomModel):
-        self.shards, self.model = shards, model
-        self.bits = np.zeros(shards, np.uint64)         # 0: not in this block
-        self.start = np.zeros(shards, np.uint64)
-        at = 0
+    def __init__(self, shards: int, first: int, last: int, rows, model: BloomModel):
+        self.shards, self.first, self.model = shards, first, model
+        self.bits = np.zeros(last - first + 1, np.uint64)       # 0: empty, or (the last one) not in this block
+        self.start = np.zeros(last - first + 1, np.uint64)
+        data = bytearray()
         for r in rows:
-            self.bits[r["shard"]], self.start[r["shard"]] = r["bits"], at
-            at += r["bits"]
-        self.data = np.frombuffer(b"".join(bytes(r["data"]) for r in rows), np.uint8)
+            self.bits[r["shard"] - first], self.start[r["shard"] - first] = r["bits"], 8 * len(data)
+            data += r["data"]
+        self.data = np.frombuffer(data, np.uint8)
 
     def levels(self, h: np.ndarray) -> np.ndarray:
         """Of each n-gram: the probes (h, 1), (h, 2), ... that succeed before one fails."""
-        shard = ((h >> np.uint64(1)) % np.uint64(self.shards)).astype(np.int64)
+        shard = _shard(h, self.shards) - self.first
+        shard[(shard < 0) | (shard >= len(self.bits) - 1)] = len(self.bits) - 1
         bits, start = self.bits[shard], self.start[shard]
         out = np.zeros(len(h), np.uint8)
         left = np.flatnonzero(bits)
@@ -222,20 +247,16 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_ou
     top = sc.broadcast((head["h"].to_numpy(np.int64), head["n"].to_numpy(np.int64)))
     shards_df, shards = build_filter(train, total, model)
     shards_df = cut_lineage(shards_df)
-    sizes = shards_df.select("shard", "bits").orderBy("shard").collect()     # a row per shard of 200,000 tokens
-    blocks, room = [], 0
-    for r in sizes:
-        if not blocks or room + r["bits"] > model.block_mb * 8e6:
-            blocks.append([])
-            room = 0
-        blocks[-1].append(r["shard"])
-        room += r["bits"]
+    # n-grams are dealt to shards by hash, so as many shards a block hold about as much
+    bits = shards_df.agg(F.coalesce(F.sum("bits"), F.lit(0))).first()[0]
+    n_blocks = min(shards, max(1, int(-(-bits // int(model.block_mb * 8e6)))))
+    ends = [shards * i // n_blocks for i in range(n_blocks + 1)]
     cells = np.log10(total + 0.5 * (distinct + 1)) if total + distinct else np.log10(0.5)
 
     def block(i: int):
-        names = blocks[i] if blocks else []
-        rows = shards_df.where(F.col("shard").between(names[0], names[-1])).collect() if names else []
-        return sc.broadcast([r.asDict() for r in rows])
+        rows = shards_df.where((F.col("shard") >= ends[i]) & (F.col("shard") < ends[i + 1])).toLocalIterator()
+        found = _Block(shards, ends[i], ends[i + 1], rows, model)
+        return sc.broadcast({k: v for k, v in vars(found).items() if k != "model"})     # plain values only
 
     def base(tokens, firsts, word_levels):
         """Sums over the words whose count is known here, and the others: (text, hash, times)."""
@@ -262,11 +283,12 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_ou
 
     schema = pa.schema([("key", pa.int64()), ("doc_id", pa.string()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
                         ("known", pa.int64()), ("part", pa.float64()), ("score", pa.float64()),
-                        ("rest", pa.list_(pa.int64()))])
+                        ("rest", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))])
 
     def one_pass(shared):
         def run(batches):
-            here = _Block(shards, shared.value, model)
+            here = _Block.__new__(_Block)
+            vars(here).update(shared.value, model=model)
             for cols, tokens, firsts in _token_batches(batches):
                 word, pair = levels(tokens, firsts, here)
                 out = _text_scores(word, pair, firsts, total, distinct, model)
@@ -275,14 +297,19 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_ou
 
     def finish(cols, tokens, firsts, word, out):
         part, seen, text, rest, n = base(tokens, firsts, word)
-        ends = np.searchsorted(text, np.arange(len(n) + 1))
+        order = np.lexsort((rest, text))                # a text's open words together, each once
+        text, rest = text[order], rest[order]
+        new = np.flatnonzero(np.concatenate(([True], (text[1:] != text[:-1]) | (rest[1:] != rest[:-1]))) if len(text) else [])
+        times = np.diff(np.append(new, len(text)))
+        ends = pa.array(np.searchsorted(text[new], np.arange(len(n) + 1)).astype(np.int32))
         return pa.RecordBatch.from_arrays([
             cols["key"], cols["doc_id"], cols["held_out"], pa.array(n), pa.array(seen), pa.array(part), pa.array(out),
-            pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(rest))], schema=schema)
+            pa.ListArray.from_arrays(ends, pa.array(rest[new])), pa.ListArray.from_arrays(ends, pa.array(times))], schema=schema)
 
     def probe_pass(shared):
         def run(batches):
-            here = _Block(shards, shared.value, model)
+            here = _Block.__new__(_Block)
+            vars(here).update(shared.value, model=model)
             for cols, tokens, firsts in _token_batches(batches):
                 word, pair = levels(tokens, firsts, here)
                 pair = np.concatenate((pair, np.zeros(1, np.uint8)))
@@ -307,12 +334,12 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_ou
                 yield finish(cols, tokens, firsts, word, _text_scores(word, pair, firsts, total, distinct, model))
 
     ready = docs.select("key", F.col("doc_id").cast("string").alias("doc_id"), "held_out", "text")
-    kind = "key bigint, doc_id string, held_out boolean, n_tokens bigint, known bigint, part double, score double, rest array<bigint>"
-    if len(blocks) <= 1:
+    kind = "key bigint, doc_id string, held_out boolean, n_tokens bigint, known bigint, part double, score double, rest array<bigint>, times array<bigint>"
+    if n_blocks == 1:
         scored = ready.mapInArrow(one_pass(block(0)), kind)
     else:
         passes = [cut_lineage(ready.select("key", "text").mapInArrow(probe_pass(block(i)), "key bigint, levels binary"))
-                  for i in range(len(blocks))]
+                  for i in range(n_blocks)]
         probed = passes[0]
         for p in passes[1:]:
             probed = probed.unionByName(p)
@@ -320,11 +347,14 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_ou
         scored = ready.join(probed, "key").select("key", "doc_id", "held_out", "levels", "text").mapInArrow(last_pass, kind)
     scored = cut_lineage(scored)
     # what is left of the base score: words that are not frequent and may be known
-    rest = scored.select("key", "rest").dropDuplicates(["key"]).select("key", F.explode_outer("rest").alias("h")).where("h IS NOT NULL")
-    rest = rest.groupBy("key", "h").agg(F.count("*").alias("times")).join(counts, "h", "left")
+    twice = scored.groupBy("key").agg(F.count("*").alias("rows"))       # identical rows share a key
+    rest = scored.select("key", F.explode_outer(F.arrays_zip("rest", "times")).alias("r")).where("r IS NOT NULL").select(
+        "key", F.col("r.rest").alias("h"), F.col("r.times").alias("times")).join(counts, "h", "left")
     rest = rest.groupBy(F.col("key").alias("k")).agg(
         F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("more"),
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("known_more"))
+    rest = rest.join(twice, F.col("k") == F.col("key")).select(
+        "k", (F.col("more") / F.col("rows")).alias("more"), (F.col("known_more") / F.col("rows")).cast("long").alias("known_more"))
     return scored.join(rest, F.col("key") == F.col("k"), "left").select(
         F.col("doc_id").cast(dict(df.dtypes)[id_col]).alias("doc_id"), "held_out", "n_tokens",
         (F.col("known") + F.coalesce("known_more", F.lit(0))).cast("long").alias("n_known"),

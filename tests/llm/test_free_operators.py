@@ -57,7 +57,7 @@ def test_bloom_levels_are_never_low_and_rarely_high(spark):
     for q in range(1, level.max() + 1):
         p = ngram_bloom._places(h[level >= q], q, np.uint64(bits), model.probes)
         np.bitwise_or.at(data, (p >> np.uint64(3)).astype(int).ravel(), (1 << (p & np.uint64(7))).astype(np.uint8).ravel())
-    block = ngram_bloom._Block(1, [{"shard": 0, "bits": bits, "data": data.tobytes()}], model)
+    block = ngram_bloom._Block(1, 0, 1, [{"shard": 0, "bits": bits, "data": data.tobytes()}], model)
     got = block.levels(h).astype(int)
     assert (got >= level).all() and (got > level).mean() < 0.06
     others = np.array([rnd.getrandbits(63) for _ in range(20_000)], np.uint64)
