@@ -23,6 +23,7 @@ import hashlib
 import itertools
 import json
 import os
+import struct
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -34,7 +35,7 @@ from staysense.session import cut_lineage
 
 LEAF = 32               # symbols that are merged directly
 SPREAD = 8_192          # code points of an unsplit stretch from which on it is dealt out
-CACHED_WORDS = 250_000  # words that a task remembers
+CACHED_WORDS = 600_000  # words that a task remembers
 
 
 class Tree:
@@ -132,27 +133,44 @@ class Words:
         if len(self.ids) + len(words) > CACHED_WORDS:
             self.ids.clear()
             self.text.clear()
-        short, long = [], []
+        parts, plain = [], set()
         for w in words:
+            # the pre-tokenizer parts letters from signs and merging follows lower-casing: a word of
+            # ASCII letters with stops after it is made of the plain word and the stops
+            core = w.rstrip(b".,!")
+            low = core.lower()
+            if len(w) <= self.tree.leaf and low.isalpha() and low != w:
+                parts.append((w, low, w[len(core):]))
+                plain.add(low)
+                if len(core) < len(w):
+                    plain.add(w[len(core):])
+            else:
+                plain.add(w)
+        short, long = [], []
+        for w in plain.difference(self.ids):
             (long if len(w) > self.tree.leaf else short).append(w)
         for w, e in zip(short, self.library.encode_batch_fast([w.decode() for w in short], add_special_tokens=False)):
             self.put(w, e.ids)
         for w in long:
             self.put(w, [self.id_of(t) for t in self.tokens(w.decode())])
+        ids, text = self.ids, self.text
+        for w, low, tail in parts:
+            ids[w] = ids[low] + ids[tail] if tail else ids[low]
+            text[w] = text[low] + b" " + text[tail] if tail else text[low]
 
     def put(self, word: bytes, ids: list[int]) -> None:
-        self.ids[word] = b"".join([i.to_bytes(4, "little") for i in ids])
+        self.ids[word] = struct.pack(f"<{len(ids)}I", *ids)
         self.text[word] = " ".join([self.names[i] for i in ids]).encode()
 
-    def encode(self, words: list[bytes]) -> tuple[bytes, bytes]:
-        """Ids (4 bytes each) and the decoded text of a text's words."""
-        new = set(words).difference(self.ids)
+    def encode(self, texts: list[list[bytes]]) -> list[tuple[bytes, bytes]]:
+        """Ids (4 bytes each) and the decoded text of each list of words."""
+        met = set(itertools.chain.from_iterable(texts))
+        new = met.difference(self.ids)
         if new:
-            if len(self.ids) + len(new) > CACHED_WORDS:
-                new = set(words)            # learn() is going to forget
-            self.learn(new)
-        return (b"".join(map(self.ids.__getitem__, words)),
-                b" ".join(filter(None, map(self.text.__getitem__, words))))
+            # learn() forgets all when there are too many
+            self.learn(met if len(self.ids) + len(new) > CACHED_WORDS else new)
+        ids, text = self.ids.__getitem__, self.text.__getitem__
+        return [(b"".join(map(ids, words)), b" ".join(filter(None, map(text, words)))) for words in texts]
 
 
 def _digests(ids: bytes, text: bytes) -> tuple:
@@ -187,10 +205,11 @@ def encode_decode(df: DataFrame, spec: str, id_col: str = "doc_id", text_col: st
         words = Words(shared.value, leaf)
         for batch in batches:
             texts = batch.column(1).cast(pa.binary())
-            for at in range(0, batch.num_rows, 256):        # few results at a time
-                some = texts.slice(at, 256)
-                rows = [_digests(*words.encode(t.as_py().split())) for t in some]   # bytes: ASCII blanks only
-                yield _batch([batch.column(0).slice(at, 256)], ["doc_id"], rows, keep)
+            for at in range(0, batch.num_rows, 64):         # few results at a time
+                some = texts.slice(at, 64)
+                found = words.encode([t.as_py().split() for t in some])         # bytes: ASCII blanks only
+                rows = [_digests(*x) for x in found]
+                yield _batch([batch.column(0).slice(at, 64)], ["doc_id"], rows, keep)
 
     out = docs.where(~unsplit).mapInArrow(whole, f"doc_id {kind}, {_OUT}")
     long = docs.where(unsplit).withColumn("key", row_key(F.col("doc_id"), F.col("text")))
