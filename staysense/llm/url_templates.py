@@ -4,9 +4,9 @@ Rules name a host and the start of a path; the longest that fits decides.  All o
 judged by the template they fall under:
 
 1. Variable segments of the path (numbers, ids, hashes, dates) become wildcards at once.
-2. Level by level, under every node of a host's tree, segments too rare among too many
-   siblings become a wildcard, and siblings whose labelled shares are statistically alike
-   (two-proportion test) are merged into one branch.
+2. Level by level, under every node of a host's tree, segments with too few labels among too
+   many siblings become a wildcard, and siblings whose labelled shares are statistically alike
+   (two-proportion test against the branch they join) are merged into one branch.
 3. A template's share of bad labels is smoothed towards that of all labelled urls; templates
    at or above the limit are rejected.
 
@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staysense.llm.common import ascii_lower
@@ -30,7 +30,8 @@ from staysense.session import cut_lineage
 
 @dataclass(frozen=True)
 class TreeRules:
-    max_children: int = 24          # siblings a node may have before the rare ones are merged
+    max_children: int = 24          # siblings a node may have before those with few labels are merged
+    min_labels: int = 5             # labels that a sibling needs then to be tested by itself
     z_alike: float = 1.96           # siblings whose shares differ by less than that are one branch
     prior_weight: float = 5.0       # labelled urls that the overall share counts as
     reject_at: float = 0.8          # smoothed share of bad labels
@@ -92,31 +93,59 @@ def build_tree(urls: DataFrame, rules: TreeRules = TreeRules()) -> DataFrame:
     return nodes
 
 
+def _branches(parts: DataFrame, rules: TreeRules) -> DataFrame:
+    """(host, template, labelled, bad, branch, members): the branch of the siblings with these counts.
+
+    Siblings with equal counts are one class, so that a family of N labels has about N^(2/3) classes at
+    most.  By rising share, a class joins the branch before it when one of its siblings passes the
+    two-proportion test against that whole branch; siblings without labels are a branch of their own.
+    """
+    classes = parts.groupBy("host", "template", "labelled", "bad").agg(F.count("*").alias("m")).withColumn(
+        "share", F.col("bad") / F.greatest("labelled", F.lit(1)))
+    family = classes.groupBy("host", "template").agg(F.sort_array(F.collect_list(
+        F.struct((F.col("labelled") == 0).alias("none"), "share", "labelled", "bad", "m"))).alias("classes"))
+    # per branch: its pooled counts, members and classes; only the last one is open
+    run = "struct<labelled: bigint, bad: bigint, m: bigint, classes: array<struct<labelled: bigint, bad: bigint>>>"
+    both = "(s.open.labelled + x.labelled)"
+    pooled = f"((s.open.bad + x.bad) / {both})"
+    error = f"sqrt({pooled} * (1 - {pooled}) * (1 / s.open.labelled + 1 / x.labelled))"
+    alike = (f"(s.open.labelled > 0 AND x.labelled > 0 AND "
+             f"abs(x.share - s.open.bad / s.open.labelled) <= {rules.z_alike}D * {error})")
+    one = "array(struct(x.labelled AS labelled, x.bad AS bad))"
+    grown = ("struct(s.open.labelled + x.m * x.labelled AS labelled, s.open.bad + x.m * x.bad AS bad, "
+             f"s.open.m + x.m AS m, concat(s.open.classes, {one}) AS classes)")
+    fresh = f"struct(x.m * x.labelled AS labelled, x.m * x.bad AS bad, x.m AS m, {one} AS classes)"
+    branches = family.select("host", "template", F.expr(
+        f"aggregate(classes, struct(CAST(array() AS array<{run}>) AS done, CAST(NULL AS {run}) AS open), (s, x) -> CASE "
+        f"WHEN s.open IS NULL THEN struct(s.done AS done, CAST({fresh} AS {run}) AS open) "
+        f"WHEN {alike} THEN struct(s.done AS done, CAST({grown} AS {run}) AS open) "
+        f"ELSE struct(array_append(s.done, s.open) AS done, CAST({fresh} AS {run}) AS open) END, "
+        "s -> array_append(s.done, s.open))").alias("branches"))
+    return branches.select("host", "template", F.posexplode("branches").alias("branch", "b")).select(
+        "host", "template", "branch", F.col("b.m").alias("members"), F.explode("b.classes").alias("c")).select(
+        "host", "template", "c.labelled", "c.bad", "branch", "members")
+
+
 def _merge_level(nodes: DataFrame, level: int, rules: TreeRules) -> DataFrame:
     """Extends every template by what its next segment becomes."""
     nodes = nodes.withColumn("seg", F.get("segs", F.lit(level)))
     kids = nodes.where("seg IS NOT NULL").groupBy("host", "template", "seg").agg(
-        F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
-    family = kids.groupBy("host", "template").agg(F.count("*").alias("kids"), F.sum("n").alias("all"))
+        F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
+    family = kids.groupBy("host", "template").agg(F.count("*").alias("kids"))
     kids = kids.join(family, ["host", "template"])
-    # at most max_children siblings can be above the mean share, so a family is bounded from here on
-    rare = (F.col("kids") > rules.max_children) & (F.col("n") * rules.max_children < F.col("all"))
+    # only siblings with too few labels to be told apart; all others go by the test, however many
+    rare = (F.col("kids") > rules.max_children) & (F.col("labelled") < rules.min_labels)
     kids = kids.withColumn("part", F.when(rare, F.lit("*")).otherwise(F.col("seg")))
     parts = kids.groupBy("host", "template", "part").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
-    by_share = Window.partitionBy("host", "template").orderBy(
-        F.col("labelled") == 0, F.col("bad") / F.greatest("labelled", F.lit(1)), "part")
-    parts = parts.withColumns({f"prev_{c}": F.lag(c).over(by_share) for c in ("labelled", "bad")})
-    both = F.col("labelled") + F.col("prev_labelled")
-    pooled = (F.col("bad") + F.col("prev_bad")) / F.greatest(both, F.lit(1))
-    error = F.sqrt(pooled * (1 - pooled) * (1 / F.greatest("labelled", F.lit(1)) + 1 / F.greatest("prev_labelled", F.lit(1))))
-    gap = F.col("bad") / F.greatest("labelled", F.lit(1)) - F.col("prev_bad") / F.greatest("prev_labelled", F.lit(1))
-    unlabelled = (F.col("labelled") == 0) & (F.col("prev_labelled") == 0)
-    alike = unlabelled | ((F.col("labelled") > 0) & (F.abs(gap) <= rules.z_alike * error))
-    parts = parts.withColumn("branch", F.sum((~F.coalesce(alike, F.lit(False))).cast("int")).over(
-        by_share.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    # a branch is named after its members
-    names = F.array_join(F.sort_array(F.collect_set("part").over(Window.partitionBy("host", "template", "branch"))), "|")
-    names = parts.select("host", "template", "part", names.alias("name"))
+    parts = parts.join(_branches(parts, rules), ["host", "template", "labelled", "bad"])
+    # a branch is named after its members, one of many after the first and their number
+    few = F.col("members") <= rules.max_children + 1
+    names = parts.groupBy("host", "template", "branch").agg(
+        F.max("members").alias("members"), F.min("part").alias("least"),
+        F.sort_array(F.collect_list(F.when(few, F.col("part")))).alias("all"))
+    names = names.select("host", "template", "branch", F.when(few, F.array_join("all", "|")).otherwise(
+        F.concat("least", F.lit("|..|"), F.col("members").cast("string"))).alias("name"))
+    names = parts.select("host", "template", "part", "branch").join(names, ["host", "template", "branch"]).drop("branch")
     named = kids.select("host", "template", "seg", "part").join(names, ["host", "template", "part"]).drop("part")
     out = nodes.join(named, ["host", "template", "seg"], "left")
     return out.withColumn("template", F.concat("template", F.when(F.col("seg").isNotNull(), F.concat(

@@ -94,6 +94,22 @@ def test_url_templates_reject_bad_branches_only(spark):
     assert any("*" in n for n in names)                 # too many siblings became one
 
 
+def test_url_many_labelled_siblings_are_judged_apart(spark):
+    rows, labels = [], []
+    for k in range(60):                                 # 60 sections of 20 labelled urls, 8 of them all bad
+        name = f"part-{'abcdefghij'[k % 10]}{'klmnop'[k // 10]}"
+        rows += [(100 * k + i, f"http://h.org/{name}/{i}") for i in range(30)]
+        labels += [(100 * k + i, k % 8 == 3) for i in range(20)]
+    rows += [(100_000 + i, f"http://h.org/news/{i}") for i in range(40_000)]            # 95 % of the host
+    labels += [(100_000 + i, False) for i in range(500)]
+    out = url_templates.judge(spark.createDataFrame(rows, "page_id int, url string"), [],
+                              spark.createDataFrame(labels, "id int, bad boolean")).collect()
+    assert len(out) == len(rows)
+    for r in out:
+        bad = r.id < 100_000 and r.id // 100 % 8 == 3
+        assert r.verdict == ("block" if bad else "allow"), r
+
+
 # ------------------------------------------------------------------------ op3
 def brute_targets(sizes, share=1.5, weights=(5, 2, 1)):
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
