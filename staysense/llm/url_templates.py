@@ -20,6 +20,7 @@ repeated id keeps its rows; with no labels at all every template is allowed.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,7 +36,6 @@ class TreeRules:
     z_alike: float = 1.96           # siblings whose shares differ by less than that are one branch
     prior_weight: float = 5.0       # labelled urls that the overall share counts as
     reject_at: float = 0.8          # smoothed share of bad labels
-    max_depth: int = 8              # deeper segments are one wildcard, "**"
 
 
 #: What makes a segment variable, and the wildcard it becomes.
@@ -65,7 +65,7 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[C
     return rule, verdict
 
 
-def segments(path: Column, max_depth: int) -> Column:
+def segments(path: Column) -> Column:
     """The path's segments with variable ones as wildcards; a file name keeps its suffix."""
     def general(seg):
         stem = F.regexp_extract(seg, r"^(.*?)(\.[A-Za-z]{1,5})?$", 1)
@@ -75,8 +75,7 @@ def segments(path: Column, max_depth: int) -> Column:
             out = F.when(stem.rlike(f"^(?:{pattern})$"), F.lit(name)).otherwise(out)
         return F.concat(out, suffix)
 
-    segs = F.transform(F.filter(F.split(path, "/"), lambda s: s != ""), general)
-    return F.when(F.size(segs) > max_depth, F.concat(F.slice(segs, 1, max_depth), F.array(F.lit("**")))).otherwise(segs)
+    return F.transform(F.filter(F.split(path, "/"), lambda s: s != ""), general)
 
 
 def build_tree(urls: DataFrame, rules: TreeRules = TreeRules()) -> DataFrame:
@@ -84,13 +83,27 @@ def build_tree(urls: DataFrame, rules: TreeRules = TreeRules()) -> DataFrame:
     nodes = cut_lineage(urls.groupBy("host", "segs").agg(
         F.count("*").alias("n"), F.count("bad").alias("labelled"),
         F.sum(F.coalesce(F.col("bad").cast("long"), F.lit(0))).alias("bad")))
-    depth = nodes.agg(F.max(F.size("segs"))).first()[0] or 0
-    nodes = nodes.withColumn("template", F.lit(""))
-    for level in range(depth):
-        nodes = _merge_level(nodes, level, rules)
-        if level + 1 < depth:
-            nodes = cut_lineage(nodes)
-    return nodes
+    done, active = [], nodes.withColumn("template", F.lit("")).withColumn("rest", F.col("segs"))
+    while True:
+        active = cut_lineage(_common_start(active))
+        done.append(active.where("size(rest) = 0").drop("rest"))
+        active = active.where("size(rest) > 0")
+        if active.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+        active = cut_lineage(_merge_level(active, rules))
+
+
+def _common_start(nodes: DataFrame) -> DataFrame:
+    """Goes on to where the paths under a template part: an only child has no sibling to be merged with."""
+    ends = nodes.where("size(rest) > 0").groupBy("host", "template").agg(F.min("rest").alias("lo"), F.max("rest").alias("hi"))
+    ends = ends.withColumn("same", F.expr("zip_with(lo, hi, (x, y) -> coalesce(x = y, false))")).select(
+        "host", "template", F.expr("if(array_contains(same, false), array_position(same, false) - 1, size(same))").cast(
+            "int").alias("shared"))
+    out = nodes.join(ends, ["host", "template"], "left").withColumn(
+        "shared", F.when(F.size("rest") > 0, F.col("shared")).otherwise(0))
+    return out.select("host", "segs", "n", "labelled", "bad", F.when(F.col("shared") > 0, F.concat(
+        "template", F.lit("/"), F.array_join(F.slice("rest", F.lit(1), F.col("shared")), "/"))).otherwise(
+        F.col("template")).alias("template"), F.slice("rest", F.col("shared") + 1, F.size("rest")).alias("rest"))
 
 
 def _branches(parts: DataFrame, rules: TreeRules) -> DataFrame:
@@ -126,10 +139,10 @@ def _branches(parts: DataFrame, rules: TreeRules) -> DataFrame:
         "host", "template", "c.labelled", "c.bad", "branch", "members")
 
 
-def _merge_level(nodes: DataFrame, level: int, rules: TreeRules) -> DataFrame:
-    """Extends every template by what its next segment becomes."""
-    nodes = nodes.withColumn("seg", F.get("segs", F.lit(level)))
-    kids = nodes.where("seg IS NOT NULL").groupBy("host", "template", "seg").agg(
+def _merge_level(nodes: DataFrame, rules: TreeRules) -> DataFrame:
+    """Extends every template by what its next segment becomes; all ``nodes`` have one."""
+    nodes = nodes.withColumn("seg", F.get("rest", F.lit(0)))
+    kids = nodes.groupBy("host", "template", "seg").agg(
         F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
     family = kids.groupBy("host", "template").agg(F.count("*").alias("kids"))
     kids = kids.join(family, ["host", "template"])
@@ -147,9 +160,9 @@ def _merge_level(nodes: DataFrame, level: int, rules: TreeRules) -> DataFrame:
         F.concat("least", F.lit("|..|"), F.col("members").cast("string"))).alias("name"))
     names = parts.select("host", "template", "part", "branch").join(names, ["host", "template", "branch"]).drop("branch")
     named = kids.select("host", "template", "seg", "part").join(names, ["host", "template", "part"]).drop("part")
-    out = nodes.join(named, ["host", "template", "seg"], "left")
-    return out.withColumn("template", F.concat("template", F.when(F.col("seg").isNotNull(), F.concat(
-        F.lit("/"), F.col("name"))).otherwise(""))).select("host", "segs", "n", "labelled", "bad", "template")
+    return nodes.join(named, ["host", "template", "seg"]).withColumn("template", F.concat(
+        "template", F.lit("/"), "name")).select(
+        "host", "segs", "n", "labelled", "bad", "template", F.expr("slice(rest, 2, size(rest))").alias("rest"))
 
 
 def judge_templates(nodes: DataFrame, rules: TreeRules = TreeRules()) -> DataFrame:
@@ -174,7 +187,7 @@ def judge(df: DataFrame, rules: list[tuple[str, str]], labels: DataFrame | None
     urls = df.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     urls = urls.withColumn("rule", rule).withColumn("by_rule", verdict).withColumn(
-        "segs", segments(F.col("path"), tree.max_depth))
+        "segs", segments(F.col("path")))
     urls = urls.withColumn("bad", F.col("by_rule") == "block")
     if labels is not None:
         known = labels.groupBy(F.col("id").alias("known_id")).agg(F.max("bad").alias("known_bad"))

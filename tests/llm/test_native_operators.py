@@ -110,6 +110,21 @@ def test_url_many_labelled_siblings_are_judged_apart(spark):
         assert r.verdict == ("block" if bad else "allow"), r
 
 
+def test_url_deep_paths_keep_all_segments(spark):
+    deep = "/".join("abcdefghijk")
+    rows, labels = [], []
+    for i in range(120):
+        rows.append((i, f"http://h.org/{deep}/{['good', 'spam'][i % 2]}/{i}.html"))
+        labels.append((i, i % 2 == 1))
+    rows += [(1000 + i, f"http://h.org/{deep}" + "/x" * 300 * i) for i in range(2)]
+    out = url_templates.judge(spark.createDataFrame(rows, "page_id int, url string"), [],
+                              spark.createDataFrame(labels, "id int, bad boolean")).collect()
+    assert len(out) == len(rows)
+    assert {(r.template, r.verdict) for r in out if r.id < 1000} == {
+        (f"/{deep}/good/{{n}}.html", "allow"), (f"/{deep}/spam/{{n}}.html", "block")}
+    assert {r.template for r in out if r.id >= 1000} == {f"/{deep}", f"/{deep}" + "/x" * 300}
+
+
 # ------------------------------------------------------------------------ op3
 def brute_targets(sizes, share=1.5, weights=(5, 2, 1)):
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
