@@ -4,7 +4,9 @@ Base rules are patterns.  The method adds candidates that no pattern names: a wi
 over every long run of a character class, its Shannon entropy follows from the counts of the
 characters in it, and a step changes only the two counts of the character that enters and the
 one that leaves.  The stretch from the first to the last window above the class's threshold
-is a finding, unless the run matches an allow-list pattern or overlaps a base finding.
+is a finding.  Base findings and allow-listed spans are blanked first, so that runs end there
+and what stands beside them is scanned.  In a run that begins like a file path every segment is
+a candidate; if none is long enough, what follows the path is.
 
 Positions are code points, the end exclusive.  They come from the lengths of the matches and
 of the gaps between them, so a text is never cut into characters outside candidate runs.
@@ -48,14 +50,21 @@ CLASSES = (
               ("[0-9]", "[A-Fa-f]"), True),
     CharClass("entropy_b64", r"[A-Za-z0-9+/_-]{24,}", _DIGITS + _UPPER + _LOWER + "+/_-", 24, 3.9,
               ("[0-9]", "[A-Z]", "[a-z]")),
+    # keys in one case; under 1.1 % of random base36 and base32 windows are below the thresholds
+    CharClass("entropy_lower", r"(?<![0-9A-Za-z])[0-9a-z]{24,}(?![0-9A-Za-z])", _DIGITS + _LOWER, 24, 3.6,
+              ("[0-9]", "[a-z]")),
+    CharClass("entropy_upper", r"(?<![0-9A-Za-z])[0-9A-Z]{24,}(?![0-9A-Za-z])", _DIGITS + _UPPER, 24, 3.5,
+              ("[0-9]", "[A-Z]")),
 )
-#: Runs that look random and are no secrets.
+#: Spans that look random and are no secrets.
 ALLOWED = (
     r"[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}",   # UUID
     r"(?i)example|dummy|placeholder|changeme|xxxx",                                    # samples in manuals
     r"(?i)abcdefghij|0123456789|qwertyuiop",                                           # alphabets and key rows
-    r"^/?(?:[A-Za-z][A-Za-z0-9_-]{1,15}/){3,}",                                        # file paths
 )
+#: How a run begins that is a file path.
+PATH = r"^/?(?:[A-Za-z][A-Za-z0-9_-]{1,15}/){3,}"
+_BLANK = "\x01"       # stands for a character of a span that is not scanned; in no class
 
 
 def _located(gaps: str, hits: str, measured: str) -> str:
@@ -69,15 +78,15 @@ def _located(gaps: str, hits: str, measured: str) -> str:
             "ELSE CAST(array() AS ARRAY<STRUCT<start: INT, end: INT, n: INT>>) END")
 
 
-def _found(df: DataFrame, name: str, pattern: str, group: int) -> DataFrame:
-    hits = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
+def _found(df: DataFrame, name: str, pattern: str, group: int, text: str = "text") -> DataFrame:
+    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     df = df.withColumn(f"{name}_hits", hits)
     some = F.size(f"{name}_hits") > 0
-    df = df.withColumn(f"{name}_gaps", F.when(some, F.split("text", pattern, -1)))
+    df = df.withColumn(f"{name}_gaps", F.when(some, F.split(text, pattern, -1)))
     part = f"{name}_hits"
     if group:
         part = f"{name}_parts"
-        df = df.withColumn(part, F.when(some, F.regexp_extract_all("text", F.lit(pattern), F.lit(group))))
+        df = df.withColumn(part, F.when(some, F.regexp_extract_all(text, F.lit(pattern), F.lit(group))))
     df = df.withColumn(name, F.expr(_located(f"{name}_gaps", f"{name}_hits", part)))
     return df.drop(f"{name}_gaps", *([part] if group else []))
 
@@ -115,14 +124,51 @@ def high_entropy(run: Column, c: CharClass) -> Column:
     return F.aggregate(ids, start, step, lambda s: F.struct(s["first"], s["last"]))
 
 
-def _wanted(c: CharClass, allowed: tuple[str, ...]):
-    """Whether a run is scanned: no base finding overlaps it, it has what its class needs, no list allows it."""
+def _blanked(text: Column, pattern: str) -> Column:
+    """``text`` with every match of ``pattern`` blanked; the length stays."""
+    rest = F.zip_with(F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+                      lambda gap, hit: F.concat(gap, F.repeat(F.lit(_BLANK), F.coalesce(F.length(hit), F.lit(0)))))
+    return F.when(text.rlike(pattern), F.array_join(rest, "")).otherwise(text)
+
+
+def _scannable(allowed: tuple[str, ...]) -> Column:
+    """The text with base findings, allowed spans and the joiners beside them blanked."""
+    text = F.expr(
+        "CASE WHEN size(base) = 0 THEN text ELSE aggregate(base, struct(0 AS at, '' AS out), (s, x) -> CASE "
+        "WHEN x.end <= s.at THEN s ELSE struct(x.end AS at, concat(s.out, "
+        "substring(text, s.at + 1, greatest(x.start - s.at, 0)), "
+        f"repeat('{_BLANK}', x.end - greatest(x.start, s.at))) AS out) END, "
+        "s -> concat(s.out, substring(text, s.at + 1, length(text)))) END")
+    if allowed:
+        text = _blanked(text, "|".join(f"(?:{p})" for p in allowed))
+    return _blanked(_blanked(text, f"(?<={_BLANK})[/_-]+"), f"[/_-]+(?={_BLANK})")
+
+
+def _pieces(c: CharClass):
+    """The candidates (start, run) of a run."""
+    def cut(x):
+        whole = F.array(F.struct(x["at"]["start"].alias("start"), x["run"].alias("run")))
+        if "/" not in c.alphabet:
+            return whole
+        none = F.expr("CAST(array() AS ARRAY<STRUCT<start: INT, run: STRING>>)")
+        begin = F.struct(x["at"]["start"].alias("at"), none.alias("found"))
+        segs = F.aggregate(F.split(x["run"], "/"), begin, lambda s, seg: F.struct(
+            (s["at"] + F.length(seg) + 1).alias("at"),
+            F.when(F.length(seg) >= c.window, F.array_append(s["found"], F.struct(
+                s["at"].alias("start"), seg.alias("run")))).otherwise(s["found"]).alias("found")), lambda s: s["found"])
+        path = F.length(F.regexp_extract(x["run"], PATH, 0))
+        rest = F.array(F.struct((x["at"]["start"] + path).alias("start"),
+                                F.substring(x["run"], path + 1, F.length(x["run"])).alias("run")))
+        return F.when(path == 0, whole).when(F.size(segs) > 0, segs).otherwise(rest)
+    return cut
+
+
+def _wanted(c: CharClass):
+    """Whether a candidate is scanned: it is long enough and has what its class needs."""
     def test(x):
-        ok = ~F.exists("base", lambda b: (b["start"] < x["at"]["end"]) & (b["end"] > x["at"]["start"]))
+        ok = F.length(x["run"]) >= c.window
         for p in c.needs:
             ok = ok & x["run"].rlike(p)
-        for p in allowed:
-            ok = ok & ~x["run"].rlike(p)
         return ok
     return test
 
@@ -130,8 +176,8 @@ def _wanted(c: CharClass, allowed: tuple[str, ...]):
 def _placed(c: CharClass, order: int):
     def place(x):
         h = high_entropy(x["run"], c)
-        return F.struct((x["at"]["start"] + h["first"]).alias("start"), F.lit(order).alias("ord"),
-                        (x["at"]["start"] + h["last"]).alias("end"), F.lit(c.kind).alias("kind"),
+        return F.struct((x["start"] + h["first"]).alias("start"), F.lit(order).alias("ord"),
+                        (x["start"] + h["last"]).alias("end"), F.lit(c.kind).alias("kind"),
                         h["first"].alias("first"))
     return place
 
@@ -142,20 +188,21 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     t = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     for kind, pattern, group, _ in BASE_RULES:
         t = _found(t, kind, pattern, group).drop(f"{kind}_hits")
-    for c in classes:
-        t = _found(t, c.kind, c.pattern, 0)
     base = [_tagged(kind, kind, i, least) for i, (kind, _, _, least) in enumerate(BASE_RULES)]
     t = t.withColumn("base", F.expr(f"sort_array(concat({', '.join(base)}))"))
+    t = t.withColumn("scanned", _scannable(allowed))
+    for c in classes:
+        t = _found(t, c.kind, c.pattern, 0, "scanned")
     added = []
     for i, c in enumerate(classes):
         runs = F.arrays_zip(F.col(c.kind).alias("at"), F.col(f"{c.kind}_hits").alias("run"))
-        t = t.withColumn(f"{c.kind}_runs", F.filter(runs, _wanted(c, allowed)))
+        t = t.withColumn(f"{c.kind}_runs", F.filter(F.flatten(F.transform(runs, _pieces(c))), _wanted(c)))
         t = t.withColumn(f"{c.kind}_high", F.transform(f"{c.kind}_runs", _placed(c, len(BASE_RULES) + i)))
         added.append(f"transform(filter({c.kind}_high, x -> x.first >= 0), x -> struct(x.start, x.ord, x.end, x.kind))")
     t = t.withColumn("added", F.expr(f"sort_array(concat({', '.join(added)}))"))
-    # two classes may flag the same run: the first one listed has it
+    # two classes may flag the same stretch: the first one listed has it
     t = t.withColumn("added", F.expr("filter(added, x -> NOT exists(added, y -> y.ord < x.ord "
-                                     "AND y.start < x.end AND y.end > x.start))"))
+                                     "AND y.start <= x.start AND y.end >= x.end))"))
     return t.select("doc_id", "text", "base", "added")
 
 

@@ -239,6 +239,25 @@ def test_entropy_finds_and_allows(spark):
     assert text[8] == "blob [secret] end" and text[10] == SECRETS[10] and text[6] == "[secret]"
 
 
+def test_secrets_beside_allowed_spans_and_in_one_case(spark):
+    key, uuid = "q7Zk2LmXv9Rt4WbNc8Yp1HsD", "550e8400-e29b-41d4-a716-446655440000"
+    lower, upper = "k3v9x2m7q1w8z5t4r6p0y2b7n4", "MZXW6YTBOI7DK3QAPL5VH2SE4N"
+    cases = [("https://hooks.org com/services/T02AB3CD4/B05EF6GH7/", key, ""), ("api/v2/keys/", key, " end"),
+             ("docs/example/", key, ""), (uuid + "_", key, ""), ("", key, "-" + uuid), ("AKIA" + "A1" * 8 + "/", key, ""),
+             ("é𝄞 usr/share/doc/x1/", key, "/usr"), ("key ", lower, "."), ("api/v2/keys/", upper, " end")]
+    df = spark.createDataFrame([(i, "".join(c)) for i, c in enumerate(cases)], "doc_id int, text string")
+    for r in secret_scan.scan(df).collect():
+        before, secret, _ = cases[r.doc_id]
+        spans = [r.text[x["start"]:x["end"]] for x in r.added]
+        if r.doc_id:
+            assert spans == [secret] and r.added[0]["start"] == len(before), (r.text, spans)
+        else:
+            assert any(secret in x for x in spans)
+    plain = ["usr/share/doc/thing/readme1/Abc", uuid, "thisisjustalongwordwithoutdigits", "example/" + uuid, "a" * 30 + "1"]
+    df = spark.createDataFrame(list(enumerate(plain)), "doc_id int, text string")
+    assert not any(r.added for r in secret_scan.scan(df).collect())
+
+
 # ------------------------------------------------------------------------ op8
 def brute_line_dedup(docs, least=line_runs.MIN_WORDS):
     first, info = {}, {}
