@@ -21,8 +21,8 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail the base rules or are mostly boilerplate of their host go."""
-    return line_quality.keep_documents(docs)
+    """Documents that fail the base rules or are mostly boilerplate of their host go, and boilerplate lines of the others."""
+    return _counted(line_quality.keep_documents(docs))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -41,7 +41,7 @@ MAX_REPEAT_PCT = 30
 
 def _normalised_lines(text: Column) -> Column:
     flat = F.regexp_replace(F.lower(text), r"[\x20\x09\x0B-\x0D]+", " ")
-    return F.filter(F.transform(F.split(flat, "\n"), lambda x: F.trim(x)), lambda x: x != "")
+    return F.transform(F.split(flat, "\n"), lambda x: F.trim(x))
 
 
 def base_metrics(docs: DataFrame) -> DataFrame:
@@ -76,9 +76,9 @@ def base_metrics(docs: DataFrame) -> DataFrame:
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
-    """One row per line with a word: host, hash, words, place and the document it is in."""
+    """One row per line with a word: host, hash, words, place (the line's number) and the document it is in."""
     return docs.select("host", "key", F.xxhash64("text").alias("content"),
-                       F.posexplode(_normalised_lines(F.col("text"))).alias("pos", "line")).select(
+                       F.posexplode(_normalised_lines(F.col("text"))).alias("pos", "line")).where("line <> ''").select(
         "host", "key", "content", "pos", F.xxhash64("line").alias("line_hash"),
         F.size(F.split("line", " ")).alias("line_words"))
 
@@ -95,7 +95,8 @@ def frequent_lines(docs: DataFrame, rules: LineRules) -> DataFrame:
 
 def judge(df: DataFrame, rules: LineRules = LineRules(), id_col: str = "doc_id", host_col: str = "source",
           text_col: str = "text") -> DataFrame:
-    """Base counts, words removed as boilerplate and the verdict, one row per input row."""
+    """Base counts, words and lines (numbers from 0, null if none) removed as boilerplate and the verdict, one row
+    per input row."""
     docs = df.select(F.col(id_col).alias("doc_id"), F.col(host_col).cast("string").alias("host"),
                      F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     docs = docs.withColumn("key", row_key(F.col("doc_id"), F.col("host"), F.col("text")))
@@ -105,19 +106,25 @@ def judge(df: DataFrame, rules: LineRules = LineRules(), id_col: str = "doc_id",
     # distinct places: rows repeating a document don't count its lines twice
     removed = hits.groupBy("key").agg(F.collect_set(F.struct("pos", "line_words")).alias("places")).select(
         F.col("key").alias("k"),
-        F.aggregate("places", F.lit(0).cast("long"), lambda a, x: a + x["line_words"]).alias("removed"))
+        F.aggregate("places", F.lit(0).cast("long"), lambda a, x: a + x["line_words"]).alias("removed"),
+        F.sort_array(F.transform("places", lambda x: x["pos"])).alias("removed_lines"))
     out = base_metrics(docs).join(removed, F.col("key") == F.col("k"), "left").withColumn(
         "removed_words", F.coalesce("removed", F.lit(0).cast("long")))
     depleted = (F.col("removed_words") > 0) & (
         (F.col("n_words") - F.col("removed_words") < rules.min_words)
         | (F.col("removed_words") > F.col("n_words") * F.lit(rules.max_removed)))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-                      (~F.col("base_failed") & ~depleted).alias("kept"), "removed_words", "host", "key")
+                      (~F.col("base_failed") & ~depleted).alias("kept"), "removed_words", "host", "key",
+                      "removed_lines")
 
 
 def keep_documents(df: DataFrame, rules: LineRules = LineRules(), id_col: str = "doc_id",
                    host_col: str = "source", text_col: str = "text") -> DataFrame:
-    """The input rows that pass, all columns as they came."""
+    """The input rows that pass, their texts without the lines removed as boilerplate; other columns as they came."""
     key = row_key(F.col(id_col), F.col(host_col).cast("string"), F.coalesce(F.col(text_col), F.lit("")))
-    gone = judge(df, rules, id_col, host_col, text_col).where("NOT kept").select(F.col("key").alias("__gone")).distinct()
-    return df.withColumn("__key", key).join(gone, F.col("__key") == F.col("__gone"), "left_anti").drop("__key")
+    found = judge(df, rules, id_col, host_col, text_col).where("NOT kept OR removed_lines IS NOT NULL").groupBy(
+        F.col("key").alias("__found")).agg(F.first("kept").alias("__kept"), F.first("removed_lines").alias("__lines"))
+    rest = F.array_join(F.filter(F.split(text_col, "\n"), lambda x, i: ~F.array_contains("__lines", i)), "\n")
+    out = df.withColumn("__key", key).join(found, F.col("__key") == F.col("__found"), "left").where(
+        F.coalesce("__kept", F.lit(True)))
+    return out.withColumn(text_col, F.when(F.col("__lines").isNull(), F.col(text_col)).otherwise(rest)).select(*df.columns)

@@ -77,3 +77,19 @@ def test_tokens(stages):
     want = sorted((r.doc_id, hashlib.sha256(np.array(lib.encode(r.text, add_special_tokens=False).ids, "<u4").tobytes()).hexdigest())
                   for r in stages[3])
     assert sorted((r.doc_id, r.ids_sha256) for r in stages[4]) == want
+
+
+def test_boilerplate_lines_go(spark):
+    rnd = random.Random(4)
+
+    def prose(n):
+        return " ".join("".join(rnd.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+
+    rows = [(i, f"Home | News\n\n{prose(40)}\n  HOME |  news \n{prose(9)}\n", "en", "a", 0) for i in range(40)]
+    rows += [(100 + i, f"Home | News\n{prose(40)}", "en", "b", 0) for i in range(9)]       # rare on its host
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r for r in P.quality_rules(spark, df, "/nowhere").collect()}
+    assert len(got) == len(rows)
+    for i, text, *_ in rows:
+        want = text if i >= 100 else "\n".join(x for k, x in enumerate(text.split("\n")) if k not in (0, 3))
+        assert got[i].text == want and got[i].n_chars == len(want)
