@@ -5,7 +5,9 @@ documents that hold it are counted per host.  Lines above the host's limit are b
 and removed; a document that loses too much of itself that way is rejected.
 
 Exact copies of a text on one host count as one document, so a large group of copies does
-not turn its own text into boilerplate (a dedup step handles copies).
+not turn its own text into boilerplate (a dedup step handles copies).  With ``near_copies`` texts
+that only vary the frequent lines count as one, too: such a text has hardly a word pair of its
+own outside those lines.  A line stays frequent then only if otherwise different documents hold it.
 
 Defined results: a null text is an empty text; a null host is a host of its own; rows that
 agree in id, host and text get equal results, one per row; an empty table gives no rows;
@@ -20,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staysense.llm.common import row_key, words
+from staysense.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -32,6 +35,7 @@ class LineRules:
     share: float = 0.05
     min_words: int = 20
     max_removed: float = 0.5
+    max_own: float = 0.1            # own word pairs per word that a near copy may have
 
 
 WINDOW = 8          # words per window of the repetition count
@@ -93,8 +97,35 @@ def frequent_lines(docs: DataFrame, rules: LineRules) -> DataFrame:
         F.col("n_docs") > F.col("host_docs") * F.lit(rules.share)).select("host", "line_hash", "n_docs")
 
 
+def _without_near_copies(docs: DataFrame, hits: DataFrame, rules: LineRules) -> DataFrame:
+    """The ``hits`` (key, host, line_hash, ...) whose line is frequent among otherwise different documents."""
+    line = row_key(F.col("host"), F.col("line_hash"))
+    hits = cut_lineage(hits.withColumn("line_id", line))
+    held = hits.groupBy("key").agg(F.collect_set("pos").alias("places"), F.min("line_hash").alias("least"))
+    lines = docs.join(held, "key").select("key", "host", "places", F.posexplode(_normalised_lines(F.col("text"))).alias(
+        "pos", "line")).where("line <> ''").select(
+        "key", "host", F.array_contains("places", F.col("pos")).alias("hit"), F.split("line", " ").alias("w"))
+    grams = lines.select("key", "hit", F.explode(F.transform("w", lambda x, i: row_key(
+        F.col("host"), F.get("w", i - 1), x))).alias("gram")).distinct()
+    grams = cut_lineage(grams)
+    common = grams.where("hit").select("gram").distinct()
+    own = grams.where("NOT hit").join(common, "gram", "left_anti").groupBy("key").agg(F.count("*").alias("own"))
+    size = docs.join(held, "key", "left_semi").groupBy("key").agg(F.max(F.size(words(F.col("text")))).alias("size"),
+                                                                 F.max(F.xxhash64("text")).alias("content"))
+    # near copies of one text share their least frequent line, but for the few that vary that one
+    same = F.coalesce("own", F.lit(0)) <= F.col("size") * F.lit(rules.max_own)
+    content = size.join(held.select("key", "least"), "key").join(own, "key", "left").select(
+        "key", F.when(same, F.col("least")).otherwise(F.col("content")).alias("as_one"))
+    counts = hits.join(content, "key").groupBy("host", "line_id").agg(F.countDistinct("as_one").alias("n_docs")).where(
+        F.col("n_docs") > rules.min_docs)
+    hosts = docs.groupBy("host").agg(F.countDistinct(F.xxhash64("text")).alias("host_docs")).withColumnRenamed("host", "h")
+    still = counts.join(hosts, F.col("host").eqNullSafe(F.col("h"))).where(
+        F.col("n_docs") > F.col("host_docs") * F.lit(rules.share)).select("line_id")
+    return hits.join(still, "line_id", "left_semi")
+
+
 def judge(df: DataFrame, rules: LineRules = LineRules(), id_col: str = "doc_id", host_col: str = "source",
-          text_col: str = "text") -> DataFrame:
+          text_col: str = "text", near_copies: bool = False) -> DataFrame:
     """Base counts, words and lines (numbers from 0, null if none) removed as boilerplate and the verdict, one row
     per input row."""
     docs = df.select(F.col(id_col).alias("doc_id"), F.col(host_col).cast("string").alias("host"),
@@ -103,6 +134,8 @@ def judge(df: DataFrame, rules: LineRules = LineRules(), id_col: str = "doc_id",
     frequent = frequent_lines(docs, rules).select(F.col("host").alias("h"), F.col("line_hash").alias("lh"))
     hits = line_rows(docs).join(frequent, F.col("host").eqNullSafe(F.col("h")) & (F.col("line_hash") == F.col("lh")),
                                 "left_semi")
+    if near_copies:
+        hits = _without_near_copies(docs, hits, rules)
     # distinct places: rows repeating a document don't count its lines twice
     removed = hits.groupBy("key").agg(F.collect_set(F.struct("pos", "line_words")).alias("places")).select(
         F.col("key").alias("k"),
@@ -119,10 +152,10 @@ def judge(df: DataFrame, rules: LineRules = LineRules(), id_col: str = "doc_id",
 
 
 def keep_documents(df: DataFrame, rules: LineRules = LineRules(), id_col: str = "doc_id",
-                   host_col: str = "source", text_col: str = "text") -> DataFrame:
+                   host_col: str = "source", text_col: str = "text", near_copies: bool = True) -> DataFrame:
     """The input rows that pass, their texts without the lines removed as boilerplate; other columns as they came."""
     key = row_key(F.col(id_col), F.col(host_col).cast("string"), F.coalesce(F.col(text_col), F.lit("")))
-    found = judge(df, rules, id_col, host_col, text_col).where("NOT kept OR removed_lines IS NOT NULL").groupBy(
+    found = judge(df, rules, id_col, host_col, text_col, near_copies).where("NOT kept OR removed_lines IS NOT NULL").groupBy(
         F.col("key").alias("__found")).agg(F.first("kept").alias("__kept"), F.first("removed_lines").alias("__lines"))
     rest = F.array_join(F.filter(F.split(text_col, "\n"), lambda x, i: ~F.array_contains("__lines", i)), "\n")
     out = df.withColumn("__key", key).join(found, F.col("__key") == F.col("__found"), "left").where(

@@ -93,3 +93,25 @@ def test_boilerplate_lines_go(spark):
     for i, text, *_ in rows:
         want = text if i >= 100 else "\n".join(x for k, x in enumerate(text.split("\n")) if k not in (0, 3))
         assert got[i].text == want and got[i].n_chars == len(want)
+
+
+def test_near_copies_are_no_boilerplate(spark):
+    rnd = random.Random(8)
+
+    def prose(n):
+        return " ".join("".join(rnd.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+
+    lines = [prose(14) for _ in range(4)]
+    rows = [(0, "\n".join(lines), "a")]
+    for i in range(1, 60):                              # one word changed in one line of four
+        copy = [x.split() for x in lines]
+        copy[i % 4][i % 14] = f"changed{i}"
+        rows.append((i, "\n".join(" ".join(x) for x in copy), "a"))
+    nav = [prose(10) for _ in range(4)]
+    rows += [(100 + i, prose(40), "a") for i in range(90)]
+    rows += [(200 + i, "\n".join([*nav, prose(12)]), "a") for i in range(40)]           # really mostly boilerplate
+    rows += [(300 + i, "\n".join([nav[0], prose(40)]), "a") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r.text for r in P.quality_rules(spark, df, "/nowhere").collect()}
+    for i, text, _ in rows:
+        assert got.get(i) == (None if 200 <= i < 300 else text.split("\n")[1] if i >= 300 else text), i
