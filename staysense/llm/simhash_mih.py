@@ -34,6 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from staysense.llm.common import row_key
 from staysense.session import cut_lineage
 
 SHINGLE, SEED, MAX_BITS = 3, 42, 2
@@ -61,14 +62,14 @@ def _fingerprint(text: str | None, size: int, seed: int) -> int:
 
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
-                 seed: int = SEED) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long); whole texts, in Arrow batches."""
+                 seed: int = SEED, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, fp (the 64 bits as a signed long) and the columns ``keep``; whole texts, in Arrow batches."""
     def simhash(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([_fingerprint(t, size, seed) for t in texts], dtype="uint64").astype("int64")
 
     fp = F.pandas_udf(simhash, "long")
-    return df.select(F.col(id_col).alias("doc_id"), fp(F.col(text_col)).alias("fp"))
+    return df.select(F.col(id_col).alias("doc_id"), fp(F.col(text_col)).alias("fp"), *keep)
 
 
 def _low(fp: Column) -> Column:
@@ -129,10 +130,8 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     raise RuntimeError(f"components not settled after {max_rounds} rounds")
 
 
-def group(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, seed: int = SEED,
-          max_bits: int = MAX_BITS, bucket_cap: int = 64) -> DataFrame:
-    """doc_id, fp, component_id for every row of ``df``."""
-    fps = cut_lineage(fingerprints(df, id_col, text_col, size, seed))
+def _grouped(fps: DataFrame, max_bits: int, bucket_cap: int) -> DataFrame:
+    """``fps`` with component_id and the fingerprint ``root_fp``, which no other component has."""
     distinct = cut_lineage(fps.groupBy("fp").agg(F.min("doc_id").alias("node")))
     pairs = links(distinct.select("fp"), max_bits, bucket_cap)
     nodes = distinct.select(F.col("fp").alias("f"), "node")
@@ -141,16 +140,33 @@ def group(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: i
              .join(nodes, F.col("b") == F.col("f")).select("a", F.struct(F.col("node").isNull(), "node", "b").alias("b")))
     order = "struct<absent: boolean, id: bigint, fp: bigint>"
     roots = components(named.select(F.col("a").cast(order).alias("a"), F.col("b").cast(order).alias("b")))
-    roots = roots.select(F.col("node.fp").alias("f"), F.col("root.id").alias("root"))
+    roots = roots.select(F.col("node.fp").alias("f"), F.col("root.id").alias("root"), F.col("root.fp").alias("root_fp"))
     found = distinct.join(roots, F.col("fp") == F.col("f"), "left").select(
-        F.col("fp").alias("f"), F.coalesce("root", "node").alias("component_id"))
-    return fps.join(found, F.col("fp") == F.col("f")).select("doc_id", "fp", "component_id")
+        F.col("fp").alias("f"), F.coalesce("root", "node").alias("component_id"), F.coalesce("root_fp", "fp").alias("root_fp"))
+    return fps.join(found, F.col("fp") == F.col("f")).drop("f")
+
+
+def group(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, seed: int = SEED,
+          max_bits: int = MAX_BITS, bucket_cap: int = 64) -> DataFrame:
+    """doc_id, fp, component_id for every row of ``df``."""
+    fps = cut_lineage(fingerprints(df, id_col, text_col, size, seed))
+    return _grouped(fps, max_bits, bucket_cap).select("doc_id", "fp", "component_id")
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
              max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows whose id is the least of their group; all columns as they came."""
-    found = group(df, id_col, text_col, size, max_bits=max_bits)
-    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("__gone")).distinct()
-    return df.join(gone, F.col(id_col).eqNullSafe(F.col("__gone")), "left_anti")
+    """Of each group the row with the least id, of rows with that id the one with the least content key; a null id
+    is greater than all others.  All columns as they came; of rows that agree in id and text one stays."""
+    keyed = df.withColumn("__key", row_key(F.col(id_col), F.col(text_col)))
+    fps = cut_lineage(fingerprints(keyed, id_col, text_col, size, keep=("__key",)))
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", "__key")
+    found = cut_lineage(_grouped(fps, max_bits, 64).select("root_fp", "__key", rank.alias("rank")))
+    least = found.groupBy("root_fp").agg(F.min("rank").alias("least"))
+    gone = found.join(least, "root_fp").where(F.col("rank") != F.col("least")).select(
+        F.col("__key").alias("__gone")).distinct()
+    kept = keyed.join(gone, F.col("__key") == F.col("__gone"), "left_anti")
+    again = found.groupBy("__key").agg(F.count("*").alias("n")).where("n > 1").select("__key")
+    if not again.isEmpty():
+        kept = kept.join(again, "__key", "left_anti").unionByName(
+            kept.join(again, "__key", "left_semi").dropDuplicates(["__key"]))
+    return kept.select(*df.columns)

@@ -216,3 +216,11 @@ def test_bpe_query(spark, documents):
     for r in rows[:200]:
         ids = lib.encode(src[r.doc_id], add_special_tokens=False).ids
         assert r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+
+
+def test_simhash_keeps_one_row_of_repeated_and_null_ids(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(80)) for x in "abc")
+    rows = [(1, a), (5, a + " "), (5, b), (None, c), (None, c + "  "), (None, c), (7, b + " "), (8, a)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.text.strip()) for r in simhash_mih.keep_one(df).collect()]
+    assert sorted(got, key=str) == sorted([(1, a), (5, b), (None, c)], key=str)
