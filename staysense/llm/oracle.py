@@ -55,4 +55,51 @@ FROM documents LEFT JOIN (
   SELECT doc_id, string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone) AS kept, count(*) FILTER (gone) AS n,
          string_agg(CAST(i AS VARCHAR), ',' ORDER BY i) FILTER (gone) AS removed FROM t GROUP BY 1) USING (doc_id)"""
 
-ORACLE_SQL = {"op1_quality_lines": OP1, "op8_line_dedup": OP8}
+OP12 = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || CAST(doc_id AS VARCHAR)) AS h FROM documents),
+k AS (SELECT doc_id, text, CAST(length(text) AS BIGINT) AS n, CAST(CAST('0x' || substr(h, 1, 8) AS UBIGINT) AS BIGINT) AS h1,
+             CAST(CAST('0x' || substr(h, 9, 8) AS UBIGINT) AS BIGINT) AS h2, CAST(CAST('0x' || substr(h, 17, 8) AS UBIGINT) AS BIGINT) AS h3,
+             CAST(CAST('0x' || substr(h, 25, 8) AS UBIGINT) AS BIGINT) AS h4 FROM d),
+c AS (SELECT doc_id, text, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+             CASE WHEN h3 IS NULL OR n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90
+                  THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM k),
+p AS (SELECT *, substr(text, 1, a) AS pre, substr(text, a + 1, b - a) AS mid, substr(text, b + 1) AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+              ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(text) AS restored_sha256 FROM p"""
+
+_LEAF = "sha256(" + " || ".join(
+    f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in ("doc_id", "source", "lang", "{n}", "text")) + ")"
+
+OP13 = f"""
+WITH RECURSIVE c AS (SELECT *, xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))),
+  lambda a, b: list_reduce(list_concat([xor(a, b)], range(8)),
+    lambda r, z: xor(r >> 1, CASE WHEN r % 2 = 1 THEN 3988292384 ELSE 0 END))), 4294967295) AS crc
+  FROM documents),
+leaves AS (SELECT doc_id, coalesce(lang, chr(1)) AS g, lang, {_LEAF.format(n="n_chars")} AS leaf,
+  CASE WHEN crc % 7 = 0 THEN {_LEAF.format(n="(n_chars + 1)")} ELSE {_LEAF.format(n="n_chars")} END AS shown FROM c),
+low AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM leaves),
+up(l, g, pos, n, digest) AS (SELECT 0, g, pos, n, leaf FROM low UNION ALL
+  SELECT l + 1, g, pos >> 1, (n + 1) >> 1, sha256(string_agg(digest, '' ORDER BY pos)) FROM up WHERE n > 1 GROUP BY l, g, pos >> 1, n),
+sub AS (SELECT g, digest AS subroot, row_number() OVER (ORDER BY g <> chr(1), encode(g)) - 1 AS pos, count(*) OVER () AS n FROM up WHERE n = 1),
+top(l, pos, n, digest) AS (SELECT 0, pos, n, subroot FROM sub UNION ALL
+  SELECT l + 1, pos >> 1, (n + 1) >> 1, sha256(string_agg(digest, '' ORDER BY pos)) FROM top WHERE n > 1 GROUP BY l, pos >> 1, n),
+steps AS (SELECT low.doc_id, low.leaf, s.l, s.digest, s.pos < low.pos >> s.l AS before
+          FROM low JOIN up s ON s.g = low.g AND s.pos = xor(low.pos >> s.l, 1) WHERE s.n > 1
+          UNION ALL SELECT low.doc_id, low.leaf, 100 + t.l, t.digest, t.pos < sub.pos >> t.l
+          FROM low JOIN sub USING (g) JOIN top t ON t.pos = xor(sub.pos >> t.l, 1) WHERE t.n > 1),
+levels AS (SELECT low.doc_id, low.leaf, l FROM low JOIN (SELECT DISTINCT g, l FROM up WHERE n > 1) USING (g)
+           UNION ALL SELECT doc_id, leaf, 100 + l FROM low, (SELECT DISTINCT l FROM top WHERE n > 1)),
+walk AS (SELECT doc_id, leaf, row_number() OVER (PARTITION BY doc_id, leaf ORDER BY l) AS k, digest, before
+         FROM levels LEFT JOIN steps USING (doc_id, leaf, l)),
+proof AS (SELECT doc_id, leaf, string_agg(digest, '' ORDER BY k) AS siblings FROM walk GROUP BY ALL),
+fold(doc_id, leaf, k, digest) AS (SELECT doc_id, leaf, 0, shown FROM low UNION ALL
+  SELECT fold.doc_id, fold.leaf, walk.k, sha256(CASE WHEN before THEN walk.digest || fold.digest ELSE fold.digest || coalesce(walk.digest, '') END)
+  FROM fold JOIN walk ON walk.doc_id = fold.doc_id AND walk.leaf = fold.leaf AND walk.k = fold.k + 1),
+ends AS (SELECT doc_id, leaf, arg_max(digest, k) AS folded_root FROM fold GROUP BY ALL)
+SELECT low.doc_id, low.leaf, subroot, root, sha256(coalesce(siblings, '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM low JOIN sub USING (g) CROSS JOIN (SELECT digest AS root FROM top WHERE n = 1) LEFT JOIN proof USING (doc_id, leaf)
+JOIN ends USING (doc_id, leaf)"""
+
+ORACLE_SQL = {"op1_quality_lines": OP1, "op8_line_dedup": OP8, "op12_fim_wavelet": OP12, "op13_merkle_manifest": OP13}

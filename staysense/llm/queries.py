@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staysense.llm import (bpe_tree, byte_gru, doc_winnow, line_quality, line_runs, ngram_bloom, secret_scan, simhash_mih,
-                           source_mix, url_templates)
+from staysense.llm import (bpe_tree, byte_gru, doc_winnow, fim_wavelet, line_quality, line_runs, merkle, ngram_bloom, pii_spans,
+                           secret_scan, simhash_mih, source_mix, url_templates)
 from staysense.llm.common import table
 from staysense.llm.oracle import ORACLE_SQL  # noqa: F401
 
@@ -72,4 +72,28 @@ def op10_doc_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doc_winnow.digest(doc_winnow.compare_edited(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_lines, op2_url_templates, op3_source_mix, op4_secret_scan, op5_ngram_bloom, op6_simhash, op7_byte_gru, op8_line_dedup, op9_bpe_tree, op10_doc_fingerprints)}
+def op11_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_spans.digest(pii_spans.scan(table(spark, sf_dir, "documents")))
+
+
+def op12_fim_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fim_wavelet.transform(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n", "form", F.col("prefix_units").alias("prefix_chars"),
+                      F.col("middle_units").alias("middle_chars"), F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(fim_wavelet.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh row (by CRC-32 of its id) is checked with one added to ``n_chars``."""
+    docs, columns = table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"]
+    other = [F.col("n_chars") + 1 if c == "n_chars" else F.col(c) for c in columns]
+    seventh = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    rows = merkle.manifest(docs, columns, carry={"tampered": F.when(seventh, merkle.leaf_digest(other))})
+    rows = rows.withColumn("folded_root", merkle.folded(F.coalesce("tampered", "leaf"), F.col("path")))
+    return rows.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof_text(F.col("path")), 256).alias("proof_sha256"),
+                       "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_quality_lines, op2_url_templates, op3_source_mix, op4_secret_scan, op5_ngram_bloom, op6_simhash, op7_byte_gru,
+    op8_line_dedup, op9_bpe_tree, op10_doc_fingerprints, op11_pii_spans, op12_fim_wavelet, op13_merkle_manifest)}

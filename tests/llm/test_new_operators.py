@@ -1,0 +1,231 @@
+"""Personal data, fill-in-middle and the Merkle manifest against brute force, and on awkward input."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_CHECK
+from staysense.llm import fim_wavelet as FW
+from staysense.llm import merkle as MK
+from staysense.llm import pii_spans as PS
+from staysense.llm.queries import QUERIES
+from test_edge_cases import SCHEMA, awkward
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    return spark.read.parquet(f"{SF_CHECK}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return spark.createDataFrame(awkward(), SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+# ------------------------------------------------------------------------ op11
+PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+            "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def brute_spans(text):
+    out = []
+    for kind, pattern in PATTERNS.items():
+        for m in re.finditer(pattern, text):
+            digits = [int(c) for c in re.sub(r"[^0-9]", "", m.group())]
+            if kind == "ip" and any(int(x) > 255 for x in m.group().split(".")):
+                continue
+            if kind == "card":
+                doubled = [d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(reversed(digits))]
+                if not 16 <= len(digits) <= 19 or sum(doubled) % 10:
+                    continue
+            if kind == "phone" and not 8 <= len(digits) <= 15:
+                continue
+            out.append((kind, *m.span()))
+    return out
+
+
+def test_pii_query_against_plain_patterns(spark, documents):
+    src = {r.doc_id: r.text or "" for r in documents.collect()}
+    rows = QUERIES["op11_pii_spans"](spark, SF_CHECK).collect()
+    assert len(rows) == len(src) and sum(r.n_email + r.n_ip + r.n_card + r.n_phone for r in rows) > 0
+    for r in rows:
+        spans = brute_spans(src[r.doc_id])
+        joined = ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(x[0] == k for x in spans) for k in PATTERNS]
+        assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        assert set(joined.split(",")) <= set(r.spans.split(","))
+
+
+def test_pii_base_spans_on_random_texts():
+    rnd = random.Random(1)
+    for _ in range(5_000):
+        text = "".join(rnd.choice("a.@1234567890  -+()A%_\n9:é") for _ in range(rnd.randint(0, 60)))
+        assert [x[:3] for x in PS.find(text) if x[4]] == brute_spans(text)
+
+
+@pytest.mark.parametrize("text,kind,found", [
+    ("IBAN DE89 3704 0044 0532 0130 00 AND MORE", "iban", "DE89 3704 0044 0532 0130 00"),
+    ("pay to GB82WEST12345698765432.", "iban", "GB82WEST12345698765432"),
+    ("pay to GB83WEST12345698765432.", "iban", None),                          # wrong check digits
+    ("amex card 3782 822463 10005 expires", "short_card", "3782 822463 10005"),
+    ("number 3782 822463 10005 of parts", "short_card", None),                 # no word of the kind
+    ("her social security number is 123-45-6789.", "ssn", "123-45-6789"),
+    ("article 123-45-6789 in stock", "ssn", None),
+    ("social security invoice 123-45-6789", "ssn", None),                      # a word against it
+    ("NHS patient 943 476 5919 came", "health_number", "943 476 5919"),
+    ("NHS patient 943 476 5918 came", "health_number", None),
+    ("host 2001:0db8:85a3:0000:0000:8a2e:0370:7334 up", "ipv6", "2001:0db8:85a3:0000:0000:8a2e:0370:7334"),
+    ("at 12:30:45 o'clock", "ipv6", None),
+    ("born 31.12.1980 in", "birth_date", "31.12.1980"),
+    ("born 31.13.1980 in", "birth_date", None),
+    ("on 31.12.1980 we met", "birth_date", None),
+    ("call 030 1234 5678 now", "local_phone", "030 1234 5678"),
+])
+def test_pii_checks_and_context(text, kind, found):
+    spans = [text[s:e] for k, s, e, _, base in PS.find(text) if k == kind and not base]
+    assert spans == ([found] if found else [])
+
+
+def test_pii_context_adjusts_the_score():
+    alone, near = PS.find("x +49 30 1234567 y")[0], PS.find("call +49 30 1234567 y")[0]
+    assert alone[:1] == near[:1] == ("phone",) and near[3] > alone[3]
+
+
+def test_pii_long_texts():
+    for part in ("1", "a.b@", "1.1.", "+1 ", "1 ", "AA11", "ab:", "born 01.02.1990 "):
+        text = part * (300_000 // len(part))
+        for _, s, e, score, _ in PS.find(text):
+            assert 0 <= s < e <= len(text) and 0 <= score <= 1
+
+
+def test_pii_awkward_rows(odd, empty):
+    rows = PS.scan(odd, mark="#").collect()
+    assert len(rows) == odd.count() and all(not r.spans for r in rows if r.doc_id == 0)
+    assert PS.scan(empty).collect() == []
+    assert PS.redacted("mail a@b.cd, card", PS.find("mail a@b.cd, card"), "#") == "mail #email, card"
+
+
+# ------------------------------------------------------------------------ op12
+def brute_cuts(text, unit):
+    if unit == "char":
+        return list(range(len(text))) + [len(text)] if text else [0]
+    if unit == "line":
+        ends = [m.end() for m in re.finditer("\n", text)]
+    else:
+        ends = [m.start() for m in re.finditer(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]", text)][1:]
+        if not re.search(r"[^\x20\x09-\x0D]", text):
+            return [0]
+    return [0, *[e for e in ends if e < len(text)], len(text)] if text else [0]
+
+
+@pytest.mark.parametrize("unit", ["char", "word", "line"])
+def test_wavelet_cuts(unit):
+    rnd = random.Random(7)
+    texts = ["", "\n", " ", "a", *["".join(rnd.choice("ab é日🙂\n\t<") for _ in range(rnd.randint(0, 300))) for _ in range(60)]]
+    found = FW.Texts([t.encode() for t in texts], unit)
+    cuts = [brute_cuts(t, unit) for t in texts]
+    assert found.units.tolist() == [len(c) - 1 for c in cuts]
+    for share in (0, 0.3, 0.5, 0.9, 1):
+        units = np.array([int(share * (len(c) - 1)) for c in cuts])
+        places = found.cut(units).tolist()
+        assert places == [len(t[:c[u]].encode()) for t, c, u in zip(texts, cuts, units)]
+
+
+def test_wavelet_rank():
+    rnd = np.random.default_rng(3)
+    classes = rnd.integers(0, 5, 1_000).astype(np.uint8)
+    matrix = FW.WaveletMatrix(classes)
+    at = np.arange(1_001)
+    for c in range(5):
+        assert matrix.rank(c, at).tolist() == [int((classes[:i] == c).sum()) for i in at]
+
+
+def test_fim_restores_awkward_rows(spark, odd, empty):
+    marked = odd.select("doc_id", "text").unionByName(spark.createDataFrame(
+        [(i, t) for i, t in enumerate(["a <P> b", "<<S", "x<M", "P>y<", "<S>", "🙂" * 999] * 3, 1000)], "doc_id long, text string"))
+    for size in (FW.GROUP_BYTES, 64):
+        for unit in FW.UNITS:
+            out = FW.transform(marked, unit=unit, group_bytes=size)
+            rows = out.withColumn("back", FW.restore(F.col("output"), F.col("form"))).collect()
+            assert sorted(r.back for r in rows) == sorted(r.text or "" for r in marked.collect())
+            assert all(r.form == "plain" for r in rows if r.doc_id is None or "<P>" in r.back or not r.back)
+    assert FW.transform(empty).collect() == []
+
+
+def test_fim_shares_of_forms(spark):
+    rows = FW.transform(spark.range(4_000).select(F.col("id").alias("doc_id"), F.lit("some text").alias("text"))).collect()
+    share = {f: sum(r.form == f for r in rows) / len(rows) for f in ("plain", "spm", "psm")}
+    assert abs(share["plain"] - 0.1) < 0.03 and abs(share["spm"] - 0.18) < 0.03
+
+
+# ------------------------------------------------------------------------ op13
+def sha(s):
+    return hashlib.sha256(s.encode()).hexdigest()
+
+
+def brute_tree(leaves, fanout):
+    """Root, and each leaf's (before, after) level by level."""
+    paths, at = [[] for _ in leaves], list(range(len(leaves)))
+    while len(leaves) > 1:
+        runs = [leaves[i:i + fanout] for i in range(0, len(leaves), fanout)]
+        for k, place in enumerate(at):
+            run, slot = runs[place // fanout], place % fanout
+            paths[k].append(("".join(run[:slot]), "".join(run[slot + 1:])))
+            at[k] = place // fanout
+        leaves = [sha("".join(run)) for run in runs]
+    return leaves[0], paths
+
+
+def brute_manifest(rows, columns, fanout):
+    def leaf(r):
+        return sha("".join("-" if r[c] is None else f"{len(str(r[c]).encode())}:{r[c]}" for c in columns))
+
+    groups, out = {}, []
+    for r in rows:
+        groups.setdefault(r["lang"], []).append(((r["doc_id"] is not None, r["doc_id"] or 0), leaf(r), r["doc_id"]))
+    order = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    trees = {g: brute_tree([x[1] for x in sorted(groups[g])], fanout) for g in order}
+    root, tops = brute_tree([trees[g][0] for g in order], fanout)
+    for g, top in zip(order, tops):
+        for (_, digest, id), path in zip(sorted(groups[g]), trees[g][1]):
+            out.append((id, digest, [tuple(p) for p in path + top], trees[g][0], root))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("plan", [MK.MerklePlan(), MK.MerklePlan(2, 1), MK.MerklePlan(3, 2)])
+def test_manifest_against_brute_force(spark, odd, plan):
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    langs = ["en", "de", None, "", "日", "xx"]
+    many = spark.createDataFrame([(i, "t" * (i % 5), langs[(i * i) % 6] if i % 3 else "en", "s", i) for i in range(140)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    for df in (odd, many):
+        rows = df.collect()
+        found = MK.manifest(df, columns, plan=plan).collect()
+        assert sorted([(r.doc_id, r.leaf, [tuple(p) for p in r.path], r.subroot, r.root) for r in found], key=str) == \
+            brute_manifest(rows, columns, plan.fanout)
+
+
+def test_manifest_small_tables(spark, empty):
+    assert MK.manifest(empty, ["doc_id", "text"]).collect() == []
+    one = spark.createDataFrame([(5, "x", "en")], "doc_id long, text string, lang string")
+    r = MK.manifest(one, ["doc_id", "text"]).first()
+    assert r.leaf == r.subroot == r.root == sha("1:51:x") and r.path == []
+
+
+def test_manifest_tells_tampered_rows(spark, documents):
+    rows = QUERIES["op13_merkle_manifest"](spark, SF_CHECK).collect()
+    chars = {r.doc_id: r.n_chars for r in documents.collect()}
+    assert len(rows) == len(chars)
+    for r in rows:
+        changed = zlib.crc32(str(r.doc_id).encode()) % 7 == 0 and chars[r.doc_id] is not None
+        assert r.verified is not changed
