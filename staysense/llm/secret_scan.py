@@ -4,15 +4,20 @@ Base rules are patterns.  The method adds candidates that no pattern names: a wi
 over every long run of a character class, its Shannon entropy follows from the counts of the
 characters in it, and a step changes only the two counts of the character that enters and the
 one that leaves.  The stretch from the first to the last window above the class's threshold
-is a finding.  Base findings and allow-listed spans are blanked first, so that runs end there
-and what stands beside them is scanned.  In a run that begins like a file path every segment is
-a candidate; if none is long enough, what follows the path is.
+is a finding.  Runs with too few different characters for the threshold are not scanned.  Base
+findings and allow-listed spans are blanked first, so that runs end there and what stands beside
+them is scanned (of a finding that overlaps one of an earlier kind, what is left is blanked if it
+still is a match).  In a run that begins like a file path every segment is a candidate; if none is
+long enough, what follows the path is.
 
 Positions are code points, the end exclusive.  They come from the lengths of the matches and
-of the gaps between them, so a text is never cut into characters outside candidate runs.
+of the gaps between them, so a text is never cut into characters outside candidate runs.  Every step
+takes time in proportion to the text and its findings, and no pattern repeats a group, so that
+very long texts, paths, runs and lists of findings neither slow it down nor exhaust a stack.
 
-Defined results: a null text is an empty text, with no spans; one row per input row, so
-repeated rows give repeated results; other columns are ignored.
+Defined results: a null text is an empty text, with no spans; an empty table has no rows; one row per
+input row, so repeated rows give repeated results; other columns are ignored.  A stretch
+that one class finds is blanked for the classes listed after it.
 """
 
 from __future__ import annotations
@@ -62,33 +67,53 @@ ALLOWED = (
     r"(?i)example|dummy|placeholder|changeme|xxxx",                                    # samples in manuals
     r"(?i)abcdefghij|0123456789|qwertyuiop",                                           # alphabets and key rows
 )
-#: How a run begins that is a file path.
-PATH = r"^/?(?:[A-Za-z][A-Za-z0-9_-]{1,15}/){3,}"
+#: A file path begins with so many segments of this form.
+PATH_SEGMENT, PATH_DEPTH = r"^[A-Za-z][A-Za-z0-9_-]{1,15}$", 3
 _BLANK = "\x01"       # stands for a character of a span that is not scanned; in no class
 
 
-def _located(gaps: str, hits: str, measured: str) -> str:
-    """SQL: array of (start, end, n) from the texts before each hit, the hits and the measured parts."""
-    zipped = (f"transform({hits}, (h, i) -> struct(length(get({gaps}, i)) AS gap, length(h) AS len, "
-              f"length(get({measured}, i)) AS n))")
-    return (f"CASE WHEN size({hits}) > 0 THEN aggregate({zipped}, "
-            "struct(0 AS at, CAST(array() AS ARRAY<STRUCT<start: INT, end: INT, n: INT>>) AS found), "
-            "(s, x) -> struct(s.at + x.gap + x.len AS at, array_append(s.found, "
-            "struct(s.at + x.gap AS start, s.at + x.gap + x.len AS end, x.n AS n)) AS found), s -> s.found) "
-            "ELSE CAST(array() AS ARRAY<STRUCT<start: INT, end: INT, n: INT>>) END")
+_CHUNK = 256
+
+
+def _sums(items: str, start: str, put: str, then: str) -> str:
+    """SQL: a left fold over ``items`` from the number ``start`` that gives a string for each item.
+
+    ``put``: the string of an item ``x`` at number ``s.at`` (no commas); ``then``: the next number.  Spark copies the
+    state of a fold at every step, so ``items`` must be few: what is long comes in chunks of ``_CHUNK``.
+    """
+    return (f"split(trim(TRAILING ',' FROM aggregate({items}, struct('' AS out, CAST({start} AS INT) AS at), (s, x) -> struct("
+            f"concat(s.out, {put}, ',') AS out, {then} AS at), s -> s.out)), ',')")
+
+
+def _located(df: DataFrame, name: str, gaps: str, hits: str, measured: str) -> DataFrame:
+    """Column ``name``: array of (start, end, n) from the texts before each hit, the hits and the measured parts."""
+    none = "CAST(array() AS ARRAY<STRUCT<start: INT, end: INT, n: INT>>)"
+    inner = _sums("c", "o", "CAST(s.at + x.gap AS STRING), ':', CAST(s.at + x.gap + x.len AS STRING), ':', CAST(x.n AS STRING)",
+                  "s.at + x.gap + x.len")
+    steps = {
+        "len": f"zip_with(slice({gaps}, 1, size({hits})), zip_with({hits}, {measured}, (h, m) -> struct(length(h) AS len, "
+               "length(m) AS n)), (g, h) -> struct(length(g) AS gap, h.len AS len, h.n AS n))",
+        # the columns that a lambda names are named outside it too: Spark then keeps them, else it would copy them into the lambda
+        "chunks": f"CASE WHEN size({name}_len) > 0 THEN transform(sequence(0, size({name}_len) - 1, {_CHUNK}), "
+                  f"i -> slice({name}_len, i + 1, {_CHUNK})) END",
+        "before": _sums(f"{name}_chunks", "0", "CAST(s.at AS STRING)", "s.at + aggregate(x, 0, (a, y) -> a + y.gap + y.len)"),
+        "at": f"coalesce(transform(flatten(zip_with({name}_chunks, {name}_before, (c, o) -> {inner})), x -> split(x, ':')), array())"}
+    for step, sql in steps.items():
+        df = df.withColumn(f"{name}_{step}", F.expr(sql))
+    place = "x -> struct(CAST(x[0] AS INT) AS start, CAST(x[1] AS INT) AS end, CAST(x[2] AS INT) AS n)"
+    df = df.withColumn(name, F.expr(f"CASE WHEN size({hits}) > 0 THEN transform({name}_at, {place}) ELSE {none} END"))
+    return df.drop(*[f"{name}_{step}" for step in steps])
 
 
 def _found(df: DataFrame, name: str, pattern: str, group: int, text: str = "text") -> DataFrame:
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    df = df.withColumn(f"{name}_hits", hits)
+    """Columns ``name``, ``<name>_hits`` and ``<name>_gaps``: the matches of ``pattern``."""
+    df = df.withColumn(f"{name}_hits", F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
     some = F.size(f"{name}_hits") > 0
     df = df.withColumn(f"{name}_gaps", F.when(some, F.split(text, pattern, -1)))
-    part = f"{name}_hits"
-    if group:
-        part = f"{name}_parts"
-        df = df.withColumn(part, F.when(some, F.regexp_extract_all(text, F.lit(pattern), F.lit(group))))
-    df = df.withColumn(name, F.expr(_located(f"{name}_gaps", f"{name}_hits", part)))
-    return df.drop(f"{name}_gaps", *([part] if group else []))
+    if not group:
+        return _located(df, name, f"{name}_gaps", f"{name}_hits", f"{name}_hits")
+    df = df.withColumn(f"{name}_parts", F.when(some, F.regexp_extract_all(text, F.lit(pattern), F.lit(group))))
+    return _located(df, name, f"{name}_gaps", f"{name}_hits", f"{name}_parts").drop(f"{name}_parts")
 
 
 def _tagged(name: str, kind: str, order: int, least: int) -> str:
@@ -98,30 +123,28 @@ def _tagged(name: str, kind: str, order: int, least: int) -> str:
 
 def high_entropy(run: Column, c: CharClass) -> Column:
     """(first, last) code points of ``run`` within windows at or above the threshold; first -1 if none."""
-    chars = F.split(F.lower(run) if c.fold else run, "")
-    ids = F.transform(chars, lambda ch: F.instr(F.lit(c.alphabet), ch) - 1)
     weight = F.array(*[F.lit(n * math.log2(n) if n else 0.0) for n in range(c.window + 2)])
-    zero = F.array_repeat(F.lit(0), len(c.alphabet))
-    start = F.struct(zero.alias("counts"), F.lit(0.0).alias("sum"), F.lit(0).alias("i"),
-                     F.array_repeat(F.lit(-1), c.window).alias("ring"), F.lit(-1).alias("first"), F.lit(-1).alias("last"))
+    start = F.struct(F.lit("").alias("win"), F.lit(0.0).alias("sum"), F.lit(0).alias("i"), F.lit(-1).alias("first"),
+                     F.lit(-1).alias("last"))
+
+    def times(ch, win):
+        return F.length(win) - F.length(F.replace(win, ch, F.lit("")))
 
     def step(s, e):
-        leaves = F.get(s["ring"], s["i"] % c.window)
-        n_in = F.get(s["counts"], e)
-        n_out = F.get(s["counts"], leaves)
-        same = leaves == e
-        total = s["sum"] + F.when(same, 0.0).otherwise(
-            F.get(weight, n_in + 1) - F.get(weight, n_in)
-            + F.when(leaves >= 0, F.get(weight, n_out - 1) - F.get(weight, n_out)).otherwise(0.0))
-        counts = F.transform(s["counts"], lambda n, k: n + (k == e).cast("int") - (k == leaves).cast("int"))
-        ring = F.transform(s["ring"], lambda x, k: F.when(k == s["i"] % c.window, e).otherwise(x))
+        full = F.length(s["win"]) == c.window
+        leaves = F.substring(s["win"], 1, 1)
+        n_out = times(leaves, s["win"])
+        stay = F.when(full, F.substring(s["win"], 2, c.window)).otherwise(s["win"])
+        n_in = times(e, stay)
+        total = s["sum"] + F.get(weight, n_in + 1) - F.get(weight, n_in) + F.when(
+            full, F.get(weight, n_out - 1) - F.get(weight, n_out)).otherwise(0.0)
         high = (s["i"] + 1 >= c.window) & (F.lit(math.log2(c.window)) - total / c.window >= c.threshold - 1e-9)
         first = F.when(high & (s["first"] < 0), s["i"] + 1 - c.window).otherwise(s["first"])
         last = F.when(high, s["i"] + 1).otherwise(s["last"])
-        return F.struct(counts.alias("counts"), total.alias("sum"), (s["i"] + 1).alias("i"), ring.alias("ring"),
-                        first.alias("first"), last.alias("last"))
+        return F.struct(F.concat(stay, e).alias("win"), total.alias("sum"), (s["i"] + 1).alias("i"), first.alias("first"),
+                        last.alias("last"))
 
-    return F.aggregate(ids, start, step, lambda s: F.struct(s["first"], s["last"]))
+    return F.aggregate(F.split(F.lower(run) if c.fold else run, ""), start, step, lambda s: F.struct(s["first"], s["last"]))
 
 
 def _blanked(text: Column, pattern: str) -> Column:
@@ -131,55 +154,72 @@ def _blanked(text: Column, pattern: str) -> Column:
     return F.when(text.rlike(pattern), F.array_join(rest, "")).otherwise(text)
 
 
-def _scannable(allowed: tuple[str, ...]) -> Column:
-    """The text with base findings, allowed spans and the joiners beside them blanked."""
-    text = F.expr(
-        "CASE WHEN size(base) = 0 THEN text ELSE aggregate(base, struct(0 AS at, '' AS out), (s, x) -> CASE "
-        "WHEN x.end <= s.at THEN s ELSE struct(x.end AS at, concat(s.out, "
-        "substring(text, s.at + 1, greatest(x.start - s.at, 0)), "
-        f"repeat('{_BLANK}', x.end - greatest(x.start, s.at))) AS out) END, "
-        "s -> concat(s.out, substring(text, s.at + 1, length(text)))) END")
-    if allowed:
-        text = _blanked(text, "|".join(f"(?:{p})" for p in allowed))
-    return _blanked(_blanked(text, f"(?<={_BLANK})[/_-]+"), f"[/_-]+(?={_BLANK})")
-
-
-def _pieces(c: CharClass):
-    """The candidates (start, run) of a run."""
-    def cut(x):
-        whole = F.array(F.struct(x["at"]["start"].alias("start"), x["run"].alias("run")))
-        if "/" not in c.alphabet:
-            return whole
-        none = F.expr("CAST(array() AS ARRAY<STRUCT<start: INT, run: STRING>>)")
-        begin = F.struct(x["at"]["start"].alias("at"), none.alias("found"))
-        segs = F.aggregate(F.split(x["run"], "/"), begin, lambda s, seg: F.struct(
-            (s["at"] + F.length(seg) + 1).alias("at"),
-            F.when(F.length(seg) >= c.window, F.array_append(s["found"], F.struct(
-                s["at"].alias("start"), seg.alias("run")))).otherwise(s["found"]).alias("found")), lambda s: s["found"])
-        path = F.length(F.regexp_extract(x["run"], PATH, 0))
-        rest = F.array(F.struct((x["at"]["start"] + path).alias("start"),
-                                F.substring(x["run"], path + 1, F.length(x["run"])).alias("run")))
-        return F.when(path == 0, whole).when(F.size(segs) > 0, segs).otherwise(rest)
-    return cut
-
-
-def _wanted(c: CharClass):
-    """Whether a candidate is scanned: it is long enough and has what its class needs."""
-    def test(x):
-        ok = F.length(x["run"]) >= c.window
-        for p in c.needs:
-            ok = ok & x["run"].rlike(p)
-        return ok
-    return test
-
-
-def _placed(c: CharClass, order: int):
-    def place(x):
-        h = high_entropy(x["run"], c)
-        return F.struct((x["start"] + h["first"]).alias("start"), F.lit(order).alias("ord"),
-                        (x["start"] + h["last"]).alias("end"), F.lit(c.kind).alias("kind"),
-                        h["first"].alias("first"))
-    return place
+def _without_base(text: Column) -> Column:
+    """``text`` with the findings of the base rules blanked, kind by kind."""
+    for _, pattern, group, least in BASE_RULES:
+        hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+        parts = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else hits
+        shown = F.zip_with(hits, parts, lambda h, p: F.when(
+            F.length(p) >= least, F.repeat(F.lit(_BLANK), F.length(h))).otherwise(h))
+        text = F.array_join(F.zip_with(F.split(text, pattern, -1), shown, lambda gap, h: F.concat(
+            gap, F.coalesce(h, F.lit("")))), "")
+    return text
+
+
+def _cleared(t: DataFrame, allowed: tuple[str, ...], least: int) -> DataFrame:
+    """Column ``scanned``: the text with base findings, allowed spans and the joiners beside them blanked; empty
+    where no run of candidates' characters is ``least`` long."""
+    def long_run(c):
+        return F.exists(F.split(c, "[^A-Za-z0-9+/_-]+"), lambda r: F.length(r) >= least)
+
+    t = t.withColumn("scanned", F.when(long_run(F.col("text")), F.when(
+        F.size("base") > 0, _without_base(F.col("text"))).otherwise(F.col("text"))).otherwise(""))
+    steps = ["|".join(f"(?:{p})" for p in allowed)] if allowed else []
+    for pattern in [*steps, f"(?<={_BLANK})[/_-]+", f"[/_-]+(?={_BLANK})"]:
+        t = t.withColumn("scanned", _blanked(F.col("scanned"), pattern))
+    return t
+
+
+def _paths_cut(text: Column, c: CharClass) -> Column:
+    """``text`` with the paths in runs of ``c`` cut: at every '/' if a segment is long enough, else behind the path."""
+    def cut(gap, run):
+        segs = F.split(run, "/")
+        lead = F.when(run.startswith("/"), 1).otherwise(0)
+        bad = F.array_position(F.transform(F.slice(segs, lead + 1, F.size(segs) - 1 - lead), lambda x: x.rlike(PATH_SEGMENT)),
+                               F.lit(False)).cast("int")
+        depth = F.when(bad > 0, bad - 1).otherwise(F.size(segs) - 1 - lead)
+        path = F.length(F.array_join(F.slice(segs, 1, lead + depth), "/")) + 1
+        treated = F.when(F.exists(segs, lambda x: F.length(x) >= c.window), F.translate(run, "/", _BLANK)).otherwise(
+            F.concat(F.repeat(F.lit(_BLANK), path), F.substring(run, path + 1, F.length(run))))
+        return F.concat(gap, F.when(run.isNull(), "").when(run.contains("/") & (depth >= PATH_DEPTH), treated).otherwise(run))
+
+    whole = F.zip_with(F.split(text, c.pattern, -1), F.regexp_extract_all(text, F.lit(c.pattern), F.lit(0)), cut)
+    return F.when(text.rlike(f"/[A-Za-z0-9_-]{{2,16}}/"), F.array_join(whole, "")).otherwise(text)
+
+
+def _wanted(c: CharClass, run: Column) -> Column:
+    """Whether a run is scanned: it has what its class needs and enough different characters."""
+    ok = F.lit(True)
+    for p in c.needs:
+        ok = ok & run.rlike(p)
+    return ok & (F.size(F.array_distinct(F.split(F.lower(run) if c.fold else run, ""))) >= math.ceil(2 ** c.threshold - 1e-9))
+
+
+def _stretches(t: DataFrame, c: CharClass, order: int) -> DataFrame:
+    """Column ``<kind>_high``: the spans of the class; they are blanked in ``scanned`` for the classes after it."""
+    k, none = c.kind, F.struct(F.lit(-1).alias("first"), F.lit(-1).alias("last"))
+    t = _found(t, k, c.pattern, 0, "scanned")
+    t = t.withColumn(f"{k}_in", F.transform(f"{k}_hits", lambda run: F.when(_wanted(c, run), high_entropy(run, c)).otherwise(none)))
+    spans = F.zip_with(k, f"{k}_in", lambda x, h: F.when(h["first"] >= 0, F.struct(
+        (x["start"] + h["first"]).alias("start"), F.lit(order).alias("ord"), (x["start"] + h["last"]).alias("end"),
+        F.lit(k).alias("kind"))))
+    t = t.withColumn(f"{k}_high", F.filter(spans, lambda x: x.isNotNull()))
+    shown = F.zip_with(f"{k}_hits", f"{k}_in", lambda run, h: F.when(h["first"] >= 0, F.concat(
+        F.substring(run, F.lit(1), h["first"]), F.repeat(F.lit(_BLANK), h["last"] - h["first"]),
+        F.substring(run, h["last"] + 1, F.length(run)))).otherwise(run))
+    rest = F.array_join(F.zip_with(f"{k}_gaps", shown, lambda gap, run: F.concat(gap, F.coalesce(run, F.lit("")))), "")
+    return t.withColumn("scanned", F.when(F.size(f"{k}_high") > 0, rest).otherwise(F.col("scanned"))).drop(
+        k, f"{k}_hits", f"{k}_gaps", f"{k}_in")
 
 
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -187,23 +227,16 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per input row: ``base`` and ``added`` spans (start, ord, end, kind), by start and kind."""
     t = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     for kind, pattern, group, _ in BASE_RULES:
-        t = _found(t, kind, pattern, group).drop(f"{kind}_hits")
+        t = _found(t, kind, pattern, group).drop(f"{kind}_hits", f"{kind}_gaps")
     base = [_tagged(kind, kind, i, least) for i, (kind, _, _, least) in enumerate(BASE_RULES)]
     t = t.withColumn("base", F.expr(f"sort_array(concat({', '.join(base)}))"))
-    t = t.withColumn("scanned", _scannable(allowed))
+    t = _cleared(t, allowed, min(c.window for c in classes))
     for c in classes:
-        t = _found(t, c.kind, c.pattern, 0, "scanned")
-    added = []
+        if "/" in c.alphabet:
+            t = t.withColumn("scanned", _paths_cut(F.col("scanned"), c))
     for i, c in enumerate(classes):
-        runs = F.arrays_zip(F.col(c.kind).alias("at"), F.col(f"{c.kind}_hits").alias("run"))
-        t = t.withColumn(f"{c.kind}_runs", F.filter(F.flatten(F.transform(runs, _pieces(c))), _wanted(c)))
-        t = t.withColumn(f"{c.kind}_high", F.transform(f"{c.kind}_runs", _placed(c, len(BASE_RULES) + i)))
-        added.append(f"transform(filter({c.kind}_high, x -> x.first >= 0), x -> struct(x.start, x.ord, x.end, x.kind))")
-    t = t.withColumn("added", F.expr(f"sort_array(concat({', '.join(added)}))"))
-    # two classes may flag the same stretch: the first one listed has it
-    t = t.withColumn("added", F.expr("filter(added, x -> NOT exists(added, y -> y.ord < x.ord "
-                                     "AND y.start <= x.start AND y.end >= x.end))"))
-    return t.select("doc_id", "text", "base", "added")
+        t = _stretches(t, c, len(BASE_RULES) + i)
+    return t.select("doc_id", "text", "base", F.sort_array(F.concat(*[f"{c.kind}_high" for c in classes])).alias("added"))
 
 
 def spans_text(spans: Column) -> Column:
