@@ -4,9 +4,9 @@ Rules name a host and the start of a path; the longest that fits decides.  All o
 judged by the template they fall under:
 
 1. Variable segments of the path (numbers, ids, hashes, dates) become wildcards at once.
-2. Level by level, under every node of a host's tree, segments with too few labels among too
-   many siblings become a wildcard, and siblings whose labelled shares are statistically alike
-   (two-proportion test against the branch they join) are merged into one branch.
+2. Level by level, under every node of a host's tree, siblings whose labelled shares are
+   statistically alike (two-proportion test against the branch they join) are merged into one branch,
+   however many they are and whatever their number of labels; those without labels are a branch.
 3. A template's share of bad labels is smoothed towards that of all labelled urls; templates
    at or above the limit are rejected.
 
@@ -14,7 +14,10 @@ Labels come with the input; urls without one count for the tree but not for the
 tree is built from counts per (host, generalised path), never from single urls.
 
 Defined results: a null url, or one without ``://``, has an empty host and an empty path; a
-repeated id keeps its rows; with no labels at all every template is allowed.
+repeated id keeps its rows, and is bad if any of its labels says so; with no labels at all every
+template is allowed; an empty table has no rows; other columns are ignored.  Siblings of equal counts are
+never parted; of equal shares the one with fewer labels is tested first.  Of rules of equal length that
+fit, the one listed last decides.  Very long urls are split by array functions, in proportion to their length.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from staysense.llm.common import ascii_lower
@@ -31,8 +34,7 @@ from staysense.session import cut_lineage
 
 @dataclass(frozen=True)
 class TreeRules:
-    max_children: int = 24          # siblings a node may have before those with few labels are merged
-    min_labels: int = 5             # labels that a sibling needs then to be tested by itself
+    named: int = 25                 # a branch of more siblings is named after the first, a star and their number
     z_alike: float = 1.96           # siblings whose shares differ by less than that are one branch
     prior_weight: float = 5.0       # labelled urls that the overall share counts as
     reject_at: float = 0.8          # smoothed share of bad labels
@@ -68,11 +70,11 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[C
 def segments(path: Column) -> Column:
     """The path's segments with variable ones as wildcards; a file name keeps its suffix."""
     def general(seg):
-        stem = F.regexp_extract(seg, r"^(.*?)(\.[A-Za-z]{1,5})?$", 1)
-        suffix = F.regexp_extract(seg, r"^(.*?)(\.[A-Za-z]{1,5})?$", 2)
+        stem = F.regexp_extract(seg, r"(?s)^(.*?)(\.[A-Za-z]{1,5})?\z", 1)
+        suffix = F.regexp_extract(seg, r"(?s)^(.*?)(\.[A-Za-z]{1,5})?\z", 2)
         out = stem
         for pattern, name in reversed(VARIABLE):
-            out = F.when(stem.rlike(f"^(?:{pattern})$"), F.lit(name)).otherwise(out)
+            out = F.when(stem.rlike(f"(?s)^(?:{pattern})\\z"), F.lit(name)).otherwise(out)
         return F.concat(out, suffix)
 
     return F.transform(F.filter(F.split(path, "/"), lambda s: s != ""), general)
@@ -106,37 +108,32 @@ def _common_start(nodes: DataFrame) -> DataFrame:
         F.col("template")).alias("template"), F.slice("rest", F.col("shared") + 1, F.size("rest")).alias("rest"))
 
 
-def _branches(parts: DataFrame, rules: TreeRules) -> DataFrame:
+def _branches(kids: DataFrame, rules: TreeRules) -> DataFrame:
     """(host, template, labelled, bad, branch, members): the branch of the siblings with these counts.
 
     Siblings with equal counts are one class, so that a family of N labels has about N^(2/3) classes at
     most.  By rising share, a class joins the branch before it when one of its siblings passes the
     two-proportion test against that whole branch; siblings without labels are a branch of their own.
+    The fold keeps the open branch's counts and the classes' branch numbers as text (its state is copied at every step).
     """
-    classes = parts.groupBy("host", "template", "labelled", "bad").agg(F.count("*").alias("m")).withColumn(
+    classes = kids.groupBy("host", "template", "labelled", "bad").agg(F.count("*").alias("m")).withColumn(
         "share", F.col("bad") / F.greatest("labelled", F.lit(1)))
     family = classes.groupBy("host", "template").agg(F.sort_array(F.collect_list(
         F.struct((F.col("labelled") == 0).alias("none"), "share", "labelled", "bad", "m"))).alias("classes"))
-    # per branch: its pooled counts, members and classes; only the last one is open
-    run = "struct<labelled: bigint, bad: bigint, m: bigint, classes: array<struct<labelled: bigint, bad: bigint>>>"
-    both = "(s.open.labelled + x.labelled)"
-    pooled = f"((s.open.bad + x.bad) / {both})"
-    error = f"sqrt({pooled} * (1 - {pooled}) * (1 / s.open.labelled + 1 / x.labelled))"
-    alike = (f"(s.open.labelled > 0 AND x.labelled > 0 AND "
-             f"abs(x.share - s.open.bad / s.open.labelled) <= {rules.z_alike}D * {error})")
-    one = "array(struct(x.labelled AS labelled, x.bad AS bad))"
-    grown = ("struct(s.open.labelled + x.m * x.labelled AS labelled, s.open.bad + x.m * x.bad AS bad, "
-             f"s.open.m + x.m AS m, concat(s.open.classes, {one}) AS classes)")
-    fresh = f"struct(x.m * x.labelled AS labelled, x.m * x.bad AS bad, x.m AS m, {one} AS classes)"
-    branches = family.select("host", "template", F.expr(
-        f"aggregate(classes, struct(CAST(array() AS array<{run}>) AS done, CAST(NULL AS {run}) AS open), (s, x) -> CASE "
-        f"WHEN s.open IS NULL THEN struct(s.done AS done, CAST({fresh} AS {run}) AS open) "
-        f"WHEN {alike} THEN struct(s.done AS done, CAST({grown} AS {run}) AS open) "
-        f"ELSE struct(array_append(s.done, s.open) AS done, CAST({fresh} AS {run}) AS open) END, "
-        "s -> array_append(s.done, s.open))").alias("branches"))
-    return branches.select("host", "template", F.posexplode("branches").alias("branch", "b")).select(
-        "host", "template", "branch", F.col("b.m").alias("members"), F.explode("b.classes").alias("c")).select(
-        "host", "template", "c.labelled", "c.bad", "branch", "members")
+    pooled = "((s.bad + x.bad) / (s.labelled + x.labelled))"
+    error = f"sqrt({pooled} * (1 - {pooled}) * (1 / s.labelled + 1 / x.labelled))"
+    alike = f"(s.labelled > 0 AND x.labelled > 0 AND abs(x.share - s.bad / s.labelled) <= {rules.z_alike}D * {error})"
+    numbers = (
+        "split(aggregate(classes, struct(0L AS labelled, 0L AS bad, -1 AS branch, '' AS out), (s, x) -> CASE "
+        f"WHEN {alike} THEN struct(s.labelled + x.m * x.labelled AS labelled, s.bad + x.m * x.bad AS bad, s.branch AS branch, "
+        "concat(s.out, ',', CAST(s.branch AS STRING)) AS out) "
+        "ELSE struct(x.m * x.labelled AS labelled, x.m * x.bad AS bad, s.branch + 1 AS branch, "
+        "concat(s.out, ',', CAST(s.branch + 1 AS STRING)) AS out) END, s -> substring(s.out, 2)), ',')")
+    found = family.select("host", "template", F.explode(F.expr(
+        f"zip_with(classes, {numbers}, (x, b) -> struct(x.labelled AS labelled, x.bad AS bad, x.m AS m, CAST(b AS INT) AS branch))"
+    )).alias("c")).select("host", "template", "c.*")
+    whole = Window.partitionBy("host", "template", "branch")        # classes of a branch
+    return found.withColumn("members", F.sum("m").over(whole)).drop("m")
 
 
 def _merge_level(nodes: DataFrame, rules: TreeRules) -> DataFrame:
@@ -144,22 +141,15 @@ def _merge_level(nodes: DataFrame, rules: TreeRules) -> DataFrame:
     nodes = nodes.withColumn("seg", F.get("rest", F.lit(0)))
     kids = nodes.groupBy("host", "template", "seg").agg(
         F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
-    family = kids.groupBy("host", "template").agg(F.count("*").alias("kids"))
-    kids = kids.join(family, ["host", "template"])
-    # only siblings with too few labels to be told apart; all others go by the test, however many
-    rare = (F.col("kids") > rules.max_children) & (F.col("labelled") < rules.min_labels)
-    kids = kids.withColumn("part", F.when(rare, F.lit("*")).otherwise(F.col("seg")))
-    parts = kids.groupBy("host", "template", "part").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
-    parts = parts.join(_branches(parts, rules), ["host", "template", "labelled", "bad"])
+    kids = kids.join(_branches(kids, rules), ["host", "template", "labelled", "bad"])
     # a branch is named after its members, one of many after the first and their number
-    few = F.col("members") <= rules.max_children + 1
-    names = parts.groupBy("host", "template", "branch").agg(
-        F.max("members").alias("members"), F.min("part").alias("least"),
-        F.sort_array(F.collect_list(F.when(few, F.col("part")))).alias("all"))
+    few = F.col("members") <= rules.named
+    names = kids.groupBy("host", "template", "branch").agg(
+        F.max("members").alias("members"), F.min("seg").alias("least"),
+        F.sort_array(F.collect_list(F.when(few, F.col("seg")))).alias("all"))
     names = names.select("host", "template", "branch", F.when(few, F.array_join("all", "|")).otherwise(
-        F.concat("least", F.lit("|..|"), F.col("members").cast("string"))).alias("name"))
-    names = parts.select("host", "template", "part", "branch").join(names, ["host", "template", "branch"]).drop("branch")
-    named = kids.select("host", "template", "seg", "part").join(names, ["host", "template", "part"]).drop("part")
+        F.concat("least", F.lit("|*|"), F.col("members").cast("string"))).alias("name"))
+    named = kids.select("host", "template", "seg", "branch").join(names, ["host", "template", "branch"]).drop("branch")
     return nodes.join(named, ["host", "template", "seg"]).withColumn("template", F.concat(
         "template", F.lit("/"), "name")).select(
         "host", "segs", "n", "labelled", "bad", "template", F.expr("slice(rest, 2, size(rest))").alias("rest"))

@@ -15,6 +15,7 @@ from staysense.llm import fim_wavelet as FW
 from staysense.llm import merkle as MK
 from staysense.llm import pii_spans as PS
 from staysense.llm import secret_scan as SS
+from staysense.llm import url_templates as UT
 from staysense.llm.queries import QUERIES
 from test_edge_cases import SCHEMA, awkward
 
@@ -300,3 +301,98 @@ def test_secret_scan_long_texts(spark, part, n):
     began = time.monotonic()
     r = SS.digest(SS.scan(spark.createDataFrame([(1, part * (360_000 // len(part)))], "doc_id long, text string"))).first()
     assert r.n_assign == n and time.monotonic() - began < 60
+
+
+# ------------------------------------------------------------------------ op2 again: the tree against plain Python
+def brute_templates(urls):
+    """{(host, segs): members of the template}, template names left out; ``urls``: (host, segs, bad or None)."""
+    nodes = {}
+    for host, segs, bad in urls:
+        n = nodes.setdefault((host, segs), [0, 0])
+        n[0] += bad is not None
+        n[1] += bool(bad)
+    out, active = {}, [(((h,), s), h, s) for h, s in nodes]
+    families = {}
+    for (name, _), host, segs in active:
+        families.setdefault(name, []).append((host, segs, segs))
+    while families:
+        after = {}
+        for name, members in families.items():
+            rests = [r for *_, r in members if r]
+            shared = 0
+            while rests and len(set(r[shared:shared + 1] for r in rests)) == 1 and len(rests[0]) > shared:
+                shared += 1
+            name = (*name, rests[0][:shared] if rests else ())
+            kids = {}
+            for host, segs, r in members:
+                if not r[shared:] if r else True:
+                    out[host, segs] = (name if r else name[:-1], bool(r))
+                    continue
+                kids.setdefault(r[shared], []).append((host, segs, r[shared + 1:]))
+            counts = {k: tuple(sum(nodes[h, s][i] for h, s, _ in v) for i in (0, 1)) for k, v in kids.items()}
+            classes = {}
+            for k, c in counts.items():
+                classes.setdefault(c, []).append(k)
+            n = b = 0
+            branch = -1
+            for (labelled, bad), ks in sorted(classes.items(), key=lambda x: (x[0][0] == 0, x[0][1] / max(1, x[0][0]), x[0])):
+                alike = False
+                if n and labelled:
+                    p = (b + bad) / (n + labelled)
+                    alike = abs(bad / labelled - b / n) <= 1.96 * (p * (1 - p) * (1 / n + 1 / labelled)) ** 0.5
+                if alike:
+                    n, b = n + len(ks) * labelled, b + len(ks) * bad
+                else:
+                    n, b, branch = len(ks) * labelled, len(ks) * bad, branch + 1
+                for k in ks:
+                    after.setdefault((*name, branch), []).extend(kids[k])
+        families = after
+    return nodes, out
+
+
+def tree_fixture(clean_more=0):
+    rnd = random.Random(21)
+    urls = []
+    for host, kids in (("a.com", 24), ("b.com", 25 + clean_more), ("c.com", 300)):
+        for k in range(kids):
+            for i in range(4 if host != "c.com" else rnd.randint(0, 30)):
+                bad = k % 2 == 1 if host != "c.com" else rnd.random() < k / 300
+                urls.append((host, f"/s{'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10 % 10]}{'uvw'[k // 100]}/p/{i}", bad))
+    deep = "/".join("xyz"[i % 3] for i in range(14))
+    urls += [("d.com", f"/{deep}/{end}/{i}", end == "bad") for end in ("good", "bad") for i in range(12)]
+    urls += [("d.com", f"/{deep}", None), ("d.com", "", None), ("d.com", "/a\nb/c", None)]
+    return urls
+
+
+def judged(spark, urls):
+    pages = spark.createDataFrame([(i, f"http://{h}{p}") for i, (h, p, _) in enumerate(urls)], "page_id long, url string")
+    labels = spark.createDataFrame([(i, bad) for i, (*_, bad) in enumerate(urls) if bad is not None], "id long, bad boolean")
+    return sorted(UT.judge(pages, [], labels).collect(), key=lambda r: r.id)
+
+
+def test_url_tree_against_brute_force(spark):
+    urls = tree_fixture()
+    rows = judged(spark, urls)
+    segs = {r.id: tuple("{n}" if x.isdigit() else x for x in r.path.split("/") if x) for r in rows}
+    nodes, names = brute_templates([(h, segs[i], bad) for i, (h, _, bad) in enumerate(urls)])
+    prior = sum(b for _, b in nodes.values()) / sum(n for n, _ in nodes.values())
+    groups, found = {}, {}
+    for r in rows:
+        groups.setdefault((r.host, names[r.host, segs[r.id]]), set()).add(r.id)
+        found.setdefault((r.host, r.template), set()).add(r.id)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, found.values()))
+    for ids in found.values():
+        keys = {(rows[i].host, segs[i]) for i in ids}
+        n, b = (sum(nodes[k][j] for k in keys) for j in (0, 1))
+        share = (b + 5 * prior) / (n + 5)
+        for i in ids:
+            assert rows[i].labelled == n and abs(rows[i].bad_share - share) < 1e-9
+            assert rows[i].verdict == ("block" if n and share >= 0.8 else "allow")
+    assert {r.path for r in rows if r.verdict == "block" and r.host == "d.com"} == {p for h, p, b in urls if h == "d.com" and b}
+
+
+@pytest.mark.parametrize("more", [0, 1, 2, 40])
+def test_url_tree_has_no_switch_by_children(spark, more):
+    """Bad sections stay blocked however many clean sections stand beside them."""
+    urls = [("b.com", f"/s{chr(97 + k // 26)}{chr(97 + k % 26)}/{i}", k % 2 == 1 and k < 24) for k in range(24 + more) for i in range(4)]
+    assert sum(r.verdict == "block" for r in judged(spark, urls)) == 48
