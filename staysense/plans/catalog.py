@@ -515,4 +515,53 @@ def q_feature_importance(spark, sf):
                                      loaded.stages[-1].uid, names, top=20)
 
 
+# -------------------------------------------------- second-order boosting
+BOOST_FEATURES = ["rate", "stay_nights", "total_guests", "required_car_parking_spaces", "special_requests", "lead_time",
+                  "total_rooms", "avg_review", "parking", "restaurant", "pool_and_spa"]
+BOOST_ROUNDS = 2           # of the checked queries; the operator's default is the source's 300
+
+
+def _boosted(spark, sf, **change):
+    """(model of the K1 training rows, all rows); the K1 test rows are its validation rows."""
+    from dataclasses import replace
+    from staysense.operators import boosting as B
+    from staysense.session import cut_lineage
+    df = cut_lineage(SP.stratified_split(_model_frame(spark, sf), "label", "booking_id", K.TEST_FRACTION, K.SEED))
+    params = replace(B.BoostParams(rounds=BOOST_ROUNDS), **change)
+    return B.fit(df, BOOST_FEATURES, "label", "booking_id", params, "is_test", curve=True), df
+
+
+def q_boosted_nodes(spark, sf):
+    """M1: the node table of the first rounds (all production values but the number of rounds)."""
+    model, _ = _boosted(spark, sf)
+    return model.table(spark).select("tree", "node", "feature", "threshold", "missing_left", F.round("gain", 9).alias("gain"),
+                                     F.round("cover", 9).alias("cover"), F.round("value", 12).alias("value"))
+
+
+def q_boosted_loss_curve(spark, sf):
+    """M2: log loss of the validation rows after each of the first rounds, and the best round so far."""
+    model, _ = _boosted(spark, sf)
+    best = [min(range(i + 1), key=model.losses.__getitem__) for i in range(len(model.losses))]
+    rows = [(i, round(x, 9), b) for i, (x, b) in enumerate(zip(model.losses, best))]
+    return spark.createDataFrame(rows, "round int, log_loss double, best_round int")
+
+
+def q_boosted_scores(spark, sf):
+    """The model saved, read back and applied to every row by expressions over its node table."""
+    import uuid
+    from staysense.operators import boosting as B
+    from staysense.session import ensure_checkpoint_dir
+    model, df = _boosted(spark, sf)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/boosted-{uuid.uuid4().hex}"
+    model.save(spark, path)
+    return B.Booster.load(spark, path).score(df).select("booking_id", "is_test", F.round("score", 12).alias("score"))
+
+
+def q_boosted_importance(spark, sf):
+    """Splits per feature, counted in the node table."""
+    from staysense.operators import boosting as B
+    model, _ = _boosted(spark, sf)
+    return B.split_counts(model.table(spark), model.features)
+
+
 QUERIES = {name[2:]: fn for name, fn in dict(globals()).items() if name.startswith("q_") and callable(fn)}

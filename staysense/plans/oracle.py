@@ -334,8 +334,88 @@ def _bigint_counts(sql: str) -> str:
         i = k
 
 
+# ------------------------------------------------------------------ boosting
+def boosted_ctes(rounds: int = 2, depth: int = 6, step: float = 0.05, child: float = 4.0, gamma: float = 0.1) -> str:
+    """Rows, cut points and bins, then level by level a chain of windows: sums by node, feature and bin, the best cut of
+    each node, the node that a row comes to.  Each step reads the one before it once."""
+    features = ["rate", "stay_nights", "total_guests", "required_car_parking_spaces", "special_requests", "lead_time",
+                "total_rooms", "avg_review", "parking", "restaurant", "pool_and_spa"]
+    scale = "CAST(268435456 AS DOUBLE)"
+    one = D(1.0)
+    rank = f"row_number() OVER (PARTITION BY target ORDER BY {H('booking_id')}, booking_id)"
+    pairs = ", ".join(f"struct_pack(f := {i}, feature := '{f}', x := CAST({f} AS DOUBLE))" for i, f in enumerate(features))
+    parts = [f"""ranked AS (SELECT *, {rank} AS rn, count(*) OVER (PARTITION BY target) AS n FROM closed),
+long AS MATERIALIZED (SELECT id, y, is_test, u.f AS f, u.feature AS feature, u.x AS x FROM (
+  SELECT booking_id AS id, target AS y, CASE WHEN rn <= round(CAST(n AS DOUBLE) * {D(0.2)}) THEN 1 ELSE 0 END AS is_test,
+  unnest([{pairs}]) AS u FROM ranked)),
+vals AS (SELECT f, list(x ORDER BY x) AS v FROM long WHERE is_test = 0 AND x IS NOT NULL GROUP BY f),
+cuts AS MATERIALIZED (SELECT f, list_sort(list_distinct(list_transform(range(256),
+  lambda i: v[greatest(1, CAST(ceil(CAST(i * len(v) AS DOUBLE) / CAST(256 AS DOUBLE)) AS BIGINT))]))) AS c FROM vals),
+bins AS MATERIALIZED (SELECT f, x, len(list_filter(c, lambda z: z < x)) AS bin FROM (SELECT DISTINCT f, x FROM long WHERE x IS NOT NULL)
+  JOIN cuts USING (f)),
+e0 AS (SELECT id, y, is_test, long.f, feature, coalesce(bin, -1) AS bin, CAST(0 AS DOUBLE) AS m0
+  FROM long LEFT JOIN bins ON bins.f = long.f AND bins.x = long.x)"""]
+    for r in range(rounds):
+        p = f"({one} / ({one} + exp(-m{r})))"
+        parts.append(f"""r{r}_0 AS (SELECT *, 1 AS n{r}_0, CASE WHEN is_test = 0 THEN CAST(floor(({p} - y) * {scale} + {D(0.5)}) AS BIGINT) ELSE 0 END AS g,
+  CASE WHEN is_test = 0 THEN CAST(floor({p} * ({one} - {p}) * {scale} + {D(0.5)}) AS BIGINT) ELSE 0 END AS h FROM e{r})""")
+        for d in range(depth):
+            k, node = f"{r}_{d}", f"n{r}_{d}"
+
+            def gain(lost: str) -> str:
+                gl, hl = (f"(CAST({c}s{lost and f' + {c}m'} AS DOUBLE) / {scale})" for c in "gh")
+                ga, ha = (f"(CAST({c}a AS DOUBLE) / {scale})" for c in "gh")
+                total = (f"{gl} * {gl} / ({hl} + {one}) + ({ga} - {gl}) * ({ga} - {gl}) / ({ha} - {hl} + {one}) - {ga} * {ga} / ({ha} + {one})")
+                return (f"CASE WHEN bin >= 0 AND {node} >= {1 << d} AND {hl} >= {D(child)} AND {ha} - {hl} >= {D(child)} AND {total} > {D(1e-6)} "
+                        f"AND {total} >= {D(gamma)} THEN {total} END")
+
+            parts.append(f"""a{k} AS (SELECT *, sum(g) OVER p AS ga, sum(h) OVER p AS ha,
+  sum(CASE WHEN bin < 0 THEN g ELSE 0 END) OVER p AS gm, sum(CASE WHEN bin < 0 THEN h ELSE 0 END) OVER p AS hm,
+  sum(CASE WHEN bin >= 0 THEN g ELSE 0 END) OVER s AS gs, sum(CASE WHEN bin >= 0 THEN h ELSE 0 END) OVER s AS hs
+  FROM r{k} WINDOW p AS (PARTITION BY {node}, f), s AS (PARTITION BY {node}, f ORDER BY bin)),
+b{k} AS (SELECT *, {gain('left')} AS q0, {gain('')} AS q1 FROM a{k}),
+c{k} AS (SELECT * EXCLUDE (ga, gm, hm, gs, hs, q0, q1), CASE WHEN q0 IS NULL THEN q1 WHEN q1 IS NULL OR q0 >= q1 THEN q0 ELSE q1 END AS q,
+  CASE WHEN q0 IS NOT NULL AND (q1 IS NULL OR q0 >= q1) THEN 0 ELSE 1 END AS side FROM b{k}),
+d{k} AS (SELECT * EXCLUDE (q, side, ha), CAST(ha AS DOUBLE) / {scale} AS h{k}, first_value(q) OVER w AS q{k}, first_value(f) OVER w AS f{k},
+  first_value(feature) OVER w AS t{k}, first_value(bin) OVER w AS b{k}, first_value(side) OVER w AS s{k}
+  FROM c{k} WINDOW w AS (PARTITION BY {node} ORDER BY q DESC NULLS LAST, f, bin, side)),
+r{r}_{d + 1} AS (SELECT *, CASE WHEN q{k} IS NULL THEN {node} ELSE 2 * {node} + max(CASE WHEN f = f{k} THEN
+  CASE WHEN bin < 0 THEN s{k} WHEN bin <= b{k} THEN 0 ELSE 1 END END) OVER (PARTITION BY id) END AS n{r}_{d + 1} FROM d{k})""")
+        k = f"{r}_{depth}"
+        parts.append(f"""v{r} AS (SELECT * EXCLUDE (g, h), CAST(sum(g) OVER p AS DOUBLE) / {scale} AS lg{r}, CAST(sum(h) OVER p AS DOUBLE) / {scale} AS lh{r}
+  FROM r{k} WINDOW p AS (PARTITION BY n{k}, f)),
+e{r + 1} AS (SELECT *, -lg{r} / (lh{r} + {one}) * {D(step)} AS v{r}, m{r} + -lg{r} / (lh{r} + {one}) * {D(step)} AS m{r + 1} FROM v{r})""")
+    items = [f"struct_pack(tree := {r}, node := n{r}_{d}, f := f{r}_{d}, feature := t{r}_{d}, bin := b{r}_{d}, missing_left := s{r}_{d} = 0, "
+             f"gain := q{r}_{d}, cover := h{r}_{d}, value := CAST(NULL AS DOUBLE))" for r in range(rounds) for d in range(depth)]
+    items += [f"struct_pack(tree := {r}, node := n{r}_{depth}, f := CAST(NULL AS INTEGER), feature := CAST(NULL AS VARCHAR), "
+              f"bin := CAST(NULL AS BIGINT), missing_left := CAST(NULL AS BOOLEAN), gain := CAST(NULL AS DOUBLE), cover := lh{r}, value := v{r})"
+              for r in range(rounds)]
+    parts.append(f"""seen AS (SELECT DISTINCT u.tree AS tree, u.node AS node, u.f AS f, u.feature AS feature, u.bin AS bin, u.missing_left AS missing_left,
+  u.gain AS gain, u.cover AS cover, u.value AS value FROM (SELECT unnest([{', '.join(items)}]) AS u FROM e{rounds} WHERE f = 0)
+  WHERE u.gain IS NOT NULL OR u.value IS NOT NULL),
+nodes AS (SELECT seen.*, CASE WHEN bin = len(c) THEN 1.7976931348623157e308 ELSE c[bin + 1] END AS threshold FROM seen LEFT JOIN cuts USING (f))""")
+    return ",\n".join(parts)
+
+
+def boosted_sql() -> dict[str, str]:
+    base = f"{BASE},\n{closed_cte('b')},\n{boosted_ctes()}\n"
+    loss = ", ".join(f"avg(greatest(CASE WHEN y = 1 THEN -m{r} ELSE m{r} END, 0) + ln(1 + exp(-abs(m{r})))) AS l{r}" for r in (1, 2))
+    names = ", ".join(f"('{f}')" for f in ("rate", "stay_nights", "total_guests", "required_car_parking_spaces", "special_requests",
+                                           "lead_time", "total_rooms", "avg_review", "parking", "restaurant", "pool_and_spa"))
+    return {
+        "boosted_nodes": base + "SELECT CAST(tree AS INTEGER) AS tree, CAST(node AS INTEGER) AS node, feature, threshold, missing_left, "
+                                "round(gain, 9) AS gain, round(cover, 9) AS cover, round(value, 12) AS value FROM nodes",
+        "boosted_loss_curve": base + f", loss AS (SELECT {loss} FROM e2 WHERE f = 0 AND is_test = 1) "
+                                     "SELECT CAST(u.i AS INTEGER) AS round, round(u.l, 9) AS log_loss, CAST(u.b AS INTEGER) AS best_round FROM (SELECT unnest(["
+                                     "struct_pack(i := 0, l := l1, b := 0), struct_pack(i := 1, l := l2, b := CASE WHEN l2 < l1 THEN 1 ELSE 0 END)]) AS u FROM loss)",
+        "boosted_scores": base + "SELECT id AS booking_id, CAST(is_test AS INTEGER) AS is_test, "
+                                 "round(CAST(1 AS DOUBLE) / (CAST(1 AS DOUBLE) + exp(-m2)), 12) AS score FROM e2 WHERE f = 0",
+        "boosted_importance": base + f"SELECT name AS feature, CAST(count(feature) AS BIGINT) AS importance FROM (VALUES {names}) v(name) "
+                                     "LEFT JOIN nodes ON feature = name GROUP BY name"}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {k: _bigint_counts(v) for k, v in _oracle_sql().items()}
+    return {k: _bigint_counts(v) for k, v in (_oracle_sql() | boosted_sql()).items()}
 
 
 def _oracle_sql() -> dict[str, str]:
