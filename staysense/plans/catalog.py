@@ -507,7 +507,8 @@ def q_feature_importance(spark, sf):
     pipe = MD.classification_pipeline(MD.boosted_trees(), present(df, MD.NUMERIC),
                                       present(df, MD.CATEGORICAL))
     model = pipe.fit(df)
-    base = ensure_checkpoint_dir(spark).rstrip("/") + "/model_package"
+    import uuid
+    base = f"{ensure_checkpoint_dir(spark).rstrip(chr(47))}/model_package-{uuid.uuid4().hex}"       # a folder of this run
     MD.save_model_package(model, K.DEFAULT_FALLBACK_THRESHOLD, base)
     loaded, _thr = MD.load_model_package(base)
     names = MD.feature_names(loaded.transform(df.limit(1)))

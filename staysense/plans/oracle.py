@@ -1,6 +1,7 @@
 """DuckDB twins of the registered queries (the correctness oracle).
 
-Written independently as plain SQL over the pre-registered driver tables.
+Plain SQL over the pre-registered driver tables.  The rules' numbers, names and tables are written out
+here once more, not taken from the engine, so that a wrong constant there shows.
 Fixture views are CTEs (FIXTURES.md §2).  Numeric literals are cast to DOUBLE
 and expression trees follow the same association as the Spark side so IEEE
 results agree; money sums go through DECIMAL exactly as on the Spark side.
@@ -8,10 +9,81 @@ results agree; money sums go through DECIMAL exactly as on the Spark side.
 
 from __future__ import annotations
 
-from staysense.functions import constants as K
-from staysense.functions.grids import arange, linspace
-from staysense.operators.scorecard import COEFFICIENTS
-from staysense.sources.fixtures import COUNTRY_CODES
+class K:
+    # fixed values: those of the rules
+    DEFAULT_NIGHTS = 2
+    DEFAULT_GUESTS = 2
+    DEFAULT_RATE = 250.0
+    DEFAULT_BOARD = "SC"
+    DEFAULT_FALLBACK_THRESHOLD = 0.4912
+    GIFT_UNIT_COSTS = {"A": 4.0, "B": 0.09, "C": 7.0, "D": 9.0}
+    GIFT_NAMES = {"A": "Desayuno", "B": "Mejora habitación", "C": "Parking", "D": "Spa"}
+    NO_GIFT_NAME = "Sin regalo (bajo riesgo o no rentable)"
+    SEGMENT_UPPER_BOUNDS = [0.6, 0.7, 0.8, 0.9, 1.0]
+    UNKNOWN_CONTINENT = "Desconocido"
+    CONTINENT_MAP_TRAINING = {
+        "SPA": "Europa", "FRA": "Europa", "POR": "Europa", "AUT": "Europa",
+        "NLD": "Europa", "ITA": "Europa", "GBR": "Europa", "DEU": "Europa",
+        "DNK": "Europa", "POL": "Europa", "BEL": "Europa", "FIN": "Europa",
+        "NOR": "Europa", "HUN": "Europa", "CHE": "Europa", "ROU": "Europa",
+        "SWE": "Europa", "UKR": "Europa", "GRC": "Europa", "IRL": "Europa",
+        "JPN": "Asia", "ISR": "Asia", "CHN": "Asia", "IND": "Asia",
+        "IRN": "Asia", "IRQ": "Asia", "PHL": "Asia", "MYS": "Asia",
+        "SGP": "Asia", "TWN": "Asia", "THA": "Asia", "KOR": "Asia",
+        "AGO": "África", "CMR": "África", "DZA": "África", "EGY": "África",
+        "MAR": "África", "ZAF": "África", "MOZ": "África", "TUN": "África",
+        "USA": "América del Norte", "MEX": "América del Norte", "CAN": "América del Norte", "CUB": "América del Norte",
+        "DOM": "América del Norte", "PRI": "América del Norte", "BRA": "América del Sur", "ARG": "América del Sur",
+        "ECU": "América del Sur", "COL": "América del Sur", "PER": "América del Sur", "URY": "América del Sur",
+        "VEN": "América del Sur", "CHL": "América del Sur", "BOL": "América del Sur", "AUS": "Oceanía",
+        "NZL": "Oceanía", "PYF": "Oceanía", "NCL": "Oceanía", "FJI": "Oceanía",
+        "CN": "Otros",
+    }
+    CONTINENT_MAP_SCORING = {
+        "SPA": "Europa", "FRA": "Europa", "POR": "Europa", "USA": "América del Norte",
+        "MEX": "América del Norte", "BRA": "América del Sur", "ARG": "América del Sur", "CHN": "Asia",
+        "JPN": "Asia", "AUS": "Oceanía", "NZL": "Oceanía",
+    }
+    LEAD_TIME_EDGES = [-1, 7, 30, 90, 180]
+    LEAD_TIME_LABELS = ["last_minute", "short", "medium", "long", "very_long"]
+    STAY_EDGES = [-1, 1, 3, 7, 14]
+    STAY_LABELS = ["1_night", "2-3_nights", "4-7_nights", "8-14_nights", "15+_nights"]
+    QUANTILE_LOW = 0.05
+    QUANTILE_HIGH = 0.95
+    KNN_NEIGHBORS = 5
+    SMOTE_RATIO = 0.8
+    POSITIVE_CLASS_WEIGHT = 1.5
+    GROUP_FOLDS = 7
+    SEED = 42
+    VARIANCE_THRESHOLD = 0.001
+    ANOVA_TOP_K = 22
+    TEST_FRACTION = 0.2
+    GRID_START = 0.3
+    GRID_STOP = 0.7
+    GRID_STEP = 0.01
+    SWEEP_START = 0.1
+    SWEEP_STOP = 0.8
+    SWEEP_NUM = 40
+
+
+# fixed values: scorecard (intercept, lead time, nights, requests, foreign), codes by nation key
+COEFFICIENTS = (-2.0, 0.012, 0.1, -0.3, 0.5)
+COUNTRY_CODES = [
+    "SPA", "FRA", "POR", "GBR", "DEU", "ITA", "USA", "MEX", "BRA", "ARG",
+    "CHN", "JPN", "AUS", "NZL", "MAR", "EGY", "CN", "XXX", "ZZZ", "NLD",
+    "SWE", "CAN", "PER", "IND", "ZAF",
+]
+
+
+def arange(start: float, stop: float, step: float) -> list[float]:
+    """NumPy's steps: each value is the start and so many times the first difference."""
+    first = (start + step) - start
+    return [start + i * first for i in range(round((stop - start) / step))]
+
+
+def linspace(start: float, stop: float, num: int) -> list[float]:
+    return [start + i * ((stop - start) / (num - 1)) for i in range(num - 1)] + [stop]
+
 
 THR = K.DEFAULT_FALLBACK_THRESHOLD
 AS_OF = "2000-01-01 00:00:00"
