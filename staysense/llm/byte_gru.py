@@ -11,9 +11,11 @@ Prediction cuts a whole text into windows of ``step`` bytes with ``margin`` byte
 both sides; only the inner positions are pooled, so each byte of the text counts once.  Windows
 of many documents run through the network together, in blocks of bounded size.
 
-Only bytes of the text are inputs.  Defined results: ``und`` with score 0 for a null text, one
+Building the query runs the fit, so its first jobs run before the result is asked for.
+
+Only bytes of the text are inputs.  Defined results: of languages of equal probability the first by name; ``und`` with score 0 for a null text, one
 without a letter, or when there is nothing to learn from; repeated rows keep their rows; a null
-id hashes as empty text; an empty table gives no rows.
+id hashes as empty text; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,6 +28,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from staysense.functions.joins import bounded_broadcast
+from staysense.session import cut_lineage
+
 
 @dataclass(frozen=True)
 class GruPlan:
@@ -41,6 +46,7 @@ class GruPlan:
     seed: int = 7
 
 
+SPARE = 8                       # windows that are ranked per language, times those that are taken
 PAD = 256                       # the byte number of what lies outside a text
 
 
@@ -151,16 +157,37 @@ class ByteGru:
         return losses
 
 
-def training_windows(docs: DataFrame, plan: GruPlan) -> DataFrame:
-    """(lang, piece): a window of text from each of the sampled documents, at a place that its hash names."""
+def training_windows(docs: DataFrame, plan: GruPlan, counts: DataFrame | None = None) -> DataFrame:
+    """(lang, piece): a window of text from each of the sampled documents, at a place that its hash names.
+
+    The sample is the ``per_language`` windows of least hash.  With ``counts`` (lang, n) only hashes low enough to expect
+    ``SPARE`` times as many are ranked, so that a language's ranking is bounded however many rows and tasks it has.
+    """
     at = F.pmod(F.xxhash64(F.lit("place"), "text"), F.greatest(F.length("text") - plan.train_bytes, F.lit(1))).cast("int") + 1
-    pieces = docs.where("lang IS NOT NULL AND text IS NOT NULL").select(
-        "lang", F.xxhash64("doc_id", "text").alias("place"), F.substring("text", at, F.lit(plan.train_bytes)).alias("piece"))
+    docs = docs.where("lang IS NOT NULL AND text IS NOT NULL").withColumn("place", F.xxhash64("doc_id", "text"))
+    if counts is not None:
+        low = (F.col("place") / float(1 << 64) + 0.5) < F.lit(float(SPARE * plan.per_language)) / F.col("n")
+        docs = docs.select("lang", "place", "text").join(bounded_broadcast(counts), "lang").where(low)
+    pieces = docs.select("lang", "place", F.substring("text", at, F.lit(plan.train_bytes)).alias("piece"))
     pieces = pieces.where(F.col("piece").rlike(r"\p{L}"))
     rank = Window.partitionBy("lang").orderBy("place", "piece")
     return pieces.withColumn("i", F.row_number().over(rank)).where(F.col("i") <= plan.per_language).select("lang", "piece")
 
 
+def training_sample(docs: DataFrame, plan: GruPlan):
+    """The sample as a pandas frame: at most ``per_language`` short windows a language.
+
+    If low hashes give a language too few windows (most of its texts have no letters), all its hashes are ranked.
+    """
+    counts = cut_lineage(docs.where("lang IS NOT NULL").groupBy("lang").agg(F.count("*").alias("n")))
+    sample = training_windows(docs, plan, counts).toPandas()
+    many = {r.lang for r in counts.where(F.col("n") > SPARE * plan.per_language).collect()}      # a name a language
+    got = sample["lang"].value_counts()
+    if any(got.get(x, 0) < plan.per_language for x in many):
+        sample = training_windows(docs, plan).toPandas()
+    return sample.sort_values(["lang", "piece"])
+
+
 def _bytes(text: str, length: int) -> np.ndarray:
     data = np.frombuffer(text.encode()[:length], np.uint8)
     return np.concatenate((data.astype(np.int16), np.full(length - len(data), PAD, np.int16)))
@@ -168,7 +195,7 @@ def _bytes(text: str, length: int) -> np.ndarray:
 
 def fit(docs: DataFrame, plan: GruPlan = GruPlan()) -> tuple[ByteGru | None, list[str]]:
     """The network and its languages, from ``docs`` (doc_id, text, lang); None without labelled text."""
-    sample = training_windows(docs, plan).toPandas().sort_values(["lang", "piece"])
+    sample = training_sample(docs, plan)
     languages = sorted(sample["lang"].unique())
     if not languages:
         return None, []

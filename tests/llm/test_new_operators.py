@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_CHECK
+from staysense.llm import byte_gru as BG
 from staysense.llm import fim_wavelet as FW
 from staysense.llm import merkle as MK
 from staysense.llm import pii_spans as PS
@@ -396,3 +397,17 @@ def test_url_tree_has_no_switch_by_children(spark, more):
     """Bad sections stay blocked however many clean sections stand beside them."""
     urls = [("b.com", f"/s{chr(97 + k // 26)}{chr(97 + k % 26)}/{i}", k % 2 == 1 and k < 24) for k in range(24 + more) for i in range(4)]
     assert sum(r.verdict == "block" for r in judged(spark, urls)) == 48
+
+
+# ------------------------------------------------------------------------ op7 again: the bounded ranking takes the same sample
+def test_language_sample_is_that_of_all_rows(spark):
+    rows = [(i, f"text number {i} of many", "en") for i in range(3_000)] + [(5_000 + i, f"{i} 123", "digits") for i in range(900)]
+    rows += [(9_000 + i, f"few {i}", "few") for i in range(20)] + [(9_500, "words of digits", "digits"), (9_600, None, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    plan = BG.GruPlan(per_language=16)
+    whole = BG.training_windows(docs, plan).toPandas().sort_values(["lang", "piece"])
+    found = BG.training_sample(docs, plan)
+    assert found.values.tolist() == whole.values.tolist()
+    assert found["lang"].value_counts().to_dict() == {"en": 16, "few": 16, "digits": 1}
+    only = docs.where("lang = 'en'")        # without the language of digits the first ranking is enough
+    assert BG.training_sample(only, plan).values.tolist() == whole[whole["lang"] == "en"].values.tolist()
