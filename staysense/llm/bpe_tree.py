@@ -14,7 +14,7 @@ encoded wherever they land, and each round of the tree joins two rows; other doc
 leave their task.
 
 Defined results: a null text is an empty text, which has no tokens; repeated rows keep their
-rows; an empty table gives no rows.
+rows; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

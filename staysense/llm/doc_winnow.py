@@ -7,7 +7,8 @@ hashes the least is kept, the rightmost one on ties, with its position.  Any run
 
 Defined results: a null text is an empty text and has an empty fingerprint, as has a text
 without words; a text of fewer than k words has one gram, all its words; of fewer than w grams
-one window.  Two empty fingerprints are alike (1.0).  Repeated rows keep their rows.
+one window.  Two empty fingerprints are alike (1.0).  Repeated rows keep their rows; an empty table gives
+no rows; other columns are ignored.  A text's grams are arrays of its row, so memory follows the longest text.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ own outside those lines.  A line stays frequent then only if otherwise different
 
 Defined results: a null text is an empty text; a null host is a host of its own; rows that
 agree in id, host and text get equal results, one per row; an empty table gives no rows;
-other columns are ignored, whatever their names.
+other columns are ignored, whatever their names.  A text's words and lines are arrays of its row, so
+memory follows the longest text.
 """
 
 from __future__ import annotations

@@ -20,7 +20,7 @@ Words are told apart by 64-bit hashes.
 
 Defined results: a null text is an empty text and has the end as its only token; a null id
 hashes as empty text; repeated rows keep their rows; without any training document all counts
-are 0; an empty table gives no rows.
+are 0; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -21,7 +21,8 @@ and checkpointed; nothing of it is collected.
 
 Defined results: null and empty texts, and texts without words, have fingerprint zero and are
 linked to each other; rows repeating an id are rows of that id, each with its component; a null
-id counts as greater than all others; an empty table gives no rows.
+id counts as greater than all others; ids are integers; an empty table gives no rows; ``group`` ignores
+other columns, ``keep_one`` keeps them.
 """
 
 from __future__ import annotations
