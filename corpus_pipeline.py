@@ -2,6 +2,10 @@
 
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and returns what goes
 on.  All but the last return the columns they were given; ``n_chars`` follows the text.
+
+Null, empty and very long texts, ties, repeated rows and null ids have the results that the operators' docstrings
+define: quality rules drop null and empty texts, so that later stages see them only when called by themselves.  Extra
+columns stay as they are in all stages but the last, whatever their names, and an empty table stays empty.
 """
 
 from __future__ import annotations
