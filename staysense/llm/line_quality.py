@@ -6,8 +6,10 @@ and removed; a document that loses too much of itself that way is rejected.
 
 Exact copies of a text on one host count as one document, so a large group of copies does
 not turn its own text into boilerplate (a dedup step handles copies).  With ``near_copies`` texts
-that only vary the frequent lines count as one, too: such a text has hardly a word pair of its
-own outside those lines.  A line stays frequent then only if otherwise different documents hold it.
+that only vary the frequent lines count as one, too: what such a text has beside its host's frequent
+lines is made of their word pairs, a line with a word changed.  A page of boilerplate with a few words of its own
+stays a document of its own, as those words are no variation.  A line stays frequent then only if otherwise
+different documents hold it.
 
 Defined results: a null text is an empty text; a null host is a host of its own; rows that
 agree in id, host and text get equal results, one per row; an empty table gives no rows;
@@ -36,7 +38,7 @@ class LineRules:
     share: float = 0.05
     min_words: int = 20
     max_removed: float = 0.5
-    max_own: float = 0.1            # own word pairs per word that a near copy may have
+    min_varied: float = 0.5         # share of frequent lines' word pairs in the rest of a near copy
 
 
 WINDOW = 8          # words per window of the repetition count
@@ -99,23 +101,26 @@ def frequent_lines(docs: DataFrame, rules: LineRules) -> DataFrame:
 
 
 def _without_near_copies(docs: DataFrame, hits: DataFrame, rules: LineRules) -> DataFrame:
-    """The ``hits`` (key, host, line_hash, ...) whose line is frequent among otherwise different documents."""
-    line = row_key(F.col("host"), F.col("line_hash"))
-    hits = cut_lineage(hits.withColumn("line_id", line))
-    held = hits.groupBy("key").agg(F.collect_set("pos").alias("places"), F.min("line_hash").alias("least"))
-    lines = docs.join(held, "key").select("key", "host", "places", F.posexplode(_normalised_lines(F.col("text"))).alias(
-        "pos", "line")).where("line <> ''").select(
-        "key", "host", F.array_contains("places", F.col("pos")).alias("hit"), F.split("line", " ").alias("w"))
-    grams = lines.select("key", "hit", F.explode(F.transform("w", lambda x, i: row_key(
-        F.col("host"), F.get("w", i - 1), x))).alias("gram")).distinct()
-    grams = cut_lineage(grams)
-    common = grams.where("hit").select("gram").distinct()
-    own = grams.where("NOT hit").join(common, "gram", "left_anti").groupBy("key").agg(F.count("*").alias("own"))
-    size = docs.join(held, "key", "left_semi").groupBy("key").agg(F.max(F.size(words(F.col("text")))).alias("size"),
-                                                                 F.max(F.xxhash64("text")).alias("content"))
+    """The ``hits`` (key, host, line_hash, ...) whose line is frequent among otherwise different documents.
+
+    A document's rest are its lines that are not frequent.  It counts as a near copy if at least ``min_varied`` of the
+    rest's word pairs occur in frequent lines of its host, or if it has no rest; near copies of one least line count as one.
+    """
+    hits = cut_lineage(hits.withColumn("line_id", row_key(F.col("host"), F.col("line_hash"))))
+    held = hits.groupBy("key").agg(F.collect_set("pos").alias("places"), F.min("line_hash").alias("least"),
+                                   F.min("content").alias("content"))
+    lines = docs.select("key", "host", "text").join(held.select("key", "places"), "key").select(
+        "key", "host", "places", F.posexplode(_normalised_lines(F.col("text"))).alias("pos", "line")).where(
+        "line <> ''").select("key", "host", F.array_contains("places", F.col("pos")).alias("hit"),
+                             F.split("line", " ").alias("w"))
+    pair = F.explode(F.transform("w", lambda x, i: row_key(F.col("host"), F.get("w", i - 1), x))).alias("pair")
+    common = lines.where("hit").select(pair).distinct()
+    rest = lines.where("NOT hit")
+    varied = rest.select("key", pair).join(common, "pair", "left_semi").groupBy("key").agg(F.count("*").alias("varied"))
+    sizes = rest.groupBy("key").agg(F.sum(F.size("w")).alias("rest"))
     # near copies of one text share their least frequent line, but for the few that vary that one
-    same = F.coalesce("own", F.lit(0)) <= F.col("size") * F.lit(rules.max_own)
-    content = size.join(held.select("key", "least"), "key").join(own, "key", "left").select(
+    same = F.coalesce("varied", F.lit(0)) >= F.coalesce("rest", F.lit(0)) * F.lit(rules.min_varied)
+    content = held.select("key", "least", "content").join(sizes, "key", "left").join(varied, "key", "left").select(
         "key", F.when(same, F.col("least")).otherwise(F.col("content")).alias("as_one"))
     counts = hits.join(content, "key").groupBy("host", "line_id").agg(F.countDistinct("as_one").alias("n_docs")).where(
         F.col("n_docs") > rules.min_docs)

@@ -115,3 +115,28 @@ def test_near_copies_are_no_boilerplate(spark):
     got = {r.doc_id: r.text for r in P.quality_rules(spark, df, "/nowhere").collect()}
     for i, text, _ in rows:
         assert got.get(i) == (None if 200 <= i < 300 else text.split("\n")[1] if i >= 300 else text), i
+
+
+def test_depleted_pages_go_and_near_copies_stay(spark):
+    """Pages of boilerplate with few words of their own beside a group of near copies: a third of all rows each."""
+    rnd = random.Random(21)
+
+    def prose(n):
+        return " ".join("".join(rnd.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+
+    nav = [prose(12) for _ in range(20)]
+    rows = [(i, "\n".join([*nav, prose(20)]), "a") for i in range(100)]                       # one longer line
+    rows += [(100 + i, "\n".join([prose(2), *nav]), "a") for i in range(50)]                  # a title only
+    rows += [(150 + i, "\n".join([*nav[:10], prose(5), *nav[10:], prose(5)]), "a") for i in range(50)]
+    lines = [prose(16) for _ in range(6)]
+    for i in range(200):                                # two words changed, in two lines of six
+        copy = [x.split() for x in lines]
+        copy[i % 6][i % 16] = f"changed{i}"
+        copy[(i + 1 + i % 5) % 6][i % 13] = f"other{i}"
+        rows.append((200 + i, "\n".join(" ".join(x) for x in copy), "a"))
+    rows += [(400 + i, "\n".join(prose(20) for _ in range(3)), "a") for i in range(200)]
+    rows += rows[200:220] + rows[:5]                    # repeated rows
+    rows.append((700, None, None))
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = sorted((r.doc_id, r.text) for r in P.quality_rules(spark, df, "/nowhere").collect())
+    assert got == sorted((i, text) for i, text, _ in rows if 200 <= i < 700)
