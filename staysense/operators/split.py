@@ -128,6 +128,56 @@ def stratified_group_folds(df: DataFrame, label: str, group: str, k: int = K.GRO
     return df.join(bounded_broadcast(gf), group, "left")
 
 
+BATCH_GROUPS = 2_048
+
+
+def least_deviation_group_folds(df: DataFrame, label: str, group: str, classes: Sequence = (0, 1),
+                                k: int = K.GROUP_FOLDS, seed: int = K.SEED, out: str = "fold",
+                                batch: int = BATCH_GROUPS) -> DataFrame:
+    """K2 by least deviation: groups, the most lopsided class counts first, go one by one to the fold that then leaves
+    the class shares most even over the folds (mean over the classes of the standard deviation of a fold's share;
+    then the fold with fewer rows, then the lower one).  Ties in the order go by a hash of the group.
+
+    The state is an array of class counts per fold, folded over the ordered group table (rows never move for it).
+    ``batch`` groups of neighbouring rank are one fold's work, so that no task holds the whole group table: up to
+    ``batch`` groups the rule is applied as a whole; beyond, each batch is evened out by itself against its own totals,
+    and its folds are turned by its number, so that what is left over does not pile up in fold 0.
+    A null group is a group; rows whose label is none of ``classes`` count in no class and follow their group."""
+    from staysense.functions.joins import bounded_broadcast
+    classes, c = list(classes), len(classes)
+    counts = F.array(*[F.count(F.when(F.col(label) == F.lit(v), F.lit(1))) for v in classes])
+    groups = df.groupBy(F.col(group).alias("_g")).agg(counts.alias("_c")).withColumn("_gh", hash60("_g", seed))
+    total = " + ".join(f"_c[{i}]" for i in range(c))
+    spread = f"{c} * ({' + '.join(f'_c[{i}] * _c[{i}]' for i in range(c))}) - ({total}) * ({total})"
+    ranked = global_row_number(groups.withColumn("_spread", F.expr(spread)),
+                               [F.col("_spread").desc(), F.col("_gh"), F.col("_g").asc_nulls_first()])
+    batches = ranked.groupBy(F.expr(f"CAST((_rn - 1) div {batch} AS BIGINT)").alias("_b")).agg(
+        F.sort_array(F.collect_list(F.struct("_rn", "_g", "_c"))).alias("_gs"),           # <= batch groups
+        *[F.sum(F.col("_c")[i]).alias(f"_t{i}") for i in range(c)])
+
+    def deviation(i: int) -> str:
+        """k squared times the variance of class i over the folds, if fold f takes group x; shares need no more."""
+        sums = f"(aggregate(s.n, 0L, (a, r) -> a + r[{i}]) + x._c[{i}])"
+        squares = (f"(aggregate(s.n, 0D, (a, r) -> a + CAST(r[{i}] AS DOUBLE) * r[{i}]) + "
+                   f"(2D * s.n[f][{i}] + x._c[{i}]) * x._c[{i}])")
+        return (f"CASE WHEN _t{i} = 0 THEN 0D ELSE sqrt(greatest({k}D * {squares} - CAST({sums} AS DOUBLE) * {sums}, 0D)) "
+                f"/ CAST(_t{i} AS DOUBLE) END")
+
+    even = " + ".join(f"({deviation(i)})" for i in range(c))
+    rows = " + ".join(f"s.n[f][{i}]" for i in range(c))
+    best = (f"array_min(transform(sequence(0, {k - 1}), f -> struct(CAST(floor(({even}) * 1e9D) AS BIGINT) AS dev, "
+            f"{rows} AS held, f AS f))).f")
+    zero = f"array_repeat(array_repeat(0L, {c}), {k})"
+    took = ", ".join(f"r[{i}] + IF(f = s.best, s.x._c[{i}], 0L)" for i in range(c))
+    step = (f"element_at(transform(array(named_struct('x', x, 'n', s.n, 'folds', s.folds, 'best', {best})), s -> "
+            f"named_struct('n', transform(s.n, (r, f) -> array({took})), 'folds', concat(s.folds, array(s.best)))), 1)")
+    folds = batches.withColumn("_fs", F.expr(
+        f"aggregate(_gs, named_struct('n', {zero}, 'folds', CAST(array() AS ARRAY<INT>)), (s, x) -> {step}, s -> s.folds)"))
+    gf = folds.select(F.explode(F.expr(f"zip_with(_gs, _fs, (x, f) -> struct(x._g AS _g, "
+                                       f"CAST((f + _b) % {k} AS INT) AS {out}))")).alias("_x")).select("_x.*")
+    return df.join(bounded_broadcast(gf), F.col(group).eqNullSafe(F.col("_g")), "left").drop("_g")
+
+
 def fold_rows(df: DataFrame, i: int, fold_col: str = "fold") -> tuple[DataFrame, DataFrame]:
     """K4: (train, validation) rows of fold ``i``."""
     return df.where(F.col(fold_col) != i), df.where(F.col(fold_col) == i)

@@ -210,6 +210,12 @@ def q_group_folds(spark, sf):
     return SP.stratified_group_folds(df, "target", "hotel_id", K.GROUP_FOLDS, K.SEED)
 
 
+def q_group_folds_even(spark, sf):
+    """K2 by least deviation: 7 folds grouped by hotel, class shares as even as each step allows."""
+    df = closed(spark, sf).select("booking_id", "hotel_id", "target")
+    return SP.least_deviation_group_folds(df, "target", "hotel_id", (0, 1), K.GROUP_FOLDS, K.SEED)
+
+
 def q_class_weights(spark, sf):
     """B4."""
     from staysense.operators.balance import class_weight
@@ -389,6 +395,19 @@ def q_knn_impute(spark, sf):
     return out.select("booking_id", *[F.round(c, 8).alias(c) for c in KNN_IMPUTE_COLUMNS])
 
 
+def q_knn_impute_unseen(spark, sf):
+    """I4 as a fitted step: the imputer of the K1 training rows, saved, read back and applied to the rows held out."""
+    import uuid
+    from staysense.operators.impute_knn import KnnImputer
+    from staysense.session import ensure_checkpoint_dir
+    df = cut_lineage(SP.stratified_split(closed(spark, sf).select("booking_id", "target", *KNN_IMPUTE_COLUMNS), "target",
+                                         "booking_id", K.TEST_FRACTION, K.SEED))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/knn-imputer-{uuid.uuid4().hex}"
+    KnnImputer.fit(df.where("is_test = 0"), KNN_IMPUTE_COLUMNS, "booking_id", K.KNN_NEIGHBORS, K.SEED).save(path)
+    out = KnnImputer.load(spark, path).transform(df.where("is_test = 1"), "booking_id")
+    return out.select("booking_id", *[F.round(c, 8).alias(c) for c in KNN_IMPUTE_COLUMNS])
+
+
 def q_variance_filter(spark, sf):
     """M12."""
     from staysense.operators.selection import variance_filter

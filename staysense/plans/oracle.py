@@ -390,6 +390,28 @@ grk AS (SELECT hotel_id, row_number() OVER (ORDER BY gpos DESC, gn DESC, gh, hot
 gf AS (SELECT hotel_id, CAST(CASE WHEN (r0 // {k}) % 2 = 0 THEN r0 % {k} ELSE {k - 1} - r0 % {k} END AS INTEGER) AS fold FROM grk)"""
 
 
+def _even_folds_cte(src: str, label: str = "target", k: int = K.GROUP_FOLDS) -> str:
+    """One step of the recursion per group: p and n hold each fold's positives and negatives."""
+    def dev(v: str, g: str, t: str) -> str:
+        held = f"list_transform({v}, lambda a, j: a + CASE WHEN j = f THEN {g} ELSE 0 END)"
+        return (f"CASE WHEN {t} = 0 THEN {D(0.0)} ELSE sqrt(greatest(CAST({k} AS DOUBLE) * list_sum(list_transform({held}, "
+                f"lambda a: CAST(a AS DOUBLE) * a)) - CAST(list_sum({held}) AS DOUBLE) * CAST(list_sum({held}) AS DOUBLE), {D(0.0)})) "
+                f"/ CAST({t} AS DOUBLE) END")
+    choice = (f"list_sort(list_transform(range(1, {k + 1}), lambda f: struct_pack(d := CAST(floor((({dev('n', 'gneg', 'tneg')}) + "
+              f"({dev('p', 'gpos', 'tpos')})) * CAST(1e9 AS DOUBLE)) AS BIGINT), h := n[f] + p[f], f := f)))[1].f")
+    zero = "[" + ", ".join(["CAST(0 AS BIGINT)"] * k) + "]"
+    return f"""grp AS (SELECT hotel_id, CAST(sum({label}) AS BIGINT) AS gpos, CAST(count(*) - sum({label}) AS BIGINT) AS gneg, {H('hotel_id')} AS gh
+        FROM {src} GROUP BY hotel_id),
+grk AS MATERIALIZED (SELECT hotel_id, gpos, gneg, CAST(sum(gpos) OVER () AS BIGINT) AS tpos, CAST(sum(gneg) OVER () AS BIGINT) AS tneg,
+        row_number() OVER (ORDER BY abs(gpos - gneg) DESC, gh, hotel_id) AS rn FROM grp),
+st(i, p, n, fold) AS (SELECT CAST(0 AS BIGINT), {zero}, {zero}, CAST(0 AS BIGINT)
+  UNION ALL
+  SELECT rn, list_transform(p, lambda a, j: a + CASE WHEN j = pick THEN gpos ELSE 0 END),
+         list_transform(n, lambda a, j: a + CASE WHEN j = pick THEN gneg ELSE 0 END), pick
+  FROM (SELECT g.rn, s.p, s.n, g.gpos, g.gneg, CAST({choice} AS BIGINT) AS pick FROM st s JOIN grk g ON g.rn = s.i + 1)),
+gf AS (SELECT g.hotel_id, CAST(s.fold - 1 AS INTEGER) AS fold FROM grk g JOIN st s ON s.i = g.rn)"""
+
+
 def _bigint_counts(sql: str) -> str:
     """DuckDB's count_if is HUGEINT; cast every occurrence to BIGINT like Spark's."""
     out, i, key = [], 0, "count_if("
@@ -595,6 +617,10 @@ SELECT booking_id, target, CAST(((rn - 1) * 3) // n AS INTEGER) AS fold FROM r""
 {closed_cte('b')},
 {_group_folds_cte('closed')}
 SELECT c.hotel_id, c.booking_id, c.target, gf.fold FROM closed c LEFT JOIN gf ON c.hotel_id = gf.hotel_id"""
+    q["group_folds_even"] = f"""{BASE.replace("WITH ", "WITH RECURSIVE ", 1)},
+{closed_cte('b')},
+{_even_folds_cte('closed')}
+SELECT c.hotel_id, c.booking_id, c.target, gf.fold FROM closed c LEFT JOIN gf ON c.hotel_id IS NOT DISTINCT FROM gf.hotel_id"""
     q["class_weights"] = f"""{BASE},
 {closed_cte('b')}
 SELECT booking_id, target, CASE WHEN target = 1 THEN {D(K.POSITIVE_CLASS_WEIGHT)} ELSE {D(1.0)} END AS weight FROM closed"""
@@ -808,6 +834,18 @@ d AS (SELECT q_id, n_id, qv, nv, (CAST({n} AS DOUBLE) / CAST(({mcount}) AS DOUBL
       FROM p WHERE ({mcount}) > 0),
 {",".join(fills)}
 SELECT x.id AS booking_id, {", ".join(sel)} FROM x {joins}"""
+    rank = f"row_number() OVER (PARTITION BY target ORDER BY {H('booking_id')}, booking_id)"
+    unseen = [x.replace("FROM x)", "FROM x WHERE is_test = 0)") for x in sel]
+    q["knn_impute_unseen"] = f"""{BASE},
+{closed_cte('b')},
+r AS (SELECT *, {rank} AS rn, count(*) OVER (PARTITION BY target) AS n FROM closed),
+x AS (SELECT booking_id AS id, {vlist} AS v, ({any_null}) AS recv,
+             CASE WHEN rn <= round(CAST(n AS DOUBLE) * {D(K.TEST_FRACTION)}) THEN 1 ELSE 0 END AS is_test FROM r),
+p AS (SELECT a.id AS q_id, b.id AS n_id, a.v AS qv, b.v AS nv FROM x a JOIN x b ON a.is_test = 1 AND b.is_test = 0 WHERE a.recv),
+d AS (SELECT q_id, n_id, qv, nv, (CAST({n} AS DOUBLE) / CAST(({mcount}) AS DOUBLE)) * ({sq}) AS d2
+      FROM p WHERE ({mcount}) > 0),
+{",".join(fills)}
+SELECT x.id AS booking_id, {", ".join(unseen)} FROM x {joins} WHERE x.is_test = 1"""
     q["variance_filter"] = f"""WITH l AS (SELECT CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS dim,
                   CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings)
 SELECT dim, round(var_pop(x), 8) AS variance, var_pop(x) >= {D(K.VARIANCE_THRESHOLD)} AS kept FROM l GROUP BY dim"""

@@ -231,3 +231,89 @@ def test_knn_impute_with_many_missing_patterns(spark):
                 donors = [x for x in sorted(range(n), key=lambda x: (d[x], x)) if np.isfinite(d[x]) and not np.isnan(v[x, j])][:k]
                 want = v[donors, j].mean() if donors else np.nanmean(v[:, j])
             assert getattr(got[i], f"c{j}") == pytest.approx(want, abs=1e-9), (i, j)
+
+
+def brute_fill(train, new, k):
+    """(train, new): float arrays with NaN; the filled copy of ``new``, ties to the earlier training row."""
+    out = new.copy()
+    for i, row in enumerate(new):
+        both = ~np.isnan(train) & ~np.isnan(row)
+        m = both.sum(axis=1)
+        d = np.where(m > 0, train.shape[1] / np.maximum(m, 1) * (np.where(both, train - row, 0) ** 2).sum(axis=1), np.inf)
+        for j in np.flatnonzero(np.isnan(row)):
+            donors = [x for x in np.argsort(d, kind="stable") if np.isfinite(d[x]) and not np.isnan(train[x, j])][:k]
+            known = train[~np.isnan(train[:, j]), j]
+            out[i, j] = train[donors, j].mean() if donors else known.mean() if len(known) else np.nan
+    return out
+
+
+def test_knn_imputer_fitted_saved_and_applied_to_new_rows(spark, tmp_path):
+    """New rows share ids with training rows; some have no value at all, one column has a training value only now and then."""
+    from staysense.operators.impute_knn import KnnImputer
+    rng = np.random.default_rng(7)
+    train, new = rng.normal(size=(120, 4)).round(1), rng.normal(size=(60, 4)).round(1)
+    train[rng.random(train.shape) < 0.3] = np.nan
+    train[:110, 3] = np.nan
+    new[rng.random(new.shape) < 0.4] = np.nan
+    new[:3] = np.nan
+
+    def frame(v):
+        return spark.createDataFrame([(i, "x", *[None if np.isnan(c) else float(c) for c in r]) for i, r in enumerate(v)],
+                                     "id int, other string, a double, b double, c double, d double")
+
+    KnnImputer.fit(frame(train), ["a", "b", "c", "d"], "id", 3).save(str(tmp_path / "imputer"))
+    rows = KnnImputer.load(spark, str(tmp_path / "imputer")).transform(frame(new), "id").orderBy("id").collect()
+    assert [r.other for r in rows] == ["x"] * 60
+    assert np.allclose([[r.a, r.b, r.c, r.d] for r in rows], brute_fill(train, new, 3), atol=1e-9)
+
+
+def test_knn_imputer_without_training_rows(spark):
+    from staysense.operators.impute_knn import KnnImputer
+    rows = spark.createDataFrame([(1, 2.0, None), (2, None, None)], "id int, a double, b double")
+    model = KnnImputer.fit(rows.limit(0), ["a", "b"], "id")
+    assert sorted(tuple(r) for r in model.transform(rows, "id").select("id", "a", "b").collect()) == [(1, 2.0, None), (2, None, None)]
+    assert model.transform(rows.limit(0), "id").count() == 0
+
+
+@pytest.mark.parametrize("batch", [2048, 16])
+def test_least_deviation_group_folds(spark, batch):
+    """Against plain Python, in one batch and in several; three classes, a null group, a hot group, unknown labels."""
+    import hashlib
+    from staysense.operators.split import least_deviation_group_folds
+    rng = np.random.default_rng(3)
+    rows = [(i, None if g == 0 else f"g{g}", int(y)) for i, (g, y) in enumerate(zip(
+        np.where(rng.random(1500) < 0.3, 5, rng.integers(0, 50, 1500)), rng.choice([0, 1, 2, 9], 1500, p=[.6, .2, .15, .05])))]
+    df = spark.createDataFrame(rows, "id int, g string, y int")
+    k, classes = 4, [0, 1, 2]
+    got = least_deviation_group_folds(df, "y", "g", classes, k, batch=batch).collect()
+    assert sorted((r.id, r.g, r.y) for r in got) == sorted(rows, key=lambda r: r[0])
+    counts = {}
+    for _, g, y in rows:
+        counts.setdefault(g, [0, 0, 0])
+        if y in classes:
+            counts[g][classes.index(y)] += 1
+    hashes = {r.g: r.h for r in df.select("g").distinct().selectExpr(
+        "g", "CAST(conv(substr(md5(concat(g, '|42')), 1, 15), 16, 10) AS BIGINT) AS h").collect()}
+    spread = {g: 3 * sum(x * x for x in c) - sum(c) ** 2 for g, c in counts.items()}
+    order = sorted(counts, key=lambda g: (-spread[g], hashes[g] is not None, hashes[g] or 0, g or ""))
+    want = {}
+    for b in range(0, len(order), batch):
+        part = order[b:b + batch]
+        total = np.sum([counts[g] for g in part], axis=0)
+        held = np.zeros((k, 3))
+        for g in part:
+            def left(f):
+                after = held.copy()
+                after[f] += counts[g]
+                dev = sum(np.sqrt(max(k * (after[:, i] ** 2).sum() - after[:, i].sum() ** 2, 0)) / total[i]
+                          for i in range(3) if total[i])
+                return int(np.floor(dev * 1e9)), held[f].sum(), f
+            pick = min(map(left, range(k)))[2]
+            held[pick] += counts[g]
+            want[g] = (pick + b // batch) % k
+    assert {r.g: r.fold for r in got} == want
+
+
+def test_least_deviation_folds_of_no_rows(spark):
+    from staysense.operators.split import least_deviation_group_folds
+    assert least_deviation_group_folds(spark.createDataFrame([], "g string, y int"), "y", "g").collect() == []
