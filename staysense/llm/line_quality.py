@@ -117,7 +117,8 @@ def _without_near_copies(docs: DataFrame, hits: DataFrame, rules: LineRules) ->
     common = lines.where("hit").select(pair).distinct()
     rest = lines.where("NOT hit")
     varied = rest.select("key", pair).join(common, "pair", "left_semi").groupBy("key").agg(F.count("*").alias("varied"))
-    sizes = rest.groupBy("key").agg(F.sum(F.size("w")).alias("rest"))
+    # grouped by host too, so that all three read the same columns of one exchange of the texts
+    sizes = rest.groupBy("key", "host").agg(F.sum(F.size("w")).alias("rest")).drop("host")
     # near copies of one text share their least frequent line, but for the few that vary that one
     same = F.coalesce("varied", F.lit(0)) >= F.coalesce("rest", F.lit(0)) * F.lit(rules.min_varied)
     content = held.select("key", "least", "content").join(sizes, "key", "left").join(varied, "key", "left").select(
