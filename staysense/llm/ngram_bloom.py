@@ -113,6 +113,15 @@ def _added(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return found, np.bincount(at, n, len(found)).astype(np.int64)
 
 
+def _packed(n: np.ndarray) -> bytes:
+    """Positive counts in as few bytes each as the largest takes."""
+    return n.astype(np.min_scalar_type(int(n.max()))).tobytes()
+
+
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, f"u{len(data) // n}").astype(np.int64)
+
+
 def _counted(batches: Iterator[pa.RecordBatch], grams) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Partial counts of the n-grams that ``grams(tokens, firsts)`` gives, gathered up to a bound."""
     h, n = np.empty(0, np.uint64), np.empty(0, np.int64)
@@ -144,15 +153,17 @@ def build_filter(train: DataFrame, n_tokens: int, model: BloomModel = BloomModel
             shard = _shard(h, shards)
             order = np.argsort(shard, kind="stable")
             names, at = np.unique(shard[order], return_index=True)
-            packed = [[a.tobytes() for a in np.split(x[order], at[1:])] for x in (h, n)] if len(h) else [[], []]
+            packed = [[a.tobytes() for a in np.split(h[order], at[1:])],
+                      [_packed(a) for a in np.split(n[order], at[1:])]] if len(h) else [[], []]
             yield pa.RecordBatch.from_arrays([pa.array(names.astype(np.int32)), *[pa.array(p, pa.binary()) for p in packed]],
                                              names=["shard", "h", "n"])
 
     counts = train.select("text").mapInArrow(count, "shard int, h binary, n binary")
 
     def shard(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        h, n = (np.frombuffer(b"".join(rows.column(c).to_pylist()), kind) for c, kind in (("h", np.uint64), ("n", np.int64)))
-        h, n = _added(h, n)
+        parts = [np.frombuffer(x, np.uint64) for x in rows.column("h").to_pylist()]
+        counts = [_unpacked(x, len(p)) for p, x in zip(parts, rows.column("n").to_pylist())]
+        h, n = _added(np.concatenate(parts), np.concatenate(counts))
         level = 1 + np.floor(np.log(n) / np.log(model.base) + 1e-9).astype(np.int64)
         entries = int(level.sum())
         bits = -(-int(entries * model.probes / np.log(2)) // 64) * 64 + 64
@@ -283,7 +294,7 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_ou
 
     schema = pa.schema([("key", pa.int64()), ("doc_id", pa.string()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
                         ("known", pa.int64()), ("part", pa.float64()), ("score", pa.float64()),
-                        ("rest", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))])
+                        ("rest", pa.list_(pa.int64())), ("times", pa.list_(pa.int32()))])
 
     def one_pass(shared):
         def run(batches):
@@ -304,7 +315,7 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_ou
         ends = pa.array(np.searchsorted(text[new], np.arange(len(n) + 1)).astype(np.int32))
         return pa.RecordBatch.from_arrays([
             cols["key"], cols["doc_id"], cols["held_out"], pa.array(n), pa.array(seen), pa.array(part), pa.array(out),
-            pa.ListArray.from_arrays(ends, pa.array(rest[new])), pa.ListArray.from_arrays(ends, pa.array(times))], schema=schema)
+            pa.ListArray.from_arrays(ends, pa.array(rest[new])), pa.ListArray.from_arrays(ends, pa.array(times.astype(np.int32)))], schema=schema)
 
     def probe_pass(shared):
         def run(batches):
@@ -334,7 +345,7 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_ou
                 yield finish(cols, tokens, firsts, word, _text_scores(word, pair, firsts, total, distinct, model))
 
     ready = docs.select("key", F.col("doc_id").cast("string").alias("doc_id"), "held_out", "text")
-    kind = "key bigint, doc_id string, held_out boolean, n_tokens bigint, known bigint, part double, score double, rest array<bigint>, times array<bigint>"
+    kind = "key bigint, doc_id string, held_out boolean, n_tokens bigint, known bigint, part double, score double, rest array<bigint>, times array<int>"
     if n_blocks == 1:
         scored = ready.mapInArrow(one_pass(block(0)), kind)
     else:
@@ -349,7 +360,7 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_ou
     # what is left of the base score: words that are not frequent and may be known
     twice = scored.groupBy("key").agg(F.count("*").alias("rows"))       # identical rows share a key
     rest = scored.select("key", F.explode_outer(F.arrays_zip("rest", "times")).alias("r")).where("r IS NOT NULL").select(
-        "key", F.col("r.rest").alias("h"), F.col("r.times").alias("times")).join(counts, "h", "left")
+        "key", F.col("r.rest").alias("h"), F.col("r.times").cast("long").alias("times")).join(counts, "h", "left")
     rest = rest.groupBy(F.col("key").alias("k")).agg(
         F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("more"),
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("known_more"))

@@ -224,3 +224,12 @@ def test_simhash_keeps_one_row_of_repeated_and_null_ids(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = [(r.doc_id, r.text.strip()) for r in simhash_mih.keep_one(df).collect()]
     assert sorted(got, key=str) == sorted([(1, a), (5, b), (None, c)], key=str)
+
+
+def test_packed_counts_take_as_few_bytes_as_the_largest_needs():
+    import numpy as np
+    from staysense.llm.ngram_bloom import _packed, _unpacked
+    for counts, width in (([1, 255], 1), ([256, 1], 2), ([1, 2, 1 << 16], 4), ([1 << 32], 8)):
+        data = _packed(np.array(counts, np.int64))
+        assert len(data) == width * len(counts)
+        assert _unpacked(data, len(counts)).tolist() == counts
