@@ -88,20 +88,26 @@ class KnnImputer:
     def _nearest(self, gaps: DataFrame) -> DataFrame | None:
         """(q_id, n_id): for each row with a gap its nearest donors per donor pattern; None if no pattern helps."""
         n = len(self.columns)
-        have = [r[0] for r in self.donors.select("p").distinct().collect()]         # <= 2^n patterns, not rows
+        have = dict(self.donors.groupBy("p").count().collect())                     # <= 2^n patterns, not rows
         want = [r[0] for r in gaps.select("p").distinct().collect()]
         pairs = [(pr, pd, pr & pd) for pr in sorted(want) for pd in sorted(have) if pd & ~pr and pr & pd]
         if not pairs:
             return None
-        gt = gaps.sparkSession.createDataFrame([(g, *x) for g, x in enumerate(pairs)], "g int, pr int, pd int, s int")
+        spark = gaps.sparkSession
+        gt = spark.createDataFrame([(g, *x) for g, x in enumerate(pairs)], "g int, pr int, pd int, s int")
+        # a donor appears once per pattern pair: dealt to as many tasks as these rows need
+        copies = sum(have[pd] for _, pd, _ in pairs)
+        parts = max(min(spark.sparkContext.defaultParallelism, copies // 20_000), -(-copies // 1_000_000))
+        donors = self.donors if self.donors.rdd.getNumPartitions() >= parts else self.donors.repartition(parts)
 
         def masked(rows: DataFrame, side: str) -> DataFrame:
-            j = rows.join(gt, F.col("p") == F.col(side))         # <= patterns^2 rows; the planner broadcasts it by size
+            # nearly all rows have one pattern, so rows never move by pattern: <= patterns^2 rows are broadcast
+            j = rows.join(F.broadcast(gt), F.col("p") == F.col(side))
             mv = F.array(*[F.when((F.col("s").bitwiseAND(F.lit(1 << i))) != 0, F.col("v")[i])
                            .otherwise(F.lit(0.0)) for i in range(n)])
             return j.select("g", "id", mv.alias("mv"))
 
-        return knn_grouped(masked(gaps, "pr"), masked(self.donors, "pd"), self.k, group="g", vec="mv", id_col="id",
+        return knn_grouped(masked(gaps, "pr"), masked(donors, "pd"), self.k, group="g", vec="mv", id_col="id",
                            exclude_self=False, seed=self.seed).select("q_id", "n_id").distinct()
 
     def transform(self, df: DataFrame, key: str) -> DataFrame:

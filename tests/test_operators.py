@@ -317,3 +317,44 @@ def test_least_deviation_group_folds(spark, batch):
 def test_least_deviation_folds_of_no_rows(spark):
     from staysense.operators.split import least_deviation_group_folds
     assert least_deviation_group_folds(spark.createDataFrame([], "g string, y int"), "y", "g").collect() == []
+
+
+def test_block_nearest_keeps_only_what_can_be_nearest():
+    """Of a block's candidates, the kk nearest within the bound, ties by id, distances to the last bit."""
+    import numpy as np
+    from staysense.operators import neighbors as N
+    rnd = np.random.default_rng(3)
+    cv = rnd.integers(0, 4, (300, 3)).astype("float64") + 1e6            # many ties, and far from zero
+    qv, ids = cv[:40] + 0.25, rnd.permutation(300)
+    for bound in (np.inf, 1.0):
+        row, col, d = N._block_nearest(qv, np.full(40, bound), cv, ids, 4)
+        want = []
+        for i, q in enumerate(qv):
+            dist = np.sqrt(((q - cv) ** 2).sum(axis=1))
+            want += [(i, ids[j], dist[j]) for j in np.lexsort((ids, dist))[:4] if dist[j] <= bound]
+        assert list(zip(row, ids[col], d)) == want
+
+
+def test_search_results_carry_no_vectors_and_masked_rows_do_not_move_by_pattern(spark):
+    """Found neighbours name their query by key; donors of one pattern do not all meet in one task."""
+    from staysense.operators import neighbors as N
+    from staysense.operators.impute_knn import KnnImputer
+    df = spark.range(60_000).selectExpr("id", "CAST(id % 7 AS DOUBLE) AS a", "CASE WHEN id % 1000 <> 0 THEN id / 3.0D END AS b")
+    vec = df.limit(50).selectExpr("id AS _qk", "array(a) AS q_vec", "1 AS _cell", "CAST('Infinity' AS DOUBLE) AS _r")
+    cand = spark.range(50).selectExpr("id AS n_id", "array(CAST(id AS DOUBLE)) AS n_vec", "1 AS _cell")
+    assert N._topk_in_cells(vec, cand, [], 2).columns == ["_qk", "n_id", "dist"]
+    model = KnnImputer.fit(df.coalesce(1), ["a", "b"], "id", 3)
+    gaps = df.where("b IS NULL").selectExpr("id", "array(a, b) AS v", "1 AS p")
+    seen = {}
+
+    def spy(queries, candidates, *args, **kw):
+        seen["rows"] = [n for n in candidates.rdd.mapPartitions(lambda x: [sum(1 for _ in x)]).collect()]
+        return spark.createDataFrame([], "q_id long, n_id long")
+
+    from staysense.operators import impute_knn as I
+    old, I.knn_grouped = I.knn_grouped, spy
+    try:
+        model._nearest(gaps)
+    finally:
+        I.knn_grouped = old
+    assert sum(seen["rows"]) == 59_940 and max(seen["rows"]) < 50_000
