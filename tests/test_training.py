@@ -80,3 +80,35 @@ def test_trained_package_scores_bookings_and_decides_gifts(spark, tmp_path):
     assert out.count() == bookings.count()
     assert out.where("gift IS NOT NULL AND predicted_to_cancel = 0").count() == 0
     assert out.where("cancellation_probability NOT BETWEEN 0 AND 1").count() == 0
+
+
+def test_training_rows_are_dealt_to_tasks(spark):
+    from staysense.session import dealt
+    df = spark.range(50_000).coalesce(1)
+    out = dealt(df)
+    sizes = out.rdd.mapPartitions(lambda x: [sum(1 for _ in x)]).collect()
+    assert sum(sizes) == 50_000 and max(sizes) <= 26_000
+    assert dealt(df.limit(100)).rdd.getNumPartitions() == 1
+    assert max(dealt(df, 50_000, 9_000).rdd.mapPartitions(lambda x: [sum(1 for _ in x)]).collect()) <= 9_000
+
+
+def test_grid_search_prepares_once_a_fold_and_scores_as_the_plain_search(spark):
+    df = planted(spark).cache()
+    fits = []
+
+    class Counted(MD.ModeImputer):
+        def _fit(self, rows):
+            fits.append(1)
+            return super()._fit(rows)
+
+    lr = MD.logistic(n_rows=900)
+    stages = MD.preprocessing_stages(["rate", "stay_nights"], ["board"])
+    stages = [Counted(inputCols=["board"]) if isinstance(s, MD.ModeImputer) else s for s in stages]
+    grid = {"regParam": [0.001, 0.1], "elasticNetParam": [1.0, 0.0]}
+    cv = MD.grid_search(MD.Pipeline(stages=stages + [lr]), lr, grid)
+    got = cv.fit(df)
+    assert len(fits) == 3 + 1                                   # a fold each, and the refit
+    plain = MD.CrossValidator(estimator=cv.getEstimator(), estimatorParamMaps=cv.getEstimatorParamMaps(),
+                              evaluator=cv.getEvaluator(), foldCol="fold", seed=K.SEED).fit(df)
+    assert got.avgMetrics == pytest.approx(plain.avgMetrics) and max(got.avgMetrics) > 0
+    assert got.bestModel.stages[-1].coefficients.toArray() == pytest.approx(plain.bestModel.stages[-1].coefficients.toArray())
