@@ -118,6 +118,7 @@ class KnnImputer:
         lists = self._nearest(gaps)
         out = x.crossJoin(F.broadcast(self.means))             # one row
         if lists is not None:
+            lists = cut_lineage(lists)                          # keys only; each column reads them
             a = gaps.select(F.col("id").alias("q_id"), F.col("v").alias("qv"))
             b = self.donors.select(F.col("id").alias("n_id"), F.col("v").alias("nv"))
             cand = lists.join(a, "q_id").join(b, "n_id")
